@@ -1,0 +1,79 @@
+"""Row numbers within a key that stay spread out when one key holds much of the table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from orderlake.session import shared_folder
+
+# A task sorts this many rows of one key without trouble. No smaller table can hold a hot key.
+ROWS_PER_TASK = 5_000_000
+
+# The lowest share of a table that the heavy-hitter sketch can look for.
+MIN_SUPPORT = 1e-4
+
+
+def number_within(
+    df: DataFrame, key: str, order: list[str], name: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Add `name`: 1, 2, 3 … per value of `key`, by the columns in `order`.
+
+    Ordinary keys are numbered by a window. A key with more rows than one task should sort is cut
+    into ranges of the sort order, numbered range by range. Rows alike in all of `order` get their
+    numbers in any order.
+    """
+    hot = hot_keys(df, key, rows_per_task)
+    if not hot:
+        return number_by_window(df, [key], order, name)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    cold = number_by_window(df.filter(~is_hot), [key], order, name)
+    return cold.unionByName(number_by_ranges(df.filter(is_hot), key, order, name, rows_per_task))
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list:
+    """Keys with more than `rows_per_task` rows and at least MIN_SUPPORT of the table.
+
+    The row count comes from file footers. Only a table big enough to hold such a key is read for
+    it: once for candidates, in a sketch of bounded size that misses none, once to count those.
+    """
+    total = df.count()
+    if total <= rows_per_task:
+        return []
+    support = max(rows_per_task / total, MIN_SUPPORT)
+    candidates = [k for k in df.freqItems([key], support).first()[0] if k is not None]
+    counted = df.filter(F.col(key).isin(candidates)).groupBy(key).count()
+    return [row[0] for row in counted.filter(F.col("count") > rows_per_task).collect()]
+
+
+def number_by_window(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    window = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+
+def number_by_ranges(df: DataFrame, key: str, order: list[str], name: str, rows_per_task: int) -> DataFrame:
+    """Number rows range by range: place in the range, plus the sizes of the key's earlier ranges.
+
+    Ranges are drawn by sampling, so the placed rows are written to the checkpoint folder once; both
+    uses below then see the same ranges, also after an executor is lost. The row id as last sort
+    column splits runs of equal rows as well.
+    """
+    shared_folder(df.sparkSession)
+    ranges = max(2, -(-df.count() // rows_per_task))
+    placed = (
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, key, *order, "_row")
+        .withColumn("_range", F.spark_partition_id())
+        .checkpoint()
+    )
+    earlier = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(key, "_range")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select(key, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    )
+    local = number_by_window(placed, [key, "_range"], [*order, "_row"], "_place")
+    return local.join(offsets, [key, "_range"]).select(
+        *df.columns, (F.col("_place") + F.col("_before")).alias(name)
+    )

@@ -1,0 +1 @@
+"""Empty on purpose: every model, metric and check of this engine is a batch job (see README)."""
