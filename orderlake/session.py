@@ -27,6 +27,11 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        # A partition that fits in memory is hashed rather than sorted to join it.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(SHUFFLE_PARTITION_BYTES),
+        # Files are compressed: rows in memory take some times their size. Without this a table of
+        # hundreds of thousands of rows passes for small and is broadcast.
+        "spark.sql.sources.fileCompressionFactor": "4",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
         "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
     }
