@@ -32,9 +32,8 @@ def years_covering(df: DataFrame, moment: str) -> DataFrame:
 
 def dim_dates(bounds: DataFrame) -> DataFrame:
     """One row per day from start_date up to, but without, end_date."""
-    days = bounds.filter("start_date < end_date").select(
-        F.explode(F.sequence("start_date", F.date_sub("end_date", 1), F.expr("interval 1 day"))).alias("date_key")
-    )
+    whole = F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias("date_key")
+    days = bounds.select("end_date", whole).filter("date_key < end_date")
     day = F.col("date_key")
     parts = {
         "year": F.year(day),

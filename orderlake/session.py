@@ -58,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
     because a folder on one machine is lost with that machine.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")

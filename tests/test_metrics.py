@@ -1,0 +1,158 @@
+"""Metric queries: names, grains, nulls, ratios and running totals."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from orderlake.operators.dimensions import date_range
+from orderlake.operators.metrics import METRICS, list_dimensions, list_metrics, metric_query, resolve_group
+from orderlake.plans.star import Star
+from tests.shop import ROWS, at, shop
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return Star(shop(spark), date_range(spark, "2018-01-01", "2019-01-01"))
+
+
+def table(df):
+    return {tuple(r)[: len(df.columns) - 1] if len(df.columns) > 2 else r[0]: r[-1] for r in df.collect()}
+
+
+def test_catalogue(spark):
+    rows = list_metrics(spark).collect()
+    assert len(rows) == 16
+    kinds = [r.type for r in rows]
+    assert [kinds.count(k) for k in ("simple", "ratio", "derived", "cumulative")] == [8, 6, 1, 1]
+    assert "payment_type" in {r.dimension for r in list_dimensions(spark).collect()}
+
+
+def test_all_metrics_in_one_row(star):
+    row = metric_query(star, METRICS).first()
+    assert row.revenue == row.cumulative_revenue == Decimal("75.00")
+    assert (row.freight_cost, row.net_revenue, row.item_revenue) == (Decimal("5.00"), Decimal("70.00"), Decimal("70.00"))
+    assert (row.order_count, row.items_sold, row.unique_customers) == (5, 4, 2)
+    assert (row.canceled_orders, row.delivered_orders) == (1, 1)
+    assert (row.avg_order_value, row.avg_items_per_order, row.cancellation_rate) == (15.0, 0.8, 0.2)
+    assert (row.revenue_per_customer, row.freight_pct_of_revenue) == (37.5, 5 / 75)
+
+
+def test_group_without_revenue(star):
+    got = {
+        r.order_status: (r.revenue, r.avg_order_value, r.freight_pct_of_revenue, r.net_revenue)
+        for r in metric_query(
+            star, ["revenue", "avg_order_value", "freight_pct_of_revenue", "net_revenue"], ["order_status"]
+        ).collect()
+    }
+    assert got["canceled"] == (None, None, None, None)
+    assert got["delivered"] == (Decimal("34.00"), 34.0, 4 / 34, Decimal("30.00"))
+
+
+def test_group_without_customers(star):
+    got = table(metric_query(star, ["revenue_per_customer"], ["customer__customer_state"]))
+    assert got == {None: None, "SP": 34.0, "RJ": 30.0}
+
+
+@pytest.mark.parametrize("name", ["payment_type", "order__payment_type", "orders__payment_type"])
+def test_prefixes(star, name):
+    df = metric_query(star, ["order_count"], [name])
+    assert df.columns == [name, "order_count"]
+    assert table(df) == {"credit_card": 1, "boleto": 3, None: 1}
+
+
+def test_grains(star):
+    got = {g: table(metric_query(star, ["order_count"], [f"metric_time__{g}"])) for g in ("week", "quarter", "year")}
+    assert got["week"][dt.date(2018, 1, 1)] == 2 and got["week"][dt.date(2018, 1, 29)] == 1
+    assert got["quarter"] == {dt.date(2018, 1, 1): 4, dt.date(2018, 4, 1): 1}
+    assert got["year"] == {dt.date(2018, 1, 1): 5}
+    by_day = table(metric_query(star, ["order_count"], ["order__order_date"]))
+    assert by_day[dt.date(2018, 1, 1)] == 2 and len(by_day) == 4
+
+
+def test_entities(star):
+    assert len(table(metric_query(star, ["revenue"], ["order"]))) == 5
+    assert len(table(metric_query(star, ["revenue"], ["customer"]))) == 3
+
+
+def test_several_customer_attributes(star):
+    df = metric_query(star, ["order_count"], ["customer_state", "customer__customer_city", "customer_zip_prefix"])
+    assert ("SP", "sao paulo", "01002") in table(df)
+
+
+@pytest.mark.parametrize(
+    "metrics, groups",
+    [
+        (["profit"], []),
+        ([], ["metric_time"]),
+        (["revenue"], ["color"]),
+        (["revenue"], ["metric_time__hour"]),
+        (["revenue"], ["metric_time__month__day"]),
+        (["revenue"], ["customer__payment_type"]),
+        (["revenue"], ["order__customer_state"]),
+        (["revenue"], ["order__metric_time"]),
+        (["revenue"], ["payment_type__month"]),
+        (["cumulative_revenue"], ["metric_time__month", "metric_time__year"]),
+    ],
+)
+def test_unknown_names_are_refused(star, metrics, groups):
+    with pytest.raises(ValueError):
+        metric_query(star, metrics, groups)
+
+
+def test_group_names():
+    assert resolve_group("metric_time").grain == "day"
+    assert resolve_group("order__order_date__month").grain == "month"
+    assert resolve_group("customers__customer_city").of_customer
+
+
+def test_running_total_carries_over_empty_days(star):
+    df = metric_query(star, ["cumulative_revenue", "order_count"], ["metric_time"])
+    days = {r.metric_time: r for r in df.collect()}
+    assert len(days) == 92 and max(days) == dt.date(2018, 4, 2)
+    assert days[dt.date(2018, 1, 1)].cumulative_revenue == Decimal("45.00")
+    assert days[dt.date(2018, 1, 30)].cumulative_revenue == Decimal("45.00")
+    assert days[dt.date(2018, 1, 30)].order_count is None
+    assert days[dt.date(2018, 1, 31)].cumulative_revenue == Decimal("75.00")
+    assert days[dt.date(2018, 4, 2)].cumulative_revenue == Decimal("75.00")
+
+
+def test_running_total_by_month(star):
+    got = table(metric_query(star, ["cumulative_revenue"], ["metric_time__month"]))
+    assert [got[dt.date(2018, m, 1)] for m in (1, 2, 3, 4)] == [Decimal("75.00")] * 4
+
+
+def test_running_total_per_group(star):
+    got = table(metric_query(star, ["cumulative_revenue"], ["metric_time__month", "order__payment_type"]))
+    january, march = dt.date(2018, 1, 1), dt.date(2018, 3, 1)
+    assert got[january, "credit_card"] == got[march, "credit_card"] == Decimal("34.00")
+    assert got[march, "boleto"] == Decimal("41.00")
+    # The group without payments starts in February and has no revenue at all.
+    assert (january, None) not in got and got[march, None] is None
+    assert len(got) == 4 + 4 + 3
+
+
+def test_running_total_counts_what_lies_before_the_spine(spark):
+    star = Star(shop(spark), date_range(spark, "2018-01-15", "2018-02-02"))
+    got = table(metric_query(star, ["cumulative_revenue"], ["metric_time"]))
+    assert min(got) == dt.date(2018, 1, 15) and max(got) == dt.date(2018, 2, 1)
+    assert got[dt.date(2018, 1, 15)] == Decimal("45.00")
+
+
+def test_undated_orders_are_in_no_running_total(spark):
+    undated = ("undated", "c1", "created", None, None, None, None, None)
+    items = [*ROWS["order_items"], ("undated", 1, "p1", "s1", at("2018-01-01"), Decimal("5.00"), Decimal("0.00"))]
+    raw = shop(spark, orders=[*ROWS["orders"], undated], order_items=items)
+    star = Star(raw, date_range(spark, "2018-01-01", "2019-01-01"))
+    got = table(metric_query(star, ["cumulative_revenue"], ["metric_time__year"]))
+    assert got == {dt.date(2018, 1, 1): Decimal("75.00")}
+    assert table(metric_query(star, ["revenue"], ["metric_time__year"]))[None] == Decimal("5.00")
+
+
+def test_no_orders_at_all(spark):
+    star = Star(shop(spark, orders=[]), date_range(spark))
+    row = metric_query(star, ["revenue", "order_count", "avg_order_value"]).first()
+    assert tuple(row) == (None, 0, None)
+    assert metric_query(star, ["cumulative_revenue"], ["metric_time"]).count() == 0

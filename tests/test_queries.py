@@ -1,0 +1,30 @@
+"""Every registered query against its SQL, value for value."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as driver
+from tests.compare import assert_same, connect
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(driver.queries()))
+def test_query_matches_sql(spark, duck, name):
+    assert_same(driver.queries()[name](spark, FOLDER), duck, driver.oracle_sql()[name])
+
+
+def test_entry_has_rows(spark):
+    result = driver.entry(spark)
+    assert result.columns == ["metric_time__month", "revenue"]
+    assert result.count() > 0

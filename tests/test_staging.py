@@ -1,0 +1,94 @@
+"""Staging rules on edge rows."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from orderlake.operators import staging
+from orderlake.operators.checks import ORDER_STATUSES
+
+ORDERS = """order_id string, customer_id string, order_status string, order_purchase_timestamp string,
+    order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string,
+    order_estimated_delivery_date string"""
+
+
+def staged_order(spark, status="delivered", purchased="2018-01-01 23:59:00", delivered=None, estimate=None):
+    row = ("o", "c", status, purchased, None, None, delivered, estimate)
+    return staging.stg_orders(spark.createDataFrame([row], ORDERS)).first()
+
+
+@pytest.mark.parametrize(
+    "delivered, days",
+    [
+        ("2018-01-02 00:01:00", 1),
+        ("2018-01-01 23:59:59", 0),
+        ("2018-03-01 00:00:00", 59),
+        ("2017-12-31 23:59:00", -1),
+        (None, None),
+    ],
+)
+def test_delivery_days_are_calendar_days(spark, delivered, days):
+    assert staged_order(spark, delivered=delivered).delivery_days_actual == days
+    assert staged_order(spark, estimate=delivered).delivery_days_estimated == days
+
+
+def test_delivery_days_need_a_purchase(spark):
+    assert staged_order(spark, purchased=None, delivered="2018-01-02 00:00:00").delivery_days_actual is None
+
+
+@pytest.mark.parametrize(
+    "delivered, estimate, late",
+    [
+        ("2018-01-03 00:00:01", "2018-01-03 00:00:00", True),
+        ("2018-01-03 00:00:00", "2018-01-03 00:00:00", False),
+        ("2018-01-02 00:00:00", "2018-01-03 00:00:00", False),
+        ("2018-01-02 00:00:00", None, False),
+        (None, "2018-01-03 00:00:00", None),
+        (None, None, None),
+    ],
+)
+def test_late_flag_has_three_values(spark, delivered, estimate, late):
+    assert staged_order(spark, delivered=delivered, estimate=estimate).is_late_delivery is late
+
+
+@pytest.mark.parametrize("status", [*ORDER_STATUSES, None])
+def test_status_flags(spark, status):
+    row = staged_order(spark, status=status)
+    assert row.is_delivered is (status == "delivered")
+    assert row.is_canceled is (status == "canceled")
+    assert row.is_in_progress is (status in {"created", "approved", "processing", "invoiced", "shipped"})
+
+
+def test_order_items(spark):
+    raw = spark.createDataFrame(
+        [("o", 1, "p", "s", "2018-01-01 10:00:00", 10.1, 0.25), ("o", 2, "p", "s", None, None, 1.0)],
+        """order_id string, order_item_id bigint, product_id string, seller_id string,
+        shipping_limit_date string, price double, freight_value double""",
+    )
+    first, second = staging.stg_order_items(raw).orderBy("item_sequence").collect()
+    assert (first.item_price, first.freight_value) == (Decimal("10.10"), Decimal("0.25"))
+    assert first.total_item_revenue == Decimal("10.35")
+    assert second.total_item_revenue is None
+
+
+def test_category_names(spark):
+    products = spark.createDataFrame(
+        [("1", "beleza"), ("2", "nova"), ("3", None)], "product_id string, product_category_name string"
+    ).selectExpr(
+        "*",
+        "1L product_name_lenght",
+        "2L product_description_lenght",
+        "3L product_photos_qty",
+        "4 product_weight_g",
+        "5 product_length_cm",
+        "6 product_height_cm",
+        "7 product_width_cm",
+    )
+    translation = spark.createDataFrame(
+        [("beleza", "beauty"), ("moveis", "furniture")],
+        "product_category_name string, product_category_name_english string",
+    )
+    names = {r.product_id: r.category_name for r in staging.stg_products(products, translation).collect()}
+    assert names == {"1": "beauty", "2": "nova", "3": "unknown"}
