@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,11 +13,6 @@ def money(amount: Column) -> Column:
     return amount.cast(MONEY)
 
 
-def money_from_cents(cents: Column) -> Column:
-    """Money from a number of cents, rounded down, without the slow way from double to decimal."""
-    return (F.floor(cents).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
-
-
 def money_sum(amount: Column) -> Column:
     """Exact total, null over no values."""
     return F.sum(amount).cast(MONEY_TOTAL)

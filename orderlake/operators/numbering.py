@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,23 +18,22 @@ MIN_SUPPORT = 1e-4
 
 
 def number_within(
-    df: DataFrame, key: str, order: list[str], name: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, key: str, order: list[str], name: str, hot: Sequence = (), rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Add `name`: 1, 2, 3 … per value of `key`, by the columns in `order`.
 
-    Ordinary keys are numbered by a window. A key with more rows than one task should sort is cut
-    into ranges of the sort order, numbered range by range. Rows alike in all of `order` get their
-    numbers in any order.
+    Ordinary keys are numbered by a window. The `hot` ones, with more rows than one task should sort,
+    are cut into ranges of the sort order and numbered range by range. Which keys are called hot
+    changes the work, not the result. Rows alike in all of `order` get their numbers in any order.
     """
-    hot = hot_keys(df, key, rows_per_task)
     if not hot:
         return number_by_window(df, [key], order, name)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
     cold = number_by_window(df.filter(~is_hot), [key], order, name)
     return cold.unionByName(number_by_ranges(df.filter(is_hot), key, order, name, rows_per_task))
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list:
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list:
     """Keys with more than `rows_per_task` rows and at least MIN_SUPPORT of the table.
 
     The row count comes from file footers. Only a table big enough to hold such a key is read for

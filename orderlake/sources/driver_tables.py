@@ -7,13 +7,11 @@ them by rules on the keys. Names and values are those of FIXTURES.md, section 2.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from orderlake.functions.numbers import money_from_cents
-from orderlake.operators.numbering import number_within
+from orderlake.operators.numbering import hot_keys, number_within
 from orderlake.sources.schemas import RAW_TABLES
 
 # Schemas of the given files. Stated, so that no job is spent on reading footers for them.
@@ -51,13 +49,17 @@ TRANSLATIONS = (
 )
 
 
-def text(name: str):
-    return F.col(name).cast("string")
+def listed(values) -> str:
+    """A short fixed list as a SQL array."""
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def pick(values, index):
-    """The entry of a short fixed list at a zero-based index column."""
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
+@lru_cache(maxsize=64)
+def hot_orders(spark: SparkSession, path: str) -> tuple[int, ...]:
+    """Orders with too many lines for one task, found once per session. Were the file replaced, an
+    old answer would only balance the work differently."""
+    lines = spark.read.schema(FILE_SCHEMAS["lineitem"]).parquet(path)
+    return tuple(hot_keys(lines, "l_orderkey"))
 
 
 class DriverTables(Mapping):
@@ -81,139 +83,110 @@ class DriverTables(Mapping):
             self._made[name] = getattr(self, f"_{name}")()
         return self._made[name]
 
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}.parquet"
+
     def file(self, name: str) -> DataFrame:
         """One given file as it is."""
-        return self.spark.read.schema(FILE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(FILE_SCHEMAS[name]).parquet(self.path(name))
 
     def _orders(self) -> DataFrame:
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        status = F.when(F.col("o_orderstatus") == "F", "delivered").otherwise(pick(OPEN_STATES, key % 8))
-        dated = self.file("orders").select(
-            key,
+        open_state = f"element_at({listed(OPEN_STATES)}, cast(o_orderkey % 8 + 1 as int))"
+        dated = self.file("orders").selectExpr(
+            "o_orderkey",
             "o_custkey",
-            day,
-            status.alias("status"),
-            F.expr("o_orderdate + (o_orderkey * 37) % 86400 * interval 1 second").alias("purchased"),
+            "o_orderdate",
+            f"if(o_orderstatus = 'F', 'delivered', {open_state}) as status",
+            "o_orderdate + (o_orderkey * 37) % 86400 * interval 1 second as purchased",
         )
-        return dated.select(
-            text("o_orderkey").alias("order_id"),
-            text("o_custkey").alias("customer_id"),
-            F.col("status").alias("order_status"),
-            F.col("purchased").alias("order_purchase_timestamp"),
-            F.when(F.col("status") != "created", F.expr("purchased + interval 1 hour")).alias("order_approved_at"),
-            F.when(F.col("status").isin("shipped", "delivered"), F.expr("purchased + interval 2 day")).alias(
-                "order_delivered_carrier_date"
-            ),
-            F.when(
-                F.col("status") == "delivered",
-                F.expr(
-                    "purchased + (2 + o_orderkey % 40) * interval 1 day"
-                    " + (o_orderkey * 53) % 86400 * interval 1 second"
-                ),
-            ).alias("order_delivered_customer_date"),
-            F.expr("o_orderdate + (10 + o_custkey % 30) * interval 1 day").alias("order_estimated_delivery_date"),
+        return dated.selectExpr(
+            "cast(o_orderkey as string) as order_id",
+            "cast(o_custkey as string) as customer_id",
+            "status as order_status",
+            "purchased as order_purchase_timestamp",
+            "if(status <> 'created', purchased + interval 1 hour, null) as order_approved_at",
+            "if(status in ('shipped', 'delivered'), purchased + interval 2 day, null) as order_delivered_carrier_date",
+            """if(status = 'delivered', purchased + (2 + o_orderkey % 40) * interval 1 day
+                + (o_orderkey * 53) % 86400 * interval 1 second, null) as order_delivered_customer_date""",
+            "o_orderdate + (10 + o_custkey % 30) * interval 1 day as order_estimated_delivery_date",
         )
 
     @cached_property
-    def numbered_items(self) -> DataFrame:
-        """Line items with a sequence per order; (l_orderkey, l_linenumber) repeats in the files."""
-        lines = self.file("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-        )
+    def numbered_lines(self) -> DataFrame:
+        """Lines with a sequence per order; (l_orderkey, l_linenumber) repeats in the files."""
+        lines = self.file("lineitem").drop("l_quantity", "l_returnflag", "l_linestatus")
         # The last two only settle lines that are alike in all others, to make the numbers repeatable.
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax"]
-        return number_within(lines, "l_orderkey", order, "order_item_id").select(
-            text("l_orderkey").alias("order_id"),
-            "order_item_id",
-            text("l_partkey").alias("product_id"),
-            text("l_suppkey").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            *(F.col(name) for name in lines.columns if name not in ("l_suppkey", "l_shipdate")),
-        )
+        hot = hot_orders(self.spark, self.path("lineitem"))
+        return number_within(lines, "l_orderkey", order, "order_item_id", hot)
 
     def _order_items(self) -> DataFrame:
-        return self.numbered_items.select(
-            "order_id",
+        return self.numbered_lines.selectExpr(
+            "cast(l_orderkey as string) as order_id",
             "order_item_id",
-            "product_id",
-            "seller_id",
-            "shipping_limit_date",
-            money_from_cents(F.col("l_extendedprice")).alias("price"),
-            money_from_cents(F.col("l_extendedprice") * F.col("l_discount")).alias("freight_value"),
+            "cast(l_partkey as string) as product_id",
+            "cast(l_suppkey as string) as seller_id",
+            "l_shipdate as shipping_limit_date",
+            f"{money_from_cents('l_extendedprice')} as price",
+            f"{money_from_cents('l_extendedprice * l_discount')} as freight_value",
         )
 
     def _order_payments(self) -> DataFrame:
-        kind = F.col("l_partkey") % 9
-        payment_type = F.lit("credit_card")
-        for remainder, name in PAYMENT_TYPES.items():
-            payment_type = F.when(kind == remainder, name).otherwise(payment_type)
-        uplift = (
-            F.when(F.col("l_orderkey") % 50 == 0, F.lit(1.6)).when(kind < 5, F.lit(1.0) + F.col("l_tax")).otherwise(1.0)
-        )
-        price = F.floor("l_extendedprice") / 100
-        freight = F.floor(F.col("l_extendedprice") * F.col("l_discount")) / 100
-        paid = (price + freight) * uplift
-        return self.numbered_items.select(
-            "order_id",
-            F.col("order_item_id").alias("payment_sequential"),
-            payment_type.alias("payment_type"),
-            (2 * F.col("l_linenumber") - 1).alias("payment_installments"),
-            money_from_cents(paid * 100).alias("payment_value"),
+        types = " ".join(f"when {part} then '{name}'" for part, name in PAYMENT_TYPES.items())
+        uplift = "case when l_orderkey % 50 = 0 then 1.6D when l_partkey % 9 < 5 then 1D + l_tax else 1D end"
+        paid = f"(floor(l_extendedprice) / 100 + floor(l_extendedprice * l_discount) / 100) * {uplift}"
+        return self.numbered_lines.selectExpr(
+            "cast(l_orderkey as string) as order_id",
+            "order_item_id as payment_sequential",
+            f"case l_partkey % 9 {types} else 'credit_card' end as payment_type",
+            "2 * l_linenumber - 1 as payment_installments",
+            f"{money_from_cents(f'{paid} * 100')} as payment_value",
         )
 
     def _order_reviews(self) -> DataFrame:
-        return self.numbered_items.filter(F.col("l_linenumber") == 1).select(
-            F.concat_ws("-", "order_id", text("order_item_id")).alias("review_id"),
-            "order_id",
-            (1 + F.col("l_partkey") % 5).cast("int").alias("review_score"),
+        return self.numbered_lines.filter("l_linenumber = 1").selectExpr(
+            "concat_ws('-', l_orderkey, order_item_id) as review_id",
+            "cast(l_orderkey as string) as order_id",
+            "cast(1 + l_partkey % 5 as int) as review_score",
         )
 
-    def _place(self, nation_key: str) -> DataFrame:
-        return self.file("nation").select(
-            F.col("n_nationkey").alias(nation_key),
-            F.col("n_name").alias("city"),
-            pick(NATION_STATES, F.col("n_nationkey")).alias("state"),
+    def _placed(self, name: str, nation: str) -> DataFrame:
+        """Rows of a file with the city and state of their nation; Spark broadcasts the 25 nations."""
+        places = self.file("nation").selectExpr(
+            f"n_nationkey as {nation}",
+            "n_name as city",
+            f"element_at({listed(NATION_STATES)}, n_nationkey + 1) as state",
         )
+        return self.file(name).join(places, nation)
 
     def _customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return (
-            self.file("customer")
-            .join(self._place("c_nationkey"), "c_nationkey")
-            .select(
-                text("c_custkey").alias("customer_id"),
-                (key - key % 2).cast("string").alias("customer_unique_id"),
-                (10000 + key % 9000).cast("string").alias("customer_zip_code_prefix"),
-                F.col("city").alias("customer_city"),
-                F.col("state").alias("customer_state"),
-            )
+        return self._placed("customer", "c_nationkey").selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "cast(c_custkey - c_custkey % 2 as string) as customer_unique_id",
+            "cast(10000 + c_custkey % 9000 as string) as customer_zip_code_prefix",
+            "city as customer_city",
+            "state as customer_state",
         )
 
     def _sellers(self) -> DataFrame:
-        return (
-            self.file("supplier")
-            .join(self._place("s_nationkey"), "s_nationkey")
-            .select(
-                text("s_suppkey").alias("seller_id"),
-                (10000 + F.col("s_suppkey") % 9000).cast("string").alias("seller_zip_code_prefix"),
-                F.col("city").alias("seller_city"),
-                F.col("state").alias("seller_state"),
-            )
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "cast(s_suppkey as string) as seller_id",
+            "cast(10000 + s_suppkey % 9000 as string) as seller_zip_code_prefix",
+            "city as seller_city",
+            "state as seller_state",
         )
 
     def _products(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        return self.file("part").select(
-            text("p_partkey").alias("product_id"),
-            F.when(size % 10 != 0, F.col("p_type")).alias("product_category_name"),
-            F.length("p_name").cast("bigint").alias("product_name_lenght"),
-            (size * 10).cast("bigint").alias("product_description_lenght"),
-            size.cast("bigint").alias("product_photos_qty"),
-            F.when(key % 97 != 0, size * 400).alias("product_weight_g"),
-            size.alias("product_length_cm"),
-            F.when(key % 89 != 0, size + 1).alias("product_height_cm"),
-            (size + 2).alias("product_width_cm"),
+        return self.file("part").selectExpr(
+            "cast(p_partkey as string) as product_id",
+            "if(p_size % 10 <> 0, p_type, null) as product_category_name",
+            "cast(length(p_name) as bigint) as product_name_lenght",
+            "cast(p_size * 10 as bigint) as product_description_lenght",
+            "cast(p_size as bigint) as product_photos_qty",
+            "if(p_partkey % 97 <> 0, p_size * 400, null) as product_weight_g",
+            "p_size as product_length_cm",
+            "if(p_partkey % 89 <> 0, p_size + 1, null) as product_height_cm",
+            "p_size + 2 as product_width_cm",
         )
 
     def _product_category_name_translation(self) -> DataFrame:
@@ -222,13 +195,15 @@ class DriverTables(Mapping):
         )
 
     def _geolocation(self) -> DataFrame:
-        key = F.col("customer_id").cast("bigint")
-        return self["customers"].select(
-            F.col("customer_zip_code_prefix").alias("geolocation_zip_code_prefix"),
-            (F.lit(-1.0) * (key % 30)).alias("geolocation_lat"),
-            (F.lit(-35.0) - (key % 38)).alias("geolocation_lng"),
-            F.col("customer_city").alias("geolocation_city"),
-            F.col("customer_state").alias("geolocation_state"),
+        return self["customers"].selectExpr(
+            "customer_zip_code_prefix as geolocation_zip_code_prefix",
+            "-1.0D * (cast(customer_id as bigint) % 30) as geolocation_lat",
+            "-35.0D - (cast(customer_id as bigint) % 38) as geolocation_lng",
+            "customer_city as geolocation_city",
+            "customer_state as geolocation_state",
         )
 
 
+def money_from_cents(cents: str) -> str:
+    """Money from cents, rounded down, without the slow way from double to decimal."""
+    return f"cast(cast(floor({cents}) as decimal(12,0)) * 0.01BD as decimal(10,2))"

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from orderlake.operators.numbering import hot_keys, number_within
+from orderlake.sources import driver_tables
 from orderlake.sources.driver_tables import DriverTables
 
 
@@ -31,21 +32,22 @@ def test_skewed_keys(spark, rows_per_task):
     rest = [(n % 100 + 10, n) for n in range(900)]
     rows = hot + copies + rest
     df = frame(spark, rows)
-    assert sorted(hot_keys(df, "k", rows_per_task)) == ([7, 8] if rows_per_task == 50 else [])
-    got = Counter(map(tuple, number_within(df, "k", ["p"], "n", rows_per_task).collect()))
+    hot = sorted(hot_keys(df, "k", rows_per_task))
+    assert hot == ([7, 8] if rows_per_task == 50 else [])
+    got = Counter(map(tuple, number_within(df, "k", ["p"], "n", hot, rows_per_task).collect()))
     assert got == numbered(rows)
 
 
 def test_hot_key_is_spread_over_ranges(spark):
     df = frame(spark, [(1, 0)] * 2000)
-    result = number_within(df, "k", ["p"], "n", 100)
+    result = number_within(df, "k", ["p"], "n", [1], 100)
     assert sorted(r.n for r in result.collect()) == list(range(1, 2001))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=1, max_size=60))
 def test_any_rows(spark, rows):
-    got = Counter(map(tuple, number_within(frame(spark, rows), "k", ["p"], "n", 10).collect()))
+    got = Counter(map(tuple, number_within(frame(spark, rows), "k", ["p"], "n", [0, 2], 10).collect()))
     assert got == numbered(rows)
 
 
@@ -54,8 +56,9 @@ def test_items_of_one_hot_order(spark, tmp_path, monkeypatch):
     source = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     lines = source.selectExpr("if(l_suppkey % 3 = 0, 1L, l_orderkey) as l_orderkey", *source.columns[1:])
     lines.write.parquet(str(tmp_path / "lineitem.parquet"))
-    plain = DriverTables(spark, str(tmp_path))["order_items"].collect()
-    monkeypatch.setattr("orderlake.operators.numbering.ROWS_PER_TASK", 300)
-    monkeypatch.setattr(number_within, "__defaults__", (300,))
     assert hot_keys(lines, "l_orderkey", 300) == [1]
-    assert Counter(DriverTables(spark, str(tmp_path))["order_items"].collect()) == Counter(plain)
+    items = {}
+    for hot in ((), (1,)):
+        monkeypatch.setattr(driver_tables, "hot_orders", lambda *_: hot)
+        items[hot] = Counter(DriverTables(spark, str(tmp_path))["order_items"].collect())
+    assert items[()] == items[(1,)]
