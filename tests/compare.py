@@ -12,10 +12,11 @@ import duckdb
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def connect(folder: str) -> duckdb.DuckDBPyConnection:
+def connect(folder: str, files: str = "") -> duckdb.DuckDBPyConnection:
+    """The given tables as views; `files` selects the files of a table that is a folder."""
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"create view {name} as select * from read_parquet('{Path(folder) / name}.parquet')")
+        con.execute(f"create view {name} as select * from read_parquet('{Path(folder) / name}.parquet{files}')")
     return con
 
 
