@@ -47,31 +47,30 @@ def fct_orders(
 
     A part that is not given adds neither its join nor its columns. Orders meet the customers first,
     while their rows are narrow; both roll-ups are then joined on order_id, which they are already
-    partitioned by. The customer key is hashed from the person id, so dim_customers is not joined;
-    it is null where no customer was found.
+    partitioned by. Keys are hashed last, so no digest goes through a shuffle. The customer key comes
+    from the person id, so dim_customers is not joined; it is null where no customer was found.
     """
-    facts = orders.select(
-        surrogate_key("order_id").alias("order_key"),
-        F.col("purchased_at").cast("date").alias("order_date_key"),
-        (F.col("delivery_days_actual") - F.col("delivery_days_estimated")).alias("delivery_days_vs_estimate"),
-        "*",
-    )
-    columns = list(ORDER_COLUMNS)
+    facts, columns = orders, list(ORDER_COLUMNS)
+    derived = {
+        "order_key": surrogate_key("order_id"),
+        "order_date_key": F.col("purchased_at").cast("date"),
+        "delivery_days_vs_estimate": F.col("delivery_days_actual") - F.col("delivery_days_estimated"),
+    }
     if customers is not None:
         facts = facts.join(customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
         person = F.col("customer_unique_id")
-        facts = facts.withColumn("customer_key", F.when(person.isNotNull(), surrogate_key(person)))
+        derived["customer_key"] = F.when(person.isNotNull(), surrogate_key(person))
         columns += CUSTOMER_COLUMNS
     if items is not None:
         known = [c for c in ITEM_COLUMNS if c in items.columns]
         facts = facts.join(items.select("order_id", *known), "order_id", "left")
         # An order without items counts zero of them, but its sums and mean stay unknown.
-        facts = facts.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ITEM_COUNTS if c in known})
+        derived |= {c: F.coalesce(F.col(c), F.lit(0)) for c in ITEM_COUNTS if c in known}
         columns += known
     if payments is not None:
         facts = facts.join(payments.select("order_id", *PAYMENT_COLUMNS), "order_id", "left")
         columns += PAYMENT_COLUMNS
-    return facts.select(*columns)
+    return facts.select(*(derived[c].alias(c) if c in derived else F.col(c) for c in columns))
 
 
 def fct_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:

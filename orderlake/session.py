@@ -8,14 +8,24 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# One shuffle partition should hold about this much, so that a sort of it fits an executor core.
-SHUFFLE_PARTITION_BYTES = 128 * MIB
+# What a task reads, or takes from a shuffle, on inputs of up to some terabytes.
+PARTITION_BYTES = 128 * MIB
+
+# A shuffle keeps one block per pair of map and reduce task. Beyond this many of either, tasks grow
+# instead: at 100 TB each side has about this many, with 1 GiB splits.
+MAX_PARTITIONS = 50_000
+MAX_SPLIT_BYTES = 1024 * MIB
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """Partitions to start a shuffle with; adaptive execution merges those that turn out small."""
-    by_size = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    return int(min(max(by_size, cores), 200_000))
+    by_size = -(-input_bytes // PARTITION_BYTES)
+    return int(min(max(by_size, cores), MAX_PARTITIONS))
+
+
+def split_bytes(input_bytes: int) -> int:
+    """Size of the file pieces that scans read."""
+    return int(min(max(input_bytes // MAX_PARTITIONS, PARTITION_BYTES), MAX_SPLIT_BYTES))
 
 
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -26,14 +36,14 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         # A partition that fits in memory is hashed rather than sorted to join it.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(PARTITION_BYTES),
         # Files are compressed: rows in memory take some times their size. Without this a table of
         # hundreds of thousands of rows passes for small and is broadcast.
         "spark.sql.sources.fileCompressionFactor": "4",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
-        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes(input_bytes)),
     }
 
 

@@ -54,7 +54,7 @@ def skewed(spark, tmp_path_factory):
             )
         if name == "orders":
             df = df.selectExpr("o_orderkey", "if(o_orderkey % 3 = 0, 1L, o_custkey) o_custkey", *df.columns[2:])
-        df.write.parquet(f"{folder}/{name}.parquet")
+        df.repartition(8).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
 
@@ -75,3 +75,32 @@ def test_hot_order_is_found(spark, skewed):
     lines = spark.read.parquet(f"{skewed}/lineitem.parquet")
     assert driver_tables.hot_keys(lines, "l_orderkey", 200) == [6]
     assert driver_tables.hot_orders(spark, f"{skewed}/lineitem.parquet") == ()
+
+
+def final_plan(df) -> str:
+    """The plan as adaptive execution ran it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["fct_order_items", "fct_orders"])
+def test_joins_split_hot_keys(spark, skewed, name):
+    """With thresholds to the size of the tables, the join on the hot key runs in several tasks."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.files.openCostInBytes": "1k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        assert "skew=true" in final_plan(QUERIES[name](spark, skewed))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
