@@ -59,11 +59,14 @@ class Stored:
     def __init__(self, read: Read, star: Star | None = None):
         self.read = read
         self.star = star
+        self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in MARTS or self.star is None:
-            return self.read(name)
-        return self.star[name]
+        if name not in MARTS and self.star is not None:
+            return self.star[name]
+        if name not in self._read:
+            self._read[name] = self.read(name)
+        return self._read[name]
 
     def order_facts(self, columns: Iterable[str]) -> DataFrame:
         return self["fct_orders"].select(*dict.fromkeys(columns))
