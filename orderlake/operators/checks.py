@@ -54,10 +54,11 @@ def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values that the parent does not have, with their number of rows. Null refers to nothing.
 
-    Child rows are counted per value before the join, so a value that many rows share is one row there.
+    Both sides are reduced to one row per value before the join, so no value is too frequent for it;
+    the join then uses the partitioning that this took.
     """
     references = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    known = parent.select(F.col(field).alias(column))
+    known = parent.select(F.col(field).alias(column)).distinct()
     return references.join(known, column, "left_anti")
 
 
@@ -253,7 +254,8 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
         if c.kind == "relationships"
     ]
     if parents:
-        found = found.join(reduce(DataFrame.unionByName, parents), ["number", "value"], "left_anti")
+        known = reduce(DataFrame.unionByName, parents).distinct()
+        found = found.join(known, ["number", "value"], "left_anti")
     number, rows = F.col("number"), F.col("row_count")
     keys = [n for n, c in checks.items() if c.kind == "unique"]
     by_value = keys + [n for n, c in checks.items() if c.kind == "accepted_values"]

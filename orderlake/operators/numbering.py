@@ -13,8 +13,11 @@ from orderlake.session import shared_folder
 # A task sorts this many rows of one key without trouble. No smaller table can hold a hot key.
 ROWS_PER_TASK = 5_000_000
 
-# The lowest share of a table that the heavy-hitter sketch can look for.
-MIN_SUPPORT = 1e-4
+# Hot keys hold at least this share of a table, so there are at most 10,000 of them.
+MIN_SHARE = 1e-4
+
+# Rows to look at for hot keys. A key at the lowest share shows up a thousand times among them.
+SAMPLE_ROWS = 10_000_000
 
 
 def number_within(
@@ -34,18 +37,18 @@ def number_within(
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list:
-    """Keys with more than `rows_per_task` rows and at least MIN_SUPPORT of the table.
+    """Keys with more than `rows_per_task` rows and MIN_SHARE of the table, by a sample of it.
 
-    The row count comes from file footers. Only a table big enough to hold such a key is read for
-    it: once for candidates, in a sketch of bounded size that misses none, once to count those.
+    The row count comes from file footers; only a table big enough to hold a hot key is sampled.
     """
     total = df.count()
     if total <= rows_per_task:
         return []
-    support = max(rows_per_task / total, MIN_SUPPORT)
-    candidates = [k for k in df.freqItems([key], support).first()[0] if k is not None]
-    counted = df.filter(F.col(key).isin(candidates)).groupBy(key).count()
-    return [row[0] for row in counted.filter(F.col("count") > rows_per_task).collect()]
+    fraction = min(1.0, SAMPLE_ROWS / total)
+    sample = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
+    limit = max(rows_per_task, MIN_SHARE * total) * fraction
+    counts = sample.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return [row[0] for row in counts.filter(F.col("count") > limit).collect()]
 
 
 def number_by_window(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:

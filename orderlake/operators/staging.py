@@ -63,20 +63,31 @@ def stg_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def stg_order_items(order_items: DataFrame) -> DataFrame:
+def item_amounts() -> list[Column]:
     price, freight = money(F.col("price")), money(F.col("freight_value"))
+    return [
+        price.alias("item_price"),
+        freight.alias("freight_value"),
+        (price + freight).alias("total_item_revenue"),
+    ]
+
+
+def stg_order_items(order_items: DataFrame) -> DataFrame:
     return order_items.select(
         "order_id",
         F.col("order_item_id").alias("item_sequence"),
         "product_id",
         "seller_id",
         moment("shipping_limit_date").alias("shipping_limit_at"),
-        price.alias("item_price"),
-        freight.alias("freight_value"),
-        (price + freight).alias("total_item_revenue"),
+        *item_amounts(),
     )
 
 
+def stg_item_amounts(order_items: DataFrame) -> DataFrame:
+    """What roll-ups need of the items: all but their sequence and dates."""
+    return order_items.select("order_id", "product_id", "seller_id", *item_amounts())
+
+
 def stg_payments(order_payments: DataFrame) -> DataFrame:
     return order_payments.select(
         "order_id",

@@ -133,7 +133,7 @@ QUERIES: dict[str, Query] = {
     ),
     "check_relationships": on_star(orders_outside_default_calendar),
     "check_relationships_orders_without_items": on_star(
-        lambda star: checks.relationships(star["stg_orders"], "order_id", star["stg_order_items"], "order_id")
+        lambda star: checks.relationships(star["stg_orders"], "order_id", star["stg_item_amounts"], "order_id")
     ),
     "assert_no_negative_revenue": on_star(
         lambda star: checks.assert_no_negative_revenue(star.order_facts(["order_id", "gross_revenue"]))

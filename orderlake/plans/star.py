@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from orderlake.operators import dimensions, facts, rollups, staging
+from orderlake.sources.schemas import UNNUMBERED_ITEMS
 
 STAGING = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_sellers", "stg_payments")
 ROLLUPS = ("int_order_items_rolled_up", "int_payments_rolled_up")
@@ -24,12 +25,13 @@ MARTS = (
 MODELS = {
     "stg_orders": (staging.stg_orders, "orders"),
     "stg_order_items": (staging.stg_order_items, "order_items"),
+    "stg_item_amounts": (staging.stg_item_amounts, UNNUMBERED_ITEMS),
     "stg_customers": (staging.stg_customers, "customers"),
     "stg_products": (staging.stg_products, "products", "product_category_name_translation"),
     "stg_sellers": (staging.stg_sellers, "sellers"),
     "stg_payments": (staging.stg_payments, "order_payments"),
-    "order_item_totals": (rollups.order_item_totals, "stg_order_items"),
-    "int_order_items_rolled_up": (rollups.int_order_items_rolled_up, "stg_order_items"),
+    "order_item_totals": (rollups.order_item_totals, "stg_item_amounts"),
+    "int_order_items_rolled_up": (rollups.int_order_items_rolled_up, "stg_item_amounts"),
     "int_payments_rolled_up": (rollups.int_payments_rolled_up, "stg_payments"),
     "dim_customers": (dimensions.dim_customers, "stg_customers"),
     "dim_products": (dimensions.dim_products, "stg_products"),
@@ -66,7 +68,9 @@ class Star:
         if name in MODELS and name not in self._made:
             operator, *inputs = MODELS[name]
             self._made[name] = operator(*(self[i] for i in inputs))
-        return self._made[name] if name in self._made else self.raw[name]
+        if name in self._made:
+            return self._made[name]
+        return self.raw["order_items" if name == UNNUMBERED_ITEMS and name not in self.raw else name]
 
     def order_facts(self, columns: Iterable[str]) -> DataFrame:
         """Some columns of fct_orders, with no join that they do not need.

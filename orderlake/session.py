@@ -56,6 +56,8 @@ def local_session(name: str = "orderlake", cores: int | str = 8, input_bytes: in
     return (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording where in Python each column was made takes longer than small queries run.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

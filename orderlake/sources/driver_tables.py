@@ -7,12 +7,12 @@ them by rules on the keys. Names and values are those of FIXTURES.md, section 2.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from functools import cached_property, lru_cache
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.operators.numbering import hot_keys, number_within
-from orderlake.sources.schemas import RAW_TABLES
+from orderlake.sources.schemas import RAW_TABLES, UNNUMBERED_ITEMS
 
 # Schemas of the given files. Stated, so that no job is spent on reading footers for them.
 FILE_SCHEMAS = {
@@ -54,12 +54,46 @@ def listed(values) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-@lru_cache(maxsize=64)
-def hot_orders(spark: SparkSession, path: str) -> tuple[int, ...]:
-    """Orders with too many lines for one task, found once per session. Were the file replaced, an
-    old answer would only balance the work differently."""
-    lines = spark.read.schema(FILE_SCHEMAS["lineitem"]).parquet(path)
-    return tuple(hot_keys(lines, "l_orderkey"))
+def money_from_cents(cents: str) -> str:
+    """Money from cents, rounded down, without the slow way from double to decimal."""
+    return f"cast(cast(floor({cents}) as decimal(12,0)) * 0.01BD as decimal(10,2))"
+
+
+ITEM_COLUMNS = (
+    "cast(l_orderkey as string) as order_id",
+    "cast(l_partkey as string) as product_id",
+    "cast(l_suppkey as string) as seller_id",
+    "l_shipdate as shipping_limit_date",
+    f"{money_from_cents('l_extendedprice')} as price",
+    f"{money_from_cents('l_extendedprice * l_discount')} as freight_value",
+)
+
+LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_shipdate",
+)
+
+
+def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(FILE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+@lru_cache(maxsize=16)
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with a sequence per order, since (l_orderkey, l_linenumber) repeats in the files.
+
+    Made once per session and folder: where an order is hot, its lines have then been written out.
+    """
+    lines = read_file(spark, folder, "lineitem").select(*LINE_COLUMNS)
+    # The last two only settle lines that are alike in all others, to make the numbers repeatable.
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax"]
+    return number_within(lines, "l_orderkey", order, "order_item_id", hot_keys(lines, "l_orderkey"))
 
 
 class DriverTables(Mapping):
@@ -77,18 +111,15 @@ class DriverTables(Mapping):
         return len(RAW_TABLES)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in RAW_TABLES:
+        if name not in (*RAW_TABLES, UNNUMBERED_ITEMS):
             raise KeyError(name)
         if name not in self._made:
             self._made[name] = getattr(self, f"_{name}")()
         return self._made[name]
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}.parquet"
-
     def file(self, name: str) -> DataFrame:
         """One given file as it is."""
-        return self.spark.read.schema(FILE_SCHEMAS[name]).parquet(self.path(name))
+        return read_file(self.spark, self.folder, name)
 
     def _orders(self) -> DataFrame:
         open_state = f"element_at({listed(OPEN_STATES)}, cast(o_orderkey % 8 + 1 as int))"
@@ -111,31 +142,17 @@ class DriverTables(Mapping):
             "o_orderdate + (10 + o_custkey % 30) * interval 1 day as order_estimated_delivery_date",
         )
 
-    @cached_property
-    def numbered_lines(self) -> DataFrame:
-        """Lines with a sequence per order; (l_orderkey, l_linenumber) repeats in the files."""
-        lines = self.file("lineitem").drop("l_quantity", "l_returnflag", "l_linestatus")
-        # The last two only settle lines that are alike in all others, to make the numbers repeatable.
-        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax"]
-        hot = hot_orders(self.spark, self.path("lineitem"))
-        return number_within(lines, "l_orderkey", order, "order_item_id", hot)
-
     def _order_items(self) -> DataFrame:
-        return self.numbered_lines.selectExpr(
-            "cast(l_orderkey as string) as order_id",
-            "order_item_id",
-            "cast(l_partkey as string) as product_id",
-            "cast(l_suppkey as string) as seller_id",
-            "l_shipdate as shipping_limit_date",
-            f"{money_from_cents('l_extendedprice')} as price",
-            f"{money_from_cents('l_extendedprice * l_discount')} as freight_value",
-        )
+        return numbered_lines(self.spark, self.folder).selectExpr("order_item_id", *ITEM_COLUMNS)
+
+    def _order_items_unnumbered(self) -> DataFrame:
+        return self.file("lineitem").selectExpr(*ITEM_COLUMNS)
 
     def _order_payments(self) -> DataFrame:
         types = " ".join(f"when {part} then '{name}'" for part, name in PAYMENT_TYPES.items())
         uplift = "case when l_orderkey % 50 = 0 then 1.6D when l_partkey % 9 < 5 then 1D + l_tax else 1D end"
         paid = f"(floor(l_extendedprice) / 100 + floor(l_extendedprice * l_discount) / 100) * {uplift}"
-        return self.numbered_lines.selectExpr(
+        return numbered_lines(self.spark, self.folder).selectExpr(
             "cast(l_orderkey as string) as order_id",
             "order_item_id as payment_sequential",
             f"case l_partkey % 9 {types} else 'credit_card' end as payment_type",
@@ -144,7 +161,7 @@ class DriverTables(Mapping):
         )
 
     def _order_reviews(self) -> DataFrame:
-        return self.numbered_lines.filter("l_linenumber = 1").selectExpr(
+        return numbered_lines(self.spark, self.folder).filter("l_linenumber = 1").selectExpr(
             "concat_ws('-', l_orderkey, order_item_id) as review_id",
             "cast(l_orderkey as string) as order_id",
             "cast(1 + l_partkey % 5 as int) as review_score",
@@ -202,8 +219,3 @@ class DriverTables(Mapping):
             "customer_city as geolocation_city",
             "customer_state as geolocation_state",
         )
-
-
-def money_from_cents(cents: str) -> str:
-    """Money from cents, rounded down, without the slow way from double to decimal."""
-    return f"cast(cast(floor({cents}) as decimal(12,0)) * 0.01BD as decimal(10,2))"

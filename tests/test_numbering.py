@@ -9,8 +9,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from orderlake.operators.numbering import hot_keys, number_within
-from orderlake.sources import driver_tables
-from orderlake.sources.driver_tables import DriverTables
 
 
 def numbered(rows):
@@ -49,16 +47,3 @@ def test_hot_key_is_spread_over_ranges(spark):
 def test_any_rows(spark, rows):
     got = Counter(map(tuple, number_within(frame(spark, rows), "k", ["p"], "n", [0, 2], 10).collect()))
     assert got == numbered(rows)
-
-
-def test_items_of_one_hot_order(spark, tmp_path, monkeypatch):
-    """An order with a third of all lines gets the same items on both ways."""
-    source = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    lines = source.selectExpr("if(l_suppkey % 3 = 0, 1L, l_orderkey) as l_orderkey", *source.columns[1:])
-    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
-    assert hot_keys(lines, "l_orderkey", 300) == [1]
-    items = {}
-    for hot in ((), (1,)):
-        monkeypatch.setattr(driver_tables, "hot_orders", lambda *_: hot)
-        items[hot] = Counter(DriverTables(spark, str(tmp_path))["order_items"].collect())
-    assert items[()] == items[(1,)]

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as driver
 from orderlake import session
 from orderlake.plans.queries import star_over
+from orderlake.sources import driver_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -39,8 +40,9 @@ def test_revenue_reads_few_columns(spark):
     ]
 
 
-def test_revenue_numbers_no_items(spark):
-    """Nothing asks for the sequence of items, so no window is left."""
+def test_revenue_numbers_no_items(spark, monkeypatch):
+    """Nothing asks for the sequence of items, so lines are not numbered at all."""
+    monkeypatch.setattr(driver_tables, "numbered_lines", None)
     assert "Window" not in plan(driver.queries()["metric_revenue_by_month"](spark, FOLDER))
 
 

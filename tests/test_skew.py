@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from orderlake.operators.numbering import hot_keys
 from orderlake.plans.queries import ORACLE_SQL, QUERIES
 from orderlake.sources import driver_tables
 from tests.compare import TABLES, assert_same, connect
@@ -63,18 +64,31 @@ def duck(skewed):
     return connect(skewed, "/*.parquet")
 
 
+@pytest.fixture(params=["window", "ranges"])
+def numbering(request, monkeypatch):
+    """Lines numbered as in a table too small for hot orders, or with the hot order in ranges."""
+    driver_tables.numbered_lines.cache_clear()
+    if request.param == "ranges":
+        monkeypatch.setattr(driver_tables, "hot_keys", lambda df, key: hot_keys(df, key, 200))
+        monkeypatch.setattr("orderlake.operators.numbering.number_within.__defaults__", ((), 200))
+    yield
+    driver_tables.numbered_lines.cache_clear()
+
+
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("hot", [(), (6,)], ids=["window", "ranges"])
-def test_skewed_tables(spark, skewed, duck, monkeypatch, name, hot):
-    monkeypatch.setattr(driver_tables, "hot_orders", lambda *_: hot)
-    monkeypatch.setattr("orderlake.operators.numbering.number_within.__defaults__", ((), 200))
+def test_skewed_tables(spark, skewed, duck, numbering, name):
     assert_same(QUERIES[name](spark, skewed), duck, ORACLE_SQL[name])
 
 
 def test_hot_order_is_found(spark, skewed):
     lines = spark.read.parquet(f"{skewed}/lineitem.parquet")
-    assert driver_tables.hot_keys(lines, "l_orderkey", 200) == [6]
-    assert driver_tables.hot_orders(spark, f"{skewed}/lineitem.parquet") == ()
+    assert hot_keys(lines, "l_orderkey", 200) == [6]
+    assert hot_keys(lines, "l_orderkey") == []
+
+
+def test_hot_order_is_found_in_a_sample(spark, skewed, monkeypatch):
+    monkeypatch.setattr("orderlake.operators.numbering.SAMPLE_ROWS", 1000)
+    assert hot_keys(spark.read.parquet(f"{skewed}/lineitem.parquet"), "l_orderkey", 200) == [6]
 
 
 def final_plan(df) -> str:
