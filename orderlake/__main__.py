@@ -5,6 +5,8 @@
     check   --raw DIR --marts DIR                  all data checks; exit code 1 on an error
     query   --marts DIR --metrics a,b [--group-by x,y]
     list                                           metrics and dimensions
+
+`--input-gib N --cores M` sizes partitions for the data and the cluster.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from orderlake.operators import checks, metrics
 from orderlake.operators.dimensions import END_DATE, START_DATE, date_range
 from orderlake.plans.build import Stored, build, create_views, ingest
 from orderlake.plans.star import Star
+from orderlake.session import MIB, settings
 from orderlake.sources.schemas import RAW_TABLES
 from orderlake.sources.tables import read_from_folder, save_to_folder
 
@@ -35,6 +38,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     }
     for command, options in folders.items():
         sub = commands.add_parser(command)
+        sub.add_argument("--input-gib", type=int, default=0, help="size of all inputs")
+        sub.add_argument("--cores", type=int, default=8, help="task slots of the cluster")
         for option in options:
             sub.add_argument(option, required=True, metavar="DIR")
         if command == "ingest":
@@ -51,7 +56,10 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     asked = arguments(argv)
-    spark = SparkSession.builder.appName("orderlake").getOrCreate()
+    builder = SparkSession.builder.appName("orderlake")
+    for key, value in settings(asked.input_gib * 1024 * MIB, asked.cores).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
 
     def sink(folder):
         return lambda df, name: save_to_folder(df, folder, name)

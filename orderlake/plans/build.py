@@ -25,11 +25,16 @@ STAMPED = ("dim_customers", "dim_products", "dim_sellers", "fct_orders", "fct_or
 WRITES = 4
 
 
+def side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
+    """Write several tables at a time; the first failure is raised once the others have ended."""
+    with ThreadPoolExecutor(WRITES) as pool:
+        list(pool.map(write, names))
+
+
 def ingest(spark: SparkSession, folder: str, save: Save, read: Read, prefix: str = "") -> DataFrame:
     """Replace all raw tables with the files of a folder; the result counts the stored rows."""
     raw = read_csv_folder(spark, folder, prefix)
-    for name, df in raw.items():
-        save(df, name)
+    side_by_side(lambda name: save(raw[name], name), raw)
     return row_counts({name: read(name) for name in raw})
 
 
@@ -46,8 +51,7 @@ def build(star: Star, save: Save, names: Iterable[str] = MARTS) -> None:
         df = star[name]
         save(df.withColumn(LOADED_AT, F.current_timestamp()) if name in STAMPED else df, name)
 
-    with ThreadPoolExecutor(WRITES) as pool:
-        list(pool.map(write, names))
+    side_by_side(write, names)
 
 
 class Stored:
