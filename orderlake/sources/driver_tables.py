@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.operators.numbering import hot_keys, number_within
+from orderlake.operators.numbering import ROWS_PER_TASK, hot_keys, number_by_window, number_within
 from orderlake.sources.schemas import RAW_TABLES, UNNUMBERED_ITEMS
 
 # Schemas of the given files. Stated, so that no job is spent on reading footers for them.
@@ -79,21 +79,44 @@ LINE_COLUMNS = (
     "l_shipdate",
 )
 
+# The last two only settle lines that are alike in all others, to make the numbers repeatable.
+LINE_ORDER = [
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_shipdate",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+]
+
 
 def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(FILE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-@lru_cache(maxsize=16)
+def lines_of(spark: SparkSession, folder: str) -> DataFrame:
+    return read_file(spark, folder, "lineitem").select(*LINE_COLUMNS)
+
+
 def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines with a sequence per order, since (l_orderkey, l_linenumber) repeats in the files.
+    """Lines with a sequence per order, since (l_orderkey, l_linenumber) repeats in the files."""
+    lines = lines_of(spark, folder)
+    total = lines.count()  # from file footers
+    if total > ROWS_PER_TASK:
+        return numbered_large(spark, folder, total, ROWS_PER_TASK)
+    return number_by_window(lines, ["l_orderkey"], LINE_ORDER, "order_item_id")
+
+
+@lru_cache(maxsize=4)
+def numbered_large(spark: SparkSession, folder: str, total: int, rows_per_task: int) -> DataFrame:
+    """As above for a table that may hold hot orders, whose lines are then written out.
 
-    Made once per session and folder: where an order is hot, its lines have then been written out.
+    Made once per session and table; `total` tells a table from another one put in its place.
     """
-    lines = read_file(spark, folder, "lineitem").select(*LINE_COLUMNS)
-    # The last two only settle lines that are alike in all others, to make the numbers repeatable.
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax"]
-    return number_within(lines, "l_orderkey", order, "order_item_id", hot_keys(lines, "l_orderkey"))
+    lines = lines_of(spark, folder)
+    hot = hot_keys(lines, "l_orderkey", rows_per_task)
+    return number_within(lines, "l_orderkey", LINE_ORDER, "order_item_id", hot, rows_per_task)
 
 
 class DriverTables(Mapping):

@@ -67,12 +67,8 @@ def duck(skewed):
 @pytest.fixture(params=["window", "ranges"])
 def numbering(request, monkeypatch):
     """Lines numbered as in a table too small for hot orders, or with the hot order in ranges."""
-    driver_tables.numbered_lines.cache_clear()
     if request.param == "ranges":
-        monkeypatch.setattr(driver_tables, "hot_keys", lambda df, key: hot_keys(df, key, 200))
-        monkeypatch.setattr("orderlake.operators.numbering.number_within.__defaults__", ((), 200))
-    yield
-    driver_tables.numbered_lines.cache_clear()
+        monkeypatch.setattr(driver_tables, "ROWS_PER_TASK", 200)
 
 
 @pytest.mark.parametrize("name", CASES)
@@ -118,3 +114,18 @@ def test_joins_split_hot_keys(spark, skewed, name):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_hot_lines_are_written_once(spark, skewed, monkeypatch):
+    monkeypatch.setattr(driver_tables, "ROWS_PER_TASK", 200)
+    first = driver_tables.numbered_lines(spark, skewed)
+    assert driver_tables.numbered_lines(spark, skewed) is first
+    assert "Scan ExistingRDD" in first._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_replaced_table_is_read_anew(spark, tmp_path):
+    one = spark.read.parquet(f"{SOURCE}/lineitem.parquet")
+    for rows in (one, one.unionByName(one)):
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+        items = driver_tables.DriverTables(spark, str(tmp_path))["order_items"]
+        assert items.count() == rows.count()
