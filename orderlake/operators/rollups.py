@@ -62,6 +62,7 @@ def int_payments_rolled_up(payments: DataFrame) -> DataFrame:
     """One pass for all payment facts of an order.
 
     Two types differ exactly if the least and the greatest do, which spares a distinct count.
+    Payments without an order have no dominant type, as no order could be matched to them.
     """
     kind = F.col("payment_type")
     several = F.coalesce(F.min(kind) != F.max(kind), F.lit(False))
@@ -70,7 +71,7 @@ def int_payments_rolled_up(payments: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("payment_record_count"),
         F.max("installment_count").alias("max_installments"),
         several.alias("is_multi_payment_method"),
-        dominant_type().alias("primary_payment_type"),
+        F.when(F.col("order_id").isNotNull(), dominant_type()).alias("primary_payment_type"),
     )
 
 

@@ -198,7 +198,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
           count(*) payment_record_count, max(installment_count) max_installments,
           count(distinct payment_type) >= 2 is_multi_payment_method,
           any_value(primary_payment_type) primary_payment_type
-        from stg_payments p join first_payment f on p.order_id = f.order_id group by 1""",
+        from stg_payments p left join first_payment f on p.order_id = f.order_id group by 1""",
     ),
     "bounds": (
         ("raw_orders",),
