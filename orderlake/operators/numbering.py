@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -59,18 +60,21 @@ def number_by_window(df: DataFrame, keys: list[str], order: list[str], name: str
 def number_by_ranges(df: DataFrame, key: str, order: list[str], name: str, rows_per_task: int) -> DataFrame:
     """Number rows range by range: place in the range, plus the sizes of the key's earlier ranges.
 
-    Ranges are drawn by sampling, so the placed rows are written to the checkpoint folder once; both
-    uses below then see the same ranges, also after an executor is lost. The row id as last sort
-    column splits runs of equal rows as well.
+    Ranges are drawn by sampling, so the placed rows are written to the shared folder once; both uses
+    below then see the same ranges, also after an executor is lost. The row id as last sort column
+    splits runs of equal rows as well.
     """
-    shared_folder(df.sparkSession)
+    spark = df.sparkSession
     ranges = max(2, -(-df.count() // rows_per_task))
-    placed = (
+    ranged = (
         df.withColumn("_row", F.monotonically_increasing_id())
         .repartitionByRange(ranges, key, *order, "_row")
         .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
     )
+    folder = f"{shared_folder(spark)}/ranges-{uuid4().hex}"
+    ranged.write.parquet(folder)
+    placed = spark.read.schema(ranged.schema).parquet(folder)
+
     earlier = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(key, "_range")

@@ -64,17 +64,14 @@ def local_session(name: str = "orderlake", cores: int | str = 8, input_bytes: in
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and written tables, as the cluster names it.
+    """The folder for tables that must outlive an executor, as the cluster names it.
 
     Without `spark.checkpoint.dir` a local master gets a folder of its own; a cluster is refused,
     because a folder on one machine is lost with that machine.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="orderlake-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return tempfile.mkdtemp(prefix="orderlake-")

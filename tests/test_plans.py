@@ -87,22 +87,17 @@ def test_partition_settings():
     assert session.settings(0, 8)["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def fake_session(master: str, named: str | None = None, in_use: str | None = None):
-    taken = []
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: in_use, setCheckpointDir=taken.append)
+def fake_session(master: str, named: str | None = None):
     conf = SimpleNamespace(get=lambda key, default: named if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=context), taken
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
 def test_shared_folder_is_the_one_the_session_names():
-    cluster, taken = fake_session("yarn", named="hdfs://shared/checkpoints")
-    assert session.shared_folder(cluster) == "hdfs://shared/checkpoints" == taken[0]
-    cluster, taken = fake_session("yarn", named="hdfs://shared/checkpoints", in_use="hdfs://shared/checkpoints/1")
-    assert session.shared_folder(cluster) == "hdfs://shared/checkpoints" and not taken
+    for master in ("yarn", "local[8]"):
+        assert session.shared_folder(fake_session(master, "hdfs://shared/work/")) == "hdfs://shared/work"
 
 
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
-        session.shared_folder(fake_session("spark://host:7077")[0])
-    local, taken = fake_session("local[8]")
-    assert session.shared_folder(local) == taken[0]
+        session.shared_folder(fake_session("spark://host:7077"))
+    assert session.shared_folder(fake_session("local[8]"))
