@@ -234,7 +234,7 @@ def finding(number: int, check: Check) -> Column:
 
 
 def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(number, violations) for all checks of one table, from one scan of it.
+    """(number, violations) for all checks of one table, from one scan of it; to be summed by number.
 
     Findings are counted per check and value on both sides of one shuffle, so no value is too
     frequent. References drop out where the parent has the value; that join uses the same
@@ -259,10 +259,8 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
     number, rows = F.col("number"), F.col("row_count")
     keys = [n for n, c in checks.items() if c.kind == "unique"]
     by_value = keys + [n for n, c in checks.items() if c.kind == "accepted_values"]
-    return (
-        found.filter((rows > 1) | ~number.isin(keys))
-        .groupBy("number")
-        .agg(F.sum(F.when(number.isin(by_value), F.lit(1)).otherwise(rows)).alias("violations"))
+    return found.filter((rows > 1) | ~number.isin(keys)).select(
+        number, F.when(number.isin(by_value), F.lit(1)).otherwise(rows).alias("violations")
     )
 
 
@@ -278,7 +276,7 @@ def check_report(
         table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
         for table in dict.fromkeys(c.table for c in numbered.values())
     ]
-    violations = reduce(DataFrame.unionByName, parts)
+    violations = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
 
     rows = [(n, c.name, c.kind, c.table, c.column, c.severity) for n, c in numbered.items()]
     declared = spark.createDataFrame(
