@@ -3,7 +3,7 @@
 Markup is stripped; every block of the page becomes a line. Navigation, adverts, forms, comments and the like leave WINDOW
 empty lines in their place, and so does what lies outside the article where a page marks one; lines that are mostly links
 count as empty. The lengths of lines are summed over sliding windows. Text surges where a sum rises from zero to the
-threshold and dives where it falls back to zero; all lines between such points are kept, however short they are.
+threshold and dives where it falls back to zero; all lines from the first surge to the last dive are kept, however short.
 
 Nulls, ties, repeated rows: null or empty html has no text; a page without main text gives the empty string; repeated rows
 are pages of their own. Broken markup (no closing tags, a cut tag at the end, bare < and &) is read as browsers do, nearly.
@@ -69,12 +69,13 @@ def _dropped(tag: str, attributes: str) -> bool:
 
 
 class _Lines:
-    """Lines of a page: text, code points in links, and whether the line lies in an article."""
+    """Lines of a page: text, code points in links, whether the line lies in an article, and whether it is the page's heading."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, bool]] = []
         self.parts: list[str] = []
         self.linked = 0
+        self.headings = 0
 
     def add(self, text: str, in_link: bool) -> None:
         self.parts.append(text)
@@ -85,15 +86,15 @@ class _Lines:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.linked, in_article))
+                self.lines.append((text, self.linked, in_article, self.headings > 0))
             self.parts, self.linked = [], 0
 
     def gap(self, in_article: bool) -> None:
         self.end(in_article)
-        self.lines.extend([("", 0, in_article)] * WINDOW)
+        self.lines.extend([("", 0, in_article, False)] * WINDOW)
 
 
-def page_lines(html: str) -> list[tuple[str, int, bool]]:
+def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
     out = _Lines()
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is dropped
     dropped = links = articles = 0
@@ -106,6 +107,7 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
             out.end(articles > 0)
         dropped -= drops
         links -= tag == "a"
+        out.headings -= tag == "h1"
         if tag in ARTICLE:
             articles -= 1
             if not dropped:
@@ -161,6 +163,7 @@ def page_lines(html: str) -> list[tuple[str, int, bool]]:
         dropped += drops
         links += tag == "a"
         articles += tag in ARTICLE
+        out.headings += tag == "h1"
         stack.append((tag, drops))
     out.end(articles > 0)
     return out.lines
@@ -201,19 +204,19 @@ def text_between(lengths: list[int], threshold: int, window: int = WINDOW) -> li
 def main_text(html: str | None) -> str:
     """The page's main text, its blocks joined by line ends."""
     lines = page_lines(html or "")
-    marked = any(text and inside for text, _, inside in lines)
+    marked = any(text and inside for text, _, inside, _ in lines)
     if marked:
-        lengths = [len(text) if inside else 0 for text, _, inside in lines]
-        threshold = 1
+        lengths = [len(text) if inside else 0 for text, _, inside, _ in lines]
+        ranges = text_between(lengths, 1)
     else:
-        lengths = [len(text) if linked <= LINK_SHARE * len(text) else 0 for text, linked, _ in lines]
-        threshold = THRESHOLD
-        if not text_between(lengths, threshold):
-            threshold = max(1, max([0, *lengths]))
-    kept = []
-    for low, high in text_between(lengths, threshold):
-        kept.extend(text for (text, _, inside), size in zip(lines[low:high], lengths[low:high], strict=True) if text and (inside if marked else size))
-    return "\n".join(kept)
+        lengths = [len(text) if linked <= LINK_SHARE * len(text) else 0 for text, linked, _, _ in lines]
+        # The page's heading makes text surge whatever its length.
+        weighed = [n and n + THRESHOLD * heading for n, (*_, heading) in zip(lengths, lines, strict=True)]
+        ranges = text_between(weighed, THRESHOLD) or text_between(lengths, max(1, max([0, *lengths])))
+    if not ranges:
+        return ""
+    low, high = ranges[0][0], ranges[-1][1]
+    return "\n".join(text for (text, *_), size in zip(lines[low:high], lengths[low:high], strict=True) if size)
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -88,23 +88,45 @@ def bands(size: int) -> list[tuple[int, int]]:
     return found
 
 
-def sketch_words(shingles: np.ndarray, band: int, emitted: int, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+class Frequencies:
+    """Counts of the frequent shingles; all others count as 0."""
+
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+        order = np.argsort(shingles)
+        self.shingles, self.counts = shingles[order], counts[order]
+        self.cells = np.zeros(1 << 21, bool)
+        self.cells[self._cell(shingles)] = True
+
+    def _cell(self, shingles: np.ndarray) -> np.ndarray:
+        return (shingles & np.uint64(len(self.cells) - 1)).astype(np.int64)
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(shingles), np.int64)
+        maybe = np.flatnonzero(self.cells[self._cell(shingles)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.shingles, shingles[maybe]), len(self.shingles) - 1)
+            out[maybe] = np.where(self.shingles[at] == shingles[maybe], self.counts[at], 0)
+        return out
+
+
+def sketch_words(shingles: np.ndarray, band: int, emitted: int, frequencies: Frequencies) -> np.ndarray:
     """Keys of the rarest words of the set's sketch in this band, so many."""
     words = max(LEAST_WORDS, SKETCH_WORDS * BAND**band)
+    often = frequencies.of(shingles)
     spread = mixed(shingles + np.uint64(0x8EBC6AF09C88C6E3))
     word = (spread >> np.uint64(32)).astype(np.int64) % words
-    order = np.argsort(word, kind="stable")
-    word, shingles = word[order], shingles[order]
+    order = np.argsort(word)
+    word, shingles, often = word[order], shingles[order], often[order]
     starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     value = np.bitwise_xor.reduceat(mixed(shingles + np.uint64(band + 1)), starts)
     keys = mixed(value ^ mixed(((word[starts] + 1) << 8 | band).astype(np.uint64)))
     if len(keys) > emitted:
-        often = np.zeros(len(shingles), np.int64)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-            often = np.where(frequent[at] == shingles, counts[at], 0)
         # A word is at most as frequent as its rarest shingle.
-        return keys[np.lexsort((keys, np.minimum.reduceat(often, starts)))[:emitted]]
+        often = np.minimum.reduceat(often, starts)
+        rare = keys[often == 0]
+        if len(rare) >= emitted:
+            return np.partition(rare, emitted - 1)[:emitted]
+        return keys[np.lexsort((keys, often))[:emitted]]
     empty = np.setdiff1d(np.arange(words), word)[: emitted - len(keys)]
     return np.concatenate([keys, mixed(((empty + 1) << 8 | band).astype(np.uint64))])
 
@@ -154,9 +176,9 @@ def _profiles(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     return rows.mapInArrow(profile, schema)
 
 
-def _buckets(docs: DataFrame, text: Column, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
+def _buckets(docs: DataFrame, text: Column, frequencies: Frequencies) -> DataFrame:
     """Rows (key, first, class): members of a bucket besides its first one, each once."""
-    held = docs.sparkSession.sparkContext.broadcast((frequent, counts))
+    held = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # spares copies that this task has emitted already
@@ -170,7 +192,7 @@ def _buckets(docs: DataFrame, text: Column, frequent: np.ndarray, counts: np.nda
                     seen.clear()
                 seen.add(name)
                 for band, differ in bands(len(shingles)):
-                    keys.append(sketch_words(shingles, band, differ + 1, *held.value).view(np.int64))
+                    keys.append(sketch_words(shingles, band, differ + 1, held.value).view(np.int64))
                     classes.append(np.full(len(keys[-1]), name, np.int64))
                     waiting += len(keys[-1])
                 if waiting > 500_000:
@@ -244,9 +266,9 @@ def _with_component(rows: DataFrame, column: str, labels: DataFrame, name: str)
     return joined.withColumn(name, F.coalesce("_of", column)).drop("_node", "_of")
 
 
-def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> tuple[DataFrame, DataFrame]:
+def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies: Frequencies) -> tuple[DataFrame, DataFrame]:
     """Links between classes, enough of them to connect all that hangs together, and the components they make."""
-    buckets = stored(_buckets(docs, text, frequent, counts), "buckets")
+    buckets = stored(_buckets(docs, text, frequencies), "buckets")
     wanted = buckets.select("class").union(buckets.select(F.col("first").alias("class"))).distinct()
     texts = stored(_candidate_texts(docs, text, stored(wanted, "wanted")), "texts")
     known = classes.select("class", "n", *_SKETCHES)
@@ -258,17 +280,24 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequent: np
     stars = buckets.groupBy(F.col("first").alias("x"), F.col("class").alias("y")).agg(F.count("*").alias("shared"))
     stars = stored(plausible(stars), "stars")
     # Each class first meets the one with which it shares most: that connects most groups.
-    best = stars.groupBy("y").agg(F.max(F.struct("shared", "x"))["x"].alias("x")).select("x", "y")
+    best = stored(stars.groupBy("y").agg(F.max(F.struct("shared", "x"))["x"].alias("x")).select("x", "y"), "best")
     links = stored(_linked(best, texts), "links")
     labels = connected(links)
 
     def apart(pairs: DataFrame) -> DataFrame:
         placed = _with_component(_with_component(pairs, "x", labels, "cx"), "y", labels, "cy")
-        return placed.where("cx != cy").select("x", "y")
+        return placed.where("cx != cy")
 
-    more = stored(_linked(apart(stars.select("x", "y").join(best, ["x", "y"], "left_anti")), texts), "links")
-    links = links.union(more)
+    # Then each two components by the pair that shares most, and at last all pairs still apart.
+    nearest = apart(stars).groupBy("cx", "cy").agg(F.max(F.struct("shared", "x", "y")).alias("m")).select("m.x", "m.y")
+    nearest = stored(nearest, "nearest")
+    tested = best.union(nearest)
+    links = links.union(stored(_linked(nearest, texts), "links"))
+    labels = connected(links)
+    others = apart(stars).select("x", "y").join(tested, ["x", "y"], "left_anti")
+    more = stored(_linked(others, texts), "links")
     if not more.isEmpty():
+        links = links.union(more)
         labels = connected(links)
     # What is left: members of one bucket, other than its first, in different components.
     members = _with_component(_with_component(buckets, "first", labels, "of_first"), "class", labels, "component")
@@ -290,12 +319,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     profiles = stored(_profiles(docs, F.col(doc_id), F.col(text)), "profiles")
     often = profiles.where("shingle is not null").groupBy("shingle").agg(F.sum("often").alias("often"))
     top = often.orderBy(F.desc("often"), "shingle").limit(FREQUENT).toArrow()
-    frequent, counts = top.column("shingle").to_numpy().view(np.uint64), top.column("often").to_numpy()
-    order = np.argsort(frequent)
+    frequencies = Frequencies(top.column("shingle").to_numpy().view(np.uint64), top.column("often").to_numpy())
     documents = profiles.where("shingle is null")
     same = [F.min(c).alias(c) for c in ("n", *_SKETCHES)]
     classes = stored(documents.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"), *same), "classes")
-    _, labels = _class_links(docs, F.col(text), classes, frequent[order], counts[order])
+    _, labels = _class_links(docs, F.col(text), classes, frequencies)
     placed = _with_component(classes.select("class", "class_id"), "class", labels, "component")
     smallest = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
     decided = stored(placed.join(smallest, "component").select("class", "class_id", "component", "component_id"), "components")

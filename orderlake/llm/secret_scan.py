@@ -56,7 +56,7 @@ def bits(value: str) -> float:
 def looks_live(value: str) -> bool:
     """Random rather than a word, a path or a name: digits mixed with letters all over."""
     changes = sum(a.isdigit() != b.isdigit() for a, b in pairwise(value))
-    return changes >= len(value) / 8 and any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and bits(value) >= LEAST_BITS
+    return changes >= max(4, len(value) / 5) and any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and bits(value) >= LEAST_BITS
 
 
 def more_candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:

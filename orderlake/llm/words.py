@@ -11,7 +11,7 @@ import pyarrow as pa
 #: White space that separates words.
 SPACES = b" \t\n\x0b\x0c\r"
 #: So many bytes are worked on at once; a longer text is cut at white space.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 
 _SEED = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUES = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -29,8 +29,9 @@ def byte_set(members: bytes) -> np.ndarray:
 IS_SPACE = byte_set(SPACES)
 #: First bytes of code points.
 IS_FIRST = byte_set(bytes(x for x in range(256) if not 0x80 <= x < 0xC0))
-_LOWERED = np.arange(256, dtype=np.uint8)
-_LOWERED[65:91] += 32
+#: Values of bytes where A-Z count as a-z.
+_LOWERED_VALUES = _BYTE_VALUES.copy()
+_LOWERED_VALUES[65:91] = _BYTE_VALUES[97:123]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -113,7 +114,9 @@ def hashed_words(texts: pa.Array, lower: bool, is_gap: np.ndarray = IS_SPACE, is
             ends_word[:-1] &= ~inside[1:] | edge[1:-1]
             start, end = np.flatnonzero(starts_word), np.flatnonzero(ends_word) + 1
             sums = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(_BYTE_VALUES[_LOWERED[raw] if lower else raw] * _powers(_BASE, high - low), out=sums[1:])
+            values = (_LOWERED_VALUES if lower else _BYTE_VALUES)[raw]
+            values *= _powers(_BASE, high - low)
+            np.cumsum(values, out=sums[1:])
             back = _powers(_INVERSE, high - low)[start]
             found.append(mixed((sums[end] - sums[start]) * back + (end - start).astype(np.uint64)))
             for size, own in zip(stem_bytes, stems, strict=True):

@@ -1,0 +1,60 @@
+"""Exact duplicates against a dictionary of texts."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+from orderlake.llm.exact_dedup import deduplicate, exact_groups
+from tests.llm.corpus import clashing, documents, empty, rows
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def brute(data):
+    groups = defaultdict(list)
+    for row in data:
+        groups[normal(row[1])].append(row[0])
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = min(known) if known else None
+        for nth, i in enumerate(sorted(ids, key=lambda x: (x is None, x))):
+            out.append((i, keep, len(ids), nth == 0, hashlib.sha256(text.encode()).hexdigest()))
+    return Counter(out)
+
+
+def test_every_row_gets_its_group(spark):
+    assert Counter(map(tuple, exact_groups(documents(spark)).collect())) == brute(rows())
+
+
+def test_a_hot_text(spark):
+    data = [(i, "the same  text" if i % 3 else f"text {i}", "en", "a", 1) for i in range(600)]
+    docs = spark.createDataFrame(data, documents(spark).schema).repartition(8)
+    assert Counter(map(tuple, exact_groups(docs).collect())) == brute(data)
+    assert sorted(r.doc_id for r in deduplicate(docs).collect()) == sorted([1, *range(0, 600, 3)])
+
+
+def test_one_row_of_each_text_stays_as_it_came(spark):
+    kept = [tuple(r) for r in deduplicate(documents(spark)).collect()]
+    assert set(kept) <= set(rows())
+    assert Counter(normal(r[1]) for r in kept) == Counter({normal(r[1]): 1 for r in rows()})
+    for row in kept:
+        assert row[0] == min((r[0] for r in rows() if normal(r[1]) == normal(row[1]) and r[0] is not None), default=None)
+
+
+def test_other_columns_and_no_rows(spark):
+    docs = clashing(spark)
+    kept = deduplicate(docs)
+    assert kept.dtypes == docs.dtypes and kept.count() == deduplicate(documents(spark)).count()
+    assert exact_groups(docs).count() == docs.count()
+    assert exact_groups(empty(spark)).count() == deduplicate(empty(spark)).count() == 0
+
+
+def test_no_python_runs_on_executors(spark):
+    for df in (exact_groups(documents(spark)), deduplicate(documents(spark))):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "Arrow" not in text and "rangepartitioning" in text and "SortAggregate" in text

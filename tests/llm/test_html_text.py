@@ -1,0 +1,90 @@
+"""Main text of pages."""
+
+from __future__ import annotations
+
+import html as references
+import re
+
+import pytest
+
+from orderlake.llm.html_text import WINDOW, extracted, main_text, text_between
+
+CHROME = {
+    "nav": "<nav><ul><li><a href='/a'>Home page</a><li><a href='/b'>All the news of the day</a></ul></nav>",
+    "header": "<header><p>The paper that tells you everything about all things</p></header>",
+    "footer": "<footer>&copy; 2024 All rights are reserved by somebody, somewhere</footer>",
+    "aside": "<aside><h2>Read also</h2><p>Another article that is quite long and has nothing to do with it.</p></aside>",
+    "advert": "<div class='ad-slot big'><p>Buy this thing today, it is cheaper than it will ever be again!</p></div>",
+    "cookie notice": "<div id=cookie-notice role=dialog>We use cookies, and you will have to live with that, dear reader.</div>",
+    "form": "<form action=x><label>Your name</label><input name=n><textarea>Tell us what you think of it</textarea></form>",
+    "comments": "<section class='comments'><p>First! This is a very good article and I liked reading it.</p></section>",
+    "script": "<script>if (a < b) { document.write('<p>not a text at all</p>'); }</script>",
+    "style": "<style>p > a { color: red } /* <p>no text</p> */</style>",
+    "comment": "<!-- <p>left out long ago, since nobody wanted to read it</p> -->",
+    "hidden": "<div hidden><p>Something that no reader gets to see at all</p></div>",
+}
+TEXT = ["Title &amp; more", "A first paragraph that goes on for a while, as paragraphs do.", "Short.", "With <b>bold</b> and <i>slanted</i> words,\n  and&nbsp;spaces.", "Last &lt;one&gt; of them, with some more words in it."]
+EXPECTED = "\n".join(" ".join(references.unescape(re.sub("<.*?>", "", t)).split()) for t in TEXT)
+
+
+def body(*between: str) -> str:
+    blocks = [f"<h1>{TEXT[0]}</h1>", *(f"<p>{t}</p>" for t in TEXT[1:])]
+    for i, part in enumerate(between):
+        blocks.insert(1 + i % len(TEXT), part)
+    return "".join(blocks)
+
+
+@pytest.mark.parametrize("part", list(CHROME))
+@pytest.mark.parametrize("container", ["article", "main", "div"])
+def test_what_is_not_the_article_goes(part, container):
+    extra = CHROME[part]
+    assert main_text(f"<html><head><title>T</title></head><body>{extra}<{container}>{body(extra)}</{container}>{extra}</body></html>") == EXPECTED
+
+
+def test_all_at_once_and_cut_short():
+    parts = list(CHROME.values())
+    page = f"<!DOCTYPE html><html><head><title>x</title></head><body>{''.join(parts)}<article>{body(*parts)}</article>{''.join(parts)}"
+    assert main_text(page) == EXPECTED
+    assert main_text(page + "<p class='cu") == EXPECTED
+
+
+def test_broken_markup():
+    assert main_text("<article><p>one<p>two <b>bold<p>a < b & c &amp; d</article>") == "one\ntwo bold\na < b & c & d"
+    assert main_text("<article><p>x</p></div></section>y</article><p>z") == "x\ny"
+    assert main_text("<ARTICLE><P>x<BR>y</P></ARTICLE>") == "x y"
+
+
+@pytest.mark.parametrize("page, text", [(None, ""), ("", ""), ("  ", ""), ("<p></p>", ""), ("plain", "plain"), ("<nav>only a menu</nav>", ""), ("<article> </article>", "")])
+def test_pages_with_little(page, text):
+    assert main_text(page) == text
+
+
+def test_short_pages_and_very_long_ones():
+    assert main_text("<div><p>Tiny.</p></div>") == "Tiny."
+    many = [f"Paragraph {i}." for i in range(20_000)]
+    assert main_text("<article>" + "".join(f"<p>{x}</p>" for x in many) + "</article>") == "\n".join(many)
+    assert main_text("<div>" + "".join(f"<p>{x}</p>" for x in many) + "</div>") == "\n".join(many)
+
+
+def test_surges_and_dives():
+    lengths = [0, 0, 5, 0, 0, 0, 0, 90, 3, 0, 0, 4, 0, 0, 0, 70]
+    got = text_between(lengths, 60, WINDOW)
+    assert [sum(lengths[a:b]) for a, b in got] == [97, 70]
+
+
+def test_given_pages(spark):
+    """The pages' articles, read by a plain pattern."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in extracted(pages).collect()}
+    for row in pages.collect():
+        article = re.search(r"<article>(.*?)(?:</article>|$)", row.html, re.S).group(1)
+        blocks = (" ".join(references.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1|br)>", article))
+        text = "\n".join(filter(None, blocks))
+        assert got[row.page_id] == (row.url, text, len(text))
+
+
+def test_rows(spark):
+    data = [(1, "u", None), (1, "u", None), (None, None, "<article>é日</article>")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
+    assert sorted(map(tuple, extracted(pages).collect()), key=str) == [(1, "u", "", 0), (1, "u", "", 0), (None, None, "é日", 2)]
+    assert extracted(pages.limit(0)).count() == 0

@@ -1,0 +1,87 @@
+"""Toxicity: held-out accuracy, located sentences, and what labels may be learnt."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from orderlake.llm.queries import op10_toxicity
+from orderlake.llm.toxicity import FEATURES, TOXIC, document_scores, held_out, offending, scored, sentences, trained, training_rows, without_toxic
+from tests.llm.corpus import clashing, documents, empty, prose
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def made(spark, n=400, seed=1):
+    """Documents of some sentences; toxic ones hold one bad sentence. Labels cover most."""
+    rng = random.Random(seed)
+    rows, labels, bad = [], [], {}
+    for i in range(n):
+        parts = [" ".join(prose(rng, 12)) for _ in range(rng.randrange(1, 30))]
+        if i % 5 == 0:
+            bad[i] = rng.randrange(len(parts))
+            parts[bad[i]] += rng.choice([" vilething", " vilestuff nastyword", " nastyword"])
+        rows.append((i, ". ".join(parts) + ".", "en", "a", 0))
+        if i % 7:
+            labels.append((i, 1, int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, documents(spark).schema).repartition(3)
+    return docs, spark.createDataFrame(labels, LABELS), bad
+
+
+def test_documents_and_their_sentences(spark):
+    docs, labels, bad = made(spark)
+    weights = trained(docs, labels)
+    scores = {r.doc_id: r.score for r in scored(docs, weights).collect()}
+    assert {i for i, s in scores.items() if s >= TOXIC} == set(bad)
+    found = {(r.doc_id, r.sentence) for r in offending(docs, weights).collect()}
+    assert found == set(bad.items())
+    assert sorted(r.doc_id for r in without_toxic(docs, labels).collect()) == [i for i in range(400) if i not in bad]
+
+
+def test_long_clean_documents_stay_clean(spark):
+    docs, labels, _ = made(spark)
+    weights = trained(docs, labels)
+    rng = random.Random(9)
+    text = ". ".join(" ".join(prose(rng, 12)) for _ in range(5000))
+    for _, _, found in sentences(pa.array([text, "", text + " vilething"])):
+        scores = document_scores(weights, found, len(found.document) and int(found.document.max()) + 1)
+        assert scores[0] < 0.05 or scores[-1] > TOXIC
+
+
+def test_held_out_labels_are_not_read(spark):
+    docs, labels, _ = made(spark)
+    read = training_rows(docs, labels).collect()
+    assert read and all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in read)
+    flipped = labels.withColumn("toxic", pytest.importorskip("pyspark.sql.functions").when(held_out(labels.doc_id), 1 - labels.toxic).otherwise(labels.toxic))
+    assert (trained(docs, labels) == trained(docs, flipped)).all()
+
+
+def test_the_sample_is_bounded(spark):
+    docs, labels, _ = made(spark)
+    assert training_rows(docs, labels, most=10).count() == 20
+
+
+def test_rows(spark):
+    odd = clashing(spark)
+    labels = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (2, 1, 0), (None, 1, 1), (3, None, None), (9999, 1, 1)], LABELS)
+    assert without_toxic(odd, labels).dtypes == odd.dtypes
+    assert scored(odd, np.zeros(FEATURES)).count() == odd.count()
+    for docs, known in ((odd, labels.limit(0)), (empty(spark), labels), (empty(spark), labels.limit(0))):
+        assert not trained(docs, known).any()
+        assert without_toxic(docs, known).count() == docs.count()
+    nulls = {(r.doc_id, r.score) for r in scored(odd, np.ones(FEATURES)).collect() if r.doc_id in (1000, 1001, 1002)}
+    assert nulls == {(1000, 0.0), (1001, 0.0), (1002, 0.0)}
+    assert {r.held_out for r in odd.select(held_out(odd.doc_id).alias("held_out")).collect()} == {True, False}
+
+
+def test_given_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    got = op10_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").collect()
+    toxic, clean = [r for r in got if r.toxic], [r for r in got if not r.toxic]
+    assert np.mean([r.predicted for r in toxic]) > 0.88
+    assert np.mean([r.predicted for r in clean]) < 0.02
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
