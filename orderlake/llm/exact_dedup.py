@@ -1,9 +1,9 @@
 """Exact duplicates by sorting whole texts.
 
-Splitters that Spark samples range-partition the normalised bytes, together with the identifier, so that a text with very
-many copies spreads over as many ranges as it fills. In each range an external sort places equal texts next to each other,
-and a sort aggregate compares neighbours in full and keeps the smallest identifier of a run. Runs of a text that lies across
-ranges meet once more, one row for each range.
+Splitters that Spark samples range-partition the normalised bytes: by their first ones, then by a hash of them all, then by
+identifier, so that splitters stay short and a text with very many copies spreads over as many ranges as it fills. In each
+range an external sort places equal texts next to each other, and a sort aggregate compares neighbours in full and keeps the
+smallest identifier of a run. Runs of a text that lies across ranges meet once more, one row for each range.
 
 Nulls, ties, repeated rows: a null text counts as empty; a null identifier comes after all others; of rows that repeat both
 identifier and text, one stays. An empty table gives an empty result. Other columns may have any name and type.
@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Characters at the start of a text by which ranges are cut; what follows decides through a hash.
+LEADING = 16
+
 
 def normalised(text: Column) -> Column:
     """Each run of white space becomes one space; null becomes empty."""
@@ -27,7 +30,8 @@ def _order(doc_id: Column) -> Column:
 
 def _sorted_groups(rows: DataFrame, *aggregates: Column) -> DataFrame:
     """rows: norm, id and others. One row for each norm."""
-    return rows.repartitionByRange("norm", "id").groupBy("norm").agg(*aggregates)
+    ranges = rows.repartitionByRange(F.substring("norm", 1, LEADING), F.xxhash64("norm"), "id")
+    return ranges.groupBy("norm").agg(*aggregates)
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
