@@ -1,12 +1,14 @@
 """Command line: `spark-submit` or `python -m orderlake <command>`.
 
-    ingest  --files DIR --raw DIR [--prefix P]     CSV files to raw tables, with row counts
-    build   --raw DIR --marts DIR [--start D --end D]
-    check   --raw DIR --marts DIR                  all data checks; exit code 1 on an error
-    query   --marts DIR --metrics a,b [--group-by x,y]
+    ingest  --files DIR --raw PLACE [--prefix P]   CSV files to raw tables, with row counts
+    build   --raw PLACE --marts PLACE [--staging DATABASE] [--start D --end D]
+    check   --raw PLACE --marts PLACE              all data checks; exit code 1 on an error
+    query   --marts PLACE --metrics a,b [--group-by x,y] [--every-period] [--out DIR]
     list                                           metrics and dimensions
 
-`--input-gib N --cores M` sizes partitions for the data and the cluster.
+A place is a folder or, written `database:NAME`, a database of the catalog. A query's whole result goes
+to the folder named by --out, as Parquet, or else to the screen. `--input-gib N --cores M` sizes
+partitions for the data and the cluster.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from pyspark.sql import SparkSession
 
 from orderlake.operators import checks, metrics
 from orderlake.operators.dimensions import END_DATE, START_DATE, date_range
-from orderlake.plans.build import Stored, build, create_views, ingest
+from orderlake.plans.build import Stored, build, create_views, ingest, save_staging
 from orderlake.plans.star import Star
 from orderlake.session import MIB, settings
 from orderlake.sources.schemas import RAW_TABLES
-from orderlake.sources.tables import read_from_folder, save_to_folder
+from orderlake.sources.tables import read_from_database, read_from_folder, save_to_database, save_to_folder
+
+DATABASE = "database:"
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -41,7 +45,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--input-gib", type=int, default=0, help="size of all inputs")
         sub.add_argument("--cores", type=int, default=8, help="task slots of the cluster")
         for option in options:
-            sub.add_argument(option, required=True, metavar="DIR")
+            sub.add_argument(option, required=True, metavar="DIR" if option == "--files" else "PLACE")
         if command == "ingest":
             sub.add_argument("--prefix", default="", help="what file names begin with")
         if command in ("build", "check"):
@@ -50,7 +54,10 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         if command == "query":
             sub.add_argument("--metrics", required=True)
             sub.add_argument("--group-by", default="")
-            sub.add_argument("--rows", type=int, default=1000, help="rows to print")
+            sub.add_argument("--every-period", action="store_true", help="running totals for all periods")
+            sub.add_argument("--out", metavar="DIR", help="folder for the result")
+        if command == "build":
+            sub.add_argument("--staging", metavar="DATABASE", help="database for the staging models")
     return parser.parse_args(argv)
 
 
@@ -61,29 +68,43 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
 
-    def sink(folder):
-        return lambda df, name: save_to_folder(df, folder, name)
+    def sink(place):
+        if place.startswith(DATABASE):
+            return lambda df, name: save_to_database(df, place.removeprefix(DATABASE), name)
+        return lambda df, name: save_to_folder(df, place, name)
 
-    def source(folder):
-        return partial(read_from_folder, spark, folder)
+    def source(place):
+        if place.startswith(DATABASE):
+            return partial(read_from_database, spark, place.removeprefix(DATABASE))
+        return partial(read_from_folder, spark, place)
 
     if asked.command == "ingest":
         ingest(spark, asked.files, sink(asked.raw), source(asked.raw), asked.prefix).show(truncate=False)
         return 0
     if asked.command == "list":
         metrics.list_metrics(spark).show(len(metrics.METRICS), truncate=False)
-        metrics.list_dimensions(spark).show(100, truncate=False)
+        dimensions = metrics.list_dimensions(spark)
+        dimensions.show(dimensions.count(), truncate=False)
         return 0
     if asked.command == "query":
         names, groups = asked.metrics.split(","), [g for g in asked.group_by.split(",") if g]
-        result = metrics.metric_query(Stored(source(asked.marts)), names, groups)
-        result.orderBy(*result.columns[: len(groups)]).show(asked.rows, truncate=False)
+        result = metrics.metric_query(Stored(source(asked.marts)), names, groups, asked.every_period)
+        if groups:
+            result = result.orderBy(*groups)
+        if asked.out:
+            result.write.mode("overwrite").parquet(asked.out)
+            return 0
+        print(*result.columns, sep="\t")
+        for row in result.toLocalIterator():
+            print(*row, sep="\t")
         return 0
 
     raw = {name: source(asked.raw)(name) for name in RAW_TABLES}
     star = Star(raw, date_range(spark, asked.start, asked.end))
     if asked.command == "build":
         create_views(star)
+        if asked.staging:
+            save_staging(star, asked.staging)
         build(star, sink(asked.marts))
         return 0
     report = checks.check_report(spark, Stored(source(asked.marts), star)).persist()

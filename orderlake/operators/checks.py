@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, FractionalType
 
 from orderlake.functions.buckets import INSTALLMENT_BUCKETS, INSTALLMENT_MISSING
 from orderlake.functions.buckets import REGION_MISSING, REGIONS, WEIGHT_BUCKETS, WEIGHT_MISSING
@@ -216,40 +217,60 @@ def run_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown kind of check {check.kind!r}")
 
 
-def finding(number: int, check: Check) -> Column:
-    """What a row adds to a check: (number of the check, value), or null if it has nothing to say.
-
-    For `unique` and `relationships` that is every value; for the others, only what breaks the rule.
-    """
+def breaks(check: Check) -> Column:
+    """Whether a row breaks a rule that needs no other row to tell."""
     column = F.col(check.column)
-    value = column.cast("string")
-    if check.kind in ("unique", "relationships"):
-        says = column.isNotNull()
-    elif check.kind == "accepted_values":
-        says = ~column.isin(*check.values)
-    else:
-        says = column.isNull() if check.kind == "not_null" else ASSERTIONS[check.kind]()
-        value = F.lit(None).cast("string")
-    return F.when(says, F.struct(F.lit(number).alias("number"), value.alias("value")))
-
-
-def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(number, violations) for all checks of one table, from one scan of it; to be summed by number.
-
-    Findings are counted per check and value on both sides of one shuffle, so no value is too
-    frequent. References drop out where the parent has the value; that join uses the same
-    partitioning. A violation is a repeated value, a value outside the list, or a row.
+    if check.kind == "accepted_values":
+        return ~column.isin(*check.values)
+    return column.isNull() if check.kind == "not_null" else ASSERTIONS[check.kind]()
+
+
+def value_text(column: Column, kind: DataType) -> Column:
+    """Text that is equal where values are, as values of the given type."""
+    if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+        column = column + F.lit(0)  # no negative zero
+    return column.cast(kind).cast("string")
+
+
+def compared_as(check: Check, tables: Mapping[str, DataFrame]) -> DataType:
+    """The type that a column's values are compared as: with a parent, the wider of both."""
+    own = tables[check.table].select(check.column)
+    if check.kind == "relationships":
+        own = own.union(tables[check.parent].select(check.field))
+    return own.schema[0].dataType
+
+
+def row_violations(checks: Mapping[int, Check], table: DataFrame) -> DataFrame:
+    """(number, violations) for rules on rows: sums that combine before one row per task is sent."""
+    sums = table.agg(*(F.count_if(breaks(c)).alias(f"check {n}") for n, c in checks.items()))
+    pairs = (F.struct(F.lit(n).alias("number"), F.col(f"check {n}").alias("violations")) for n in checks)
+    return sums.select(F.inline(F.array(*pairs)))
+
+
+def value_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(number, violations) for rules on values, from one scan; to be summed by number.
+
+    Values are counted per check on both sides of one shuffle, so no value is too frequent.
+    References drop out where the parent has the value; that join uses the same partitioning. A
+    violation is a repeated value, a value outside the list, or a row with an unknown reference.
     """
-    (table,) = {c.table for c in checks.values()}
+    table = tables[next(iter(checks.values())).table]
+    kinds = {n: compared_as(c, tables) for n, c in checks.items()}
+
+    def finding(n: int, c: Check) -> Column:
+        column = F.col(c.column)
+        says = breaks(c) if c.kind == "accepted_values" else column.isNotNull()
+        value = value_text(column, kinds[n])
+        return F.when(says, F.struct(F.lit(n).alias("number"), value.alias("value")))
+
     found = (
-        tables[table]
-        .select(F.explode(F.array(*(finding(n, c) for n, c in checks.items()))).alias("finding"))
+        table.select(F.explode(F.array(*(finding(n, c) for n, c in checks.items()))).alias("finding"))
         .filter(F.col("finding").isNotNull())
         .groupBy("finding.number", "finding.value")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     parents = [
-        tables[c.parent].select(F.lit(n).alias("number"), F.col(c.field).cast("string").alias("value"))
+        tables[c.parent].select(F.lit(n).alias("number"), value_text(F.col(c.field), kinds[n]).alias("value"))
         for n, c in checks.items()
         if c.kind == "relationships"
     ]
@@ -264,6 +285,18 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
     )
 
 
+VALUE_KINDS = ("unique", "accepted_values", "relationships")
+
+
+def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """All checks of one table: those on rows need no shuffle by value, those on values one."""
+    on_values = {n: c for n, c in checks.items() if c.kind in VALUE_KINDS}
+    on_rows = {n: c for n, c in checks.items() if n not in on_values}
+    table = tables[next(iter(checks.values())).table]
+    parts = [row_violations(on_rows, table)] if on_rows else []
+    return parts + ([value_violations(on_values, tables)] if on_values else [])
+
+
 def check_report(
     spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS
 ) -> DataFrame:
@@ -273,8 +306,9 @@ def check_report(
     """
     numbered = dict(enumerate(checks))
     parts = [
-        table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
+        part
         for table in dict.fromkeys(c.table for c in numbered.values())
+        for part in table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
     ]
     violations = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
 

@@ -191,8 +191,14 @@ def running_column(measure: str) -> str:
     return f"running {measure}"
 
 
-def metric_query(star, metrics: Iterable[str], group_by: Iterable[str] = ()) -> DataFrame:
-    """Metrics by group; one row in all without a group. Filter, sort or limit the result as needed."""
+def metric_query(
+    star, metrics: Iterable[str], group_by: Iterable[str] = (), every_period: bool = False
+) -> DataFrame:
+    """Metrics by group; one row in all without a group. Filter, sort or limit the result as needed.
+
+    A running total has a row where its group has orders; with `every_period`, also for each period
+    in between and up to the last one with any order, which is groups times periods.
+    """
     metrics, groups = list(metrics), [resolve_group(name) for name in group_by]
     if not metrics:
         raise ValueError("no metric was asked for")
@@ -205,7 +211,7 @@ def metric_query(star, metrics: Iterable[str], group_by: Iterable[str] = ()) ->
     )
     running = sorted({METRICS[m].inputs[0] for m in metrics if m in METRICS and METRICS[m].kind == "cumulative"})
     if running:
-        result = with_running_totals(star, result, groups, measures, running)
+        result = with_running_totals(star, result, groups, measures, running, every_period)
     return result.select(*(F.col(f"`{k}`") for k in keys), *(value_of(m).alias(m) for m in metrics))
 
 
@@ -228,13 +234,12 @@ def grouped_facts(star, groups: list[GroupBy], columns: list[str]) -> DataFrame:
 
 
 def with_running_totals(
-    star, totals: DataFrame, groups: list[GroupBy], measures: list[str], running: list[str]
+    star, totals: DataFrame, groups: list[GroupBy], measures: list[str], running: list[str], every_period: bool
 ) -> DataFrame:
-    """Add running totals of some measures, with a row for every period.
+    """Add running totals of some measures.
 
     Facts are summed per group and period before; the window sees those sums only, so its longest
-    partition is the number of periods. Empty periods join the sums by a union and a second
-    aggregate, which also keeps null groups together.
+    partition is the number of periods. A row fills the periods up to the next row of its group.
     """
     times = [g for g in groups if g.grain]
     if not times:
@@ -244,28 +249,33 @@ def with_running_totals(
     time = times[0]
     others = [g.name for g in groups if g is not time]
 
-    dates = grouped_facts(star, groups, [])
-    last = star.order_facts([TIME_COLUMN]).agg(period_start(F.max(TIME_COLUMN), time.grain)).scalar()
-    periods = (
-        dates.groupBy(*others)
-        .agg(F.min(time.name).alias("first period"))
-        .select(*others, F.explode(F.sequence("first period", last, F.expr(STEPS[time.grain]))).alias(time.name))
-    )
-    columns = [measure_column(m) for m in measures]
-    dense = (
-        totals.filter(F.col(time.name).isNotNull())
-        .unionByName(periods, allowMissingColumns=True)
-        .groupBy(*others, time.name)
-        .agg(*(F.max(c).alias(c) for c in columns))
-    )
-    so_far = W.partitionBy(*others).orderBy(time.name).rowsBetween(W.unboundedPreceding, W.currentRow)
-    summed = dense.withColumns(
+    in_order = W.partitionBy(*others).orderBy(time.name)
+    so_far = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = totals.filter(F.col(time.name).isNotNull()).withColumns(
         {running_column(m): F.sum(measure_column(m)).over(so_far).cast(MONEY_TOTAL) for m in running}
     )
+    if every_period:
+        summed = with_every_period(star, summed, time, F.lead(time.name).over(in_order), measures, running)
     on_spine = star["time_spine"].select(period_start(F.col("date_day"), time.grain).alias(time.name))
     return summed.join(on_spine, time.name, "left_semi")
 
 
+def with_every_period(
+    star, summed: DataFrame, time: GroupBy, following: Column, measures: list[str], running: list[str]
+) -> DataFrame:
+    """Repeat each row, without its measures, for the periods before the group's next one."""
+    last = star.order_facts([TIME_COLUMN]).agg(period_start(F.max(TIME_COLUMN), time.grain)).scalar()
+    step = F.expr(STEPS[time.grain])
+    to_next = F.sequence(time.name, "following", step)
+    periods = F.when(F.col("following").isNull(), F.sequence(F.col(time.name), last, step)).otherwise(
+        F.slice(to_next, 1, F.size(to_next) - 1)
+    )
+    filled = summed.withColumn("following", following).withColumn("period", F.explode(periods))
+    own = F.col("period") == F.col(time.name)
+    kept = {measure_column(m): F.when(own, F.col(measure_column(m))) for m in measures}
+    return filled.withColumns(kept).withColumn(time.name, F.col("period")).select(*summed.columns)
+
+
 def list_metrics(spark: SparkSession) -> DataFrame:
     """The catalogue: name, label, type and description of every metric."""
     rows = [(name, m.label, m.kind, m.description) for name, m in METRICS.items()]

@@ -9,7 +9,7 @@ from orderlake.functions.calendar import days_between
 from orderlake.functions.numbers import money
 
 # Order states that are neither finished nor given up.
-IN_PROGRESS = ("created", "approved", "processing", "invoiced", "shipped")
+IN_PROGRESS = ("processing", "approved", "invoiced", "shipped", "created")
 
 # Fixed value: category of a product that has none.
 NO_CATEGORY = "unknown"

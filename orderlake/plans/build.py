@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlake.plans.star import MARTS, STAGING, Star
 from orderlake.sources.csv_files import read_csv_folder
-from orderlake.sources.tables import row_counts
+from orderlake.sources.tables import row_counts, save_to_database
 
 # A sink: called with rows and a table name, it replaces that table.
 Save = Callable[[DataFrame, str], None]
@@ -39,11 +39,17 @@ def ingest(spark: SparkSession, folder: str, save: Save, read: Read, prefix: str
 
 
 def create_views(star: Star, names: Iterable[str] = STAGING) -> None:
-    """Staging models as temporary views."""
+    """Staging models as temporary views of this session."""
     for name in names:
         star[name].createOrReplaceTempView(name)
 
 
+def save_staging(star: Star, database: str, names: Iterable[str] = STAGING) -> None:
+    """Staging models in the catalog, to outlive the session. Spark keeps no DataFrame as a lasting
+    view, so they are tables."""
+    side_by_side(lambda name: save_to_database(star[name], database, name), names)
+
+
 def build(star: Star, save: Save, names: Iterable[str] = MARTS) -> None:
     """Replace the marts. No mart reads another one's table, so they are written side by side."""
 

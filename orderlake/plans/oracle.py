@@ -10,8 +10,12 @@ from __future__ import annotations
 from orderlake.operators.checks import CHECKS, Check
 from orderlake.operators.metrics import METRICS
 
-STATES = "SPRJMGESPRSCRSGOMTMSDFBAPECEMAPBRNALSEPIAMPAROACXX"
-OPEN_STATES = "shipped    canceled   invoiced   processing unavailablecreated    approved   delivered  "
+# State code by nation key, order state by order key modulo 8.
+STATES = """(values (0, 'SP'), (1, 'RJ'), (2, 'MG'), (3, 'ES'), (4, 'PR'), (5, 'SC'), (6, 'RS'), (7, 'GO'), (8, 'MT'),
+  (9, 'MS'), (10, 'DF'), (11, 'BA'), (12, 'PE'), (13, 'CE'), (14, 'MA'), (15, 'PB'), (16, 'RN'), (17, 'AL'),
+  (18, 'SE'), (19, 'PI'), (20, 'AM'), (21, 'PA'), (22, 'RO'), (23, 'AC'), (24, 'XX')) states(nation, state)"""
+OPEN_STATES = """(values (0, 'shipped'), (1, 'canceled'), (2, 'invoiced'), (3, 'processing'), (4, 'unavailable'),
+  (5, 'created'), (6, 'approved'), (7, 'delivered')) open_states(remainder, open_state)"""
 MONEY = "decimal(10,2)"
 TOTAL = "decimal(38,2)"
 
@@ -35,16 +39,15 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
             + ((o_orderkey * 53) % 86400) * interval 1 second end order_delivered_customer_date,
           o_orderdate + (10 + o_custkey % 30) * interval 1 day order_estimated_delivery_date
         from (select *, o_orderdate + ((o_orderkey * 37) % 86400) * interval 1 second as purchased,
-            case when o_orderstatus = 'F' then 'delivered'
-              else trim(substr('{OPEN_STATES}', cast(1 + 11 * (o_orderkey % 8) as int), 11)) end status
-          from orders) q""",
+            case when o_orderstatus = 'F' then 'delivered' else open_state end status
+          from orders join {OPEN_STATES} on remainder = o_orderkey % 8) q""",
     ),
     "raw_order_items": (
         (),
         """
         select cast(l_orderkey as varchar) order_id,
-          row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey,
-            l_shipdate, l_extendedprice, l_discount, l_tax) order_item_id,
+          cast(cast(l_linenumber as varchar) || lpad(cast(l_partkey as varchar), 14, '0')
+            || lpad(cast(l_suppkey as varchar), 14, '0') as decimal(38,0)) order_item_id,
           cast(l_partkey as varchar) product_id, cast(l_suppkey as varchar) seller_id,
           l_shipdate shipping_limit_date, floor(l_extendedprice) / 100 price,
           floor(l_extendedprice * l_discount) / 100 freight_value,
@@ -75,16 +78,16 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         select cast(c_custkey as varchar) customer_id,
           cast(c_custkey - c_custkey % 2 as varchar) customer_unique_id,
           cast(10000 + c_custkey % 9000 as varchar) customer_zip_code_prefix, n_name customer_city,
-          substr('{STATES}', cast(1 + 2 * c_nationkey as int), 2) customer_state
-        from customer join nation on c_nationkey = n_nationkey""",
+          state customer_state
+        from customer join nation on c_nationkey = n_nationkey join {STATES} on c_nationkey = nation""",
     ),
     "raw_sellers": (
         (),
         f"""
         select cast(s_suppkey as varchar) seller_id,
           cast(10000 + s_suppkey % 9000 as varchar) seller_zip_code_prefix, n_name seller_city,
-          substr('{STATES}', cast(1 + 2 * s_nationkey as int), 2) seller_state
-        from supplier join nation on s_nationkey = n_nationkey""",
+          state seller_state
+        from supplier join nation on s_nationkey = n_nationkey join {STATES} on s_nationkey = nation""",
     ),
     "raw_products": (
         (),
@@ -132,7 +135,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
             order_estimated_delivery_date estimated_delivery_at,
             order_status is not distinct from 'delivered' is_delivered,
             order_status is not distinct from 'canceled' is_canceled,
-            order_status is not null and order_status not in ('delivered', 'canceled', 'unavailable')
+            ifnull(order_status in ('shipped', 'processing', 'approved', 'invoiced', 'created'), false)
               is_in_progress,
             if(order_delivered_customer_date is null, null,
               ifnull(order_delivered_customer_date > order_estimated_delivery_date, false))
@@ -245,10 +248,14 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         select {key("seller_id")} seller_key, seller_id, zip_code_prefix, city, state,
           ifnull(region, 'Unknown') region
         from stg_sellers left join (
-          select region, unnest(string_split(codes, ' ')) state from (values
-            ('Southeast', 'SP RJ MG ES'), ('South', 'PR SC RS'), ('Center-West', 'GO MT MS DF'),
-            ('Northeast', 'BA PE CE MA PB RN AL SE PI'), ('North', 'AM PA RO AC RR AP TO'))
-            r(region, codes)) using (state)""",
+          select * from (values
+            ('Southeast', 'SP'), ('Southeast', 'RJ'), ('Southeast', 'MG'), ('Southeast', 'ES'),
+            ('South', 'PR'), ('South', 'SC'), ('South', 'RS'),
+            ('Center-West', 'GO'), ('Center-West', 'MT'), ('Center-West', 'MS'), ('Center-West', 'DF'),
+            ('Northeast', 'BA'), ('Northeast', 'PE'), ('Northeast', 'CE'), ('Northeast', 'MA'), ('Northeast', 'PB'),
+            ('Northeast', 'RN'), ('Northeast', 'AL'), ('Northeast', 'SE'), ('Northeast', 'PI'),
+            ('North', 'AM'), ('North', 'PA'), ('North', 'RO'), ('North', 'AC'), ('North', 'RR'), ('North', 'AP'),
+            ('North', 'TO')) r(region, state)) using (state)""",
     ),
     "fct_orders": (
         ("stg_orders", "stg_customers", "dim_customers", "item_rollup", "payment_rollup"),

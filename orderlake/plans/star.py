@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from orderlake.operators import dimensions, facts, rollups, staging
-from orderlake.sources.schemas import UNNUMBERED_ITEMS
 
 STAGING = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_sellers", "stg_payments")
 ROLLUPS = ("int_order_items_rolled_up", "int_payments_rolled_up")
@@ -25,7 +24,7 @@ MARTS = (
 MODELS = {
     "stg_orders": (staging.stg_orders, "orders"),
     "stg_order_items": (staging.stg_order_items, "order_items"),
-    "stg_item_amounts": (staging.stg_item_amounts, UNNUMBERED_ITEMS),
+    "stg_item_amounts": (staging.stg_item_amounts, "order_items"),
     "stg_customers": (staging.stg_customers, "customers"),
     "stg_products": (staging.stg_products, "products", "product_category_name_translation"),
     "stg_sellers": (staging.stg_sellers, "sellers"),
@@ -70,7 +69,7 @@ class Star:
             self._made[name] = operator(*(self[i] for i in inputs))
         if name in self._made:
             return self._made[name]
-        return self.raw["order_items" if name == UNNUMBERED_ITEMS and name not in self.raw else name]
+        return self.raw[name]
 
     def order_facts(self, columns: Iterable[str]) -> DataFrame:
         """Some columns of fct_orders, with no join that they do not need.

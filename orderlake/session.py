@@ -1,9 +1,7 @@
-"""Session settings, and the shared folder for data that must outlive an executor."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
@@ -61,17 +59,3 @@ def local_session(name: str = "orderlake", cores: int | str = 8, input_bytes: in
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for tables that must outlive an executor, as the cluster names it.
-
-    Without `spark.checkpoint.dir` a local master gets a folder of its own; a cluster is refused,
-    because a folder on one machine is lost with that machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="orderlake-")

@@ -7,12 +7,10 @@ them by rules on the keys. Names and values are those of FIXTURES.md, section 2.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.operators.numbering import ROWS_PER_TASK, hot_keys, number_by_window, number_within
-from orderlake.sources.schemas import RAW_TABLES, UNNUMBERED_ITEMS
+from orderlake.sources.schemas import RAW_TABLES
 
 # Schemas of the given files. Stated, so that no job is spent on reading footers for them.
 FILE_SCHEMAS = {
@@ -37,7 +35,10 @@ OPEN_STATES = (
 PAYMENT_TYPES = {5: "not_defined", 6: "boleto", 7: "voucher", 8: "debit_card"}
 
 # State code by nation key. XX belongs to no region.
-NATION_STATES = "SP RJ MG ES PR SC RS GO MT MS DF BA PE CE MA PB RN AL SE PI AM PA RO AC XX".split()
+NATION_STATES = (
+    "SP", "RJ", "MG", "ES", "PR", "SC", "RS", "GO", "MT", "MS", "DF", "BA", "PE",
+    "CE", "MA", "PB", "RN", "AL", "SE", "PI", "AM", "PA", "RO", "AC", "XX",
+)
 
 # Translated categories. ECONOMY is left out, so it keeps its own name.
 TRANSLATIONS = (
@@ -68,57 +69,16 @@ ITEM_COLUMNS = (
     f"{money_from_cents('l_extendedprice * l_discount')} as freight_value",
 )
 
-LINE_COLUMNS = (
-    "l_orderkey",
-    "l_partkey",
-    "l_suppkey",
-    "l_linenumber",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-    "l_shipdate",
-)
-
-# The last two only settle lines that are alike in all others, to make the numbers repeatable.
-LINE_ORDER = [
-    "l_linenumber",
-    "l_partkey",
-    "l_suppkey",
-    "l_shipdate",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-]
-
+# A line's place in its order, since (l_orderkey, l_linenumber) repeats in the files: line number, part
+# and supplier written one after the other, the last two with 14 digits. It comes from the row alone, so
+# no row meets another. Lines that are alike in all three share it.
+LINE_SEQUENCE = """cast(cast(l_linenumber as decimal(9,0)) * 10000000000000000000000000000BD
+    + cast(l_partkey as decimal(14,0)) * 100000000000000BD + cast(l_suppkey as decimal(14,0)) as decimal(38,0))"""
 
 def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(FILE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def lines_of(spark: SparkSession, folder: str) -> DataFrame:
-    return read_file(spark, folder, "lineitem").select(*LINE_COLUMNS)
-
-
-def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines with a sequence per order, since (l_orderkey, l_linenumber) repeats in the files."""
-    lines = lines_of(spark, folder)
-    total = lines.count()  # from file footers
-    if total > ROWS_PER_TASK:
-        return numbered_large(spark, folder, total, ROWS_PER_TASK)
-    return number_by_window(lines, ["l_orderkey"], LINE_ORDER, "order_item_id")
-
-
-@lru_cache(maxsize=4)
-def numbered_large(spark: SparkSession, folder: str, total: int, rows_per_task: int) -> DataFrame:
-    """As above for a table that may hold hot orders, whose lines are then written out.
-
-    Made once per session and table; `total` tells a table from another one put in its place.
-    """
-    lines = lines_of(spark, folder)
-    hot = hot_keys(lines, "l_orderkey", rows_per_task)
-    return number_within(lines, "l_orderkey", LINE_ORDER, "order_item_id", hot, rows_per_task)
-
-
 class DriverTables(Mapping):
     """The nine raw tables over one folder of test files, each made on first use."""
 
@@ -134,7 +94,7 @@ class DriverTables(Mapping):
         return len(RAW_TABLES)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in (*RAW_TABLES, UNNUMBERED_ITEMS):
+        if name not in RAW_TABLES:
             raise KeyError(name)
         if name not in self._made:
             self._made[name] = getattr(self, f"_{name}")()
@@ -166,26 +126,24 @@ class DriverTables(Mapping):
         )
 
     def _order_items(self) -> DataFrame:
-        return numbered_lines(self.spark, self.folder).selectExpr("order_item_id", *ITEM_COLUMNS)
-
-    def _order_items_unnumbered(self) -> DataFrame:
-        return self.file("lineitem").selectExpr(*ITEM_COLUMNS)
+        return self.file("lineitem").selectExpr(f"{LINE_SEQUENCE} as order_item_id", *ITEM_COLUMNS)
 
     def _order_payments(self) -> DataFrame:
         types = " ".join(f"when {part} then '{name}'" for part, name in PAYMENT_TYPES.items())
         uplift = "case when l_orderkey % 50 = 0 then 1.6D when l_partkey % 9 < 5 then 1D + l_tax else 1D end"
         paid = f"(floor(l_extendedprice) / 100 + floor(l_extendedprice * l_discount) / 100) * {uplift}"
-        return numbered_lines(self.spark, self.folder).selectExpr(
+        return self.file("lineitem").selectExpr(
             "cast(l_orderkey as string) as order_id",
-            "order_item_id as payment_sequential",
+            f"{LINE_SEQUENCE} as payment_sequential",
             f"case l_partkey % 9 {types} else 'credit_card' end as payment_type",
             "2 * l_linenumber - 1 as payment_installments",
             f"{money_from_cents(f'{paid} * 100')} as payment_value",
         )
 
     def _order_reviews(self) -> DataFrame:
-        return numbered_lines(self.spark, self.folder).filter("l_linenumber = 1").selectExpr(
-            "concat_ws('-', l_orderkey, order_item_id) as review_id",
+        """One review for each line with the number 1; the test tables have none of their own."""
+        return self.file("lineitem").filter("l_linenumber = 1").selectExpr(
+            f"concat_ws('-', l_orderkey, {LINE_SEQUENCE}) as review_id",
             "cast(l_orderkey as string) as order_id",
             "cast(1 + l_partkey % 5 as int) as review_score",
         )

@@ -74,7 +74,3 @@ RAW_SCHEMAS: dict[str, dict[str, str]] = {
 }
 
 RAW_TABLES = tuple(RAW_SCHEMAS)
-
-# A source may also offer its order items without order_item_id under this name, if numbering them
-# takes work. Roll-ups read them so; for other sources the name means order_items.
-UNNUMBERED_ITEMS = "order_items_unnumbered"

@@ -89,6 +89,24 @@ def test_report_agrees_with_the_single_checks(spark):
         assert report[check.name] == (sum(r.row_count for r in rows) if grouped else len(rows)), check
 
 
+@pytest.mark.parametrize("child, parent", [("bigint", "decimal(10,2)"), ("int", "double"), ("date", "timestamp_ntz"), ("double", "float")])
+def test_report_agrees_with_the_single_checks_on_mixed_types(spark, child, parent):
+    days = "date'2020-01-0{}'" if child == "date" else "{}"
+    values = lambda kind, *numbers: spark.sql(
+        " union all ".join(f"select cast({days.format(n) if n else 'null'} as {kind}) v" for n in numbers)
+    )
+    tables = {"child": values(child, 1, 1, 2, 3, None), "parent": values(parent, 1, 2, 2, None)}
+    rules = [
+        Check("child", "relationships", "v", parent="parent", field="v"),
+        Check("child", "unique", "v"),
+        Check("parent", "unique", "v"),
+        Check("child", "not_null", "v"),
+    ]
+    report = [r.violations for r in check_report(spark, tables, rules).sort("table_name", "kind").collect()]
+    assert report == [1, 1, 1, 1]
+    assert sum(r.row_count for r in run_check(rules[0], tables).collect()) == 1
+
+
 def test_status_counts(spark):
     tables = {"t": spark.createDataFrame([(1,), (1,), (None,)], "a int")}
     rules = [Check("t", "unique", "a"), Check("t", "not_null", "a", severity="warn"), Check("t", "accepted_values", "a", (1,))]

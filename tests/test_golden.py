@@ -87,7 +87,7 @@ def test_time(star):
     ]
     assert metric_query(star, ["revenue"], ["metric_time__month"]).count() == 80
     assert metric_query(star, ["revenue"], ["metric_time__day"]).count() == 2399
-    running = metric_query(star, ["cumulative_revenue"], ["metric_time__day"])
+    running = metric_query(star, ["cumulative_revenue"], ["metric_time__day"], every_period=True)
     assert running.count() == 2405
     assert running.agg(F.max("cumulative_revenue")).first()[0] == Decimal("33424454.57")
 

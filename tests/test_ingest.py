@@ -169,10 +169,47 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["check", *raw, *marts]) == 0
     assert "PASS=84 WARN=0 ERROR=0" in capsys.readouterr().out
     assert main(["query", *marts, "--metrics", "revenue,order_count", "--group-by", "metric_time__year"]) == 0
-    assert "|2017-01-01       |39.72  |1          |" in capsys.readouterr().out
+    assert "2017-01-01\t39.72\t1\n" in capsys.readouterr().out
+    assert main(["query", *marts, "--metrics", "revenue"]) == 0
+    assert capsys.readouterr().out.splitlines()[-2] == "revenue"
+    days = ["query", *marts, "--metrics", "cumulative_revenue", "--group-by", "metric_time", "--every-period"]
+    assert main([*days, "--out", str(tmp_path / "out")]) == 0
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert main(days) == 0
+    assert len(capsys.readouterr().out.splitlines()) - 1 == stored.count()
     assert main(["build", *raw, *marts, "--start", "2018-01-01"]) == 0
     assert main(["check", *raw, *marts]) == 1
     assert main(["list"]) == 0
     assert "cumulative_revenue" in capsys.readouterr().out
     for name in STAGING:
         spark.catalog.dropTempView(name)
+
+
+def test_command_line_over_more_rows_than_fit_a_screen(spark, tmp_path, capsys):
+    """Every row of a long result is printed, and stored."""
+    marts = str(tmp_path / "marts")
+    star = Star(shop(spark), date_range(spark, "2010-01-01", "2020-01-01"))
+    build(star, partial(lambda folder, df, name: tables.save_to_folder(df, folder, name), marts))
+    long = spark.sql("select id as order_id, cast(id as decimal(38,2)) as gross_revenue from range(3000)")
+    facts = tables.read_from_folder(spark, marts, "fct_orders").drop("order_id", "gross_revenue").limit(1).crossJoin(long)
+    tables.save_to_folder(facts, str(tmp_path / "many"), "fct_orders")
+    query = ["query", "--marts", str(tmp_path / "many"), "--metrics", "revenue", "--group-by", "order"]
+    assert main([*query, "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3000
+    assert main(query) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 3001
+
+
+def test_command_line_over_databases(spark, folder, capsys):
+    places = ["--raw", "database:cli_raw", "--marts", "database:cli_marts"]
+    try:
+        assert main(["ingest", "--files", str(folder), "--prefix", "shop_", *places[:2]]) == 0
+        assert main(["build", *places, "--staging", "cli_staging"]) == 0
+        assert spark.table("cli_staging.stg_orders").count() == spark.table("cli_raw.orders").count()
+        assert main(["check", *places]) == 0
+        assert main(["query", *places[2:], "--metrics", "order_count"]) == 0
+    finally:
+        for name in ("cli_raw", "cli_marts", "cli_staging"):
+            spark.sql(f"drop database if exists {name} cascade")
+        for name in STAGING:
+            spark.catalog.dropTempView(name)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from types import SimpleNamespace
 
 import pytest
 
-import __spark_entry__ as driver
 from orderlake import session
-from orderlake.plans.queries import star_over
-from orderlake.sources import driver_tables
+from orderlake.operators.checks import check_report
+from orderlake.plans.build import Stored
+from orderlake.plans.queries import QUERIES, star_over
+from orderlake.plans.star import MARTS
+from orderlake.sources.schemas import RAW_TABLES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,9 +24,9 @@ def scans(text: str) -> list[str]:
     return re.findall(r"ReadSchema: struct<(.*?)>", text)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(driver.queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     # Turning the one row of totals into rows is an Expand as well.
     expands = () if name == "list_metrics" else ("Expand",)
     for unwanted in ("Python", "CartesianProduct", "NestedLoopJoin", *expands):
@@ -33,21 +34,53 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 def test_revenue_reads_few_columns(spark):
-    read = scans(plan(driver.queries()["metric_revenue_by_month"](spark, FOLDER)))
+    read = scans(plan(QUERIES["metric_revenue_by_month"](spark, FOLDER)))
     assert sorted(read) == [
         "l_orderkey:bigint,l_extendedprice:double,l_discount:double",
         "o_orderkey:bigint,o_orderdate:timestamp_ntz",
     ]
 
 
-def test_revenue_numbers_no_items(spark, monkeypatch):
-    """Nothing asks for the sequence of items, so lines are not numbered at all."""
-    monkeypatch.setattr(driver_tables, "numbered_lines", None)
-    assert "Window" not in plan(driver.queries()["metric_revenue_by_month"](spark, FOLDER))
+@pytest.mark.parametrize("name", ["stg_order_items", "stg_payments"])
+def test_sequences_come_from_the_row_alone(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "Window" not in text and "Exchange" not in text
+
+
+def test_queries_start_no_job_while_they_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        for name in ("ingest_row_counts", "stg_order_items", "check_report", "metric_cumulative_revenue"):
+            QUERIES[name](spark, FOLDER)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_report_reads_each_stored_table_once_for_each_kind_of_rule(spark, tmp_path):
+    star = star_over(spark, FOLDER)
+    for name in (*MARTS, *RAW_TABLES):
+        star[name].write.parquet(f"{tmp_path}/{name}")
+    stored = Stored(lambda name: spark.read.parquet(f"{tmp_path}/{name}"))
+    tables = {name: stored[name] for name in (*MARTS, *RAW_TABLES)}
+    from orderlake.plans.star import Star
+
+    text = plan(check_report(spark, Stored(stored.read, Star(tables, star.bounds))))
+    read = re.findall(rf"{tmp_path}/(\w+)\]", text)
+    # Rows and values of a table, and its values for each table that refers to it.
+    assert max(read.count(name) for name in ("order_items", "order_payments", "fct_order_items", "fct_payments")) <= 4
+
+
+def test_running_totals_read_orders_for_sums_and_the_last_period(spark):
+    for name in ("metric_cumulative_revenue", "metric_cumulative_revenue_by_quarter_and_status"):
+        read = scans(plan(QUERIES[name](spark, FOLDER)))
+        # Once more for the calendar, which covers the years of the orders.
+        assert sum(r.startswith("o_orderkey") for r in read) <= 3
 
 
 def test_order_count_reads_orders_only(spark):
-    read = scans(plan(driver.queries()["metric_order_count_by_status"](spark, FOLDER)))
+    read = scans(plan(QUERIES["metric_order_count_by_status"](spark, FOLDER)))
     assert len(read) == 1 and read[0].startswith("o_orderkey")
 
 
@@ -65,7 +98,7 @@ def test_payments_are_read_once(spark):
 
 def test_only_the_running_total_runs_in_one_partition(spark):
     """Without dimensions its window has one partition, of one row per period."""
-    for name, query in driver.queries().items():
+    for name, query in QUERIES.items():
         windows = re.findall(r"Window \[.*?windowspecdefinition\((.*?) ASC", plan(query(spark, FOLDER)))
         unpartitioned = [w for w in windows if "," not in w]
         assert bool(unpartitioned) == (name in ("metric_cumulative_revenue", "metric_cumulative_revenue_by_month"))
@@ -85,19 +118,3 @@ def test_partition_settings():
     assert session.split_bytes(2**40) == 128 * 2**20
     assert session.split_bytes(100 * 10**12) == 2**30
     assert session.settings(0, 8)["spark.sql.adaptive.skewJoin.enabled"] == "true"
-
-
-def fake_session(master: str, named: str | None = None):
-    conf = SimpleNamespace(get=lambda key, default: named if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
-def test_shared_folder_is_the_one_the_session_names():
-    for master in ("yarn", "local[8]"):
-        assert session.shared_folder(fake_session(master, "hdfs://shared/work/")) == "hdfs://shared/work"
-
-
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(ValueError):
-        session.shared_folder(fake_session("spark://host:7077"))
-    assert session.shared_folder(fake_session("local[8]"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pytest
 
-from orderlake.operators.numbering import hot_keys
 from orderlake.plans.queries import ORACLE_SQL, QUERIES
 from orderlake.sources import driver_tables
 from tests.compare import TABLES, assert_same, connect
@@ -64,29 +63,11 @@ def duck(skewed):
     return connect(skewed, "/*.parquet")
 
 
-@pytest.fixture(params=["window", "ranges"])
-def numbering(request, monkeypatch):
-    """Lines numbered as in a table too small for hot orders, or with the hot order in ranges."""
-    if request.param == "ranges":
-        monkeypatch.setattr(driver_tables, "ROWS_PER_TASK", 200)
-
-
 @pytest.mark.parametrize("name", CASES)
-def test_skewed_tables(spark, skewed, duck, numbering, name):
+def test_skewed_tables(spark, skewed, duck, name):
     assert_same(QUERIES[name](spark, skewed), duck, ORACLE_SQL[name])
 
 
-def test_hot_order_is_found(spark, skewed):
-    lines = spark.read.parquet(f"{skewed}/lineitem.parquet")
-    assert hot_keys(lines, "l_orderkey", 200) == [6]
-    assert hot_keys(lines, "l_orderkey") == []
-
-
-def test_hot_order_is_found_in_a_sample(spark, skewed, monkeypatch):
-    monkeypatch.setattr("orderlake.operators.numbering.SAMPLE_ROWS", 1000)
-    assert hot_keys(spark.read.parquet(f"{skewed}/lineitem.parquet"), "l_orderkey", 200) == [6]
-
-
 def final_plan(df) -> str:
     """The plan as adaptive execution ran it."""
     df.collect()
@@ -116,16 +97,12 @@ def test_joins_split_hot_keys(spark, skewed, name):
             spark.conf.set(key, value)
 
 
-def test_hot_lines_are_written_once(spark, skewed, monkeypatch):
-    monkeypatch.setattr(driver_tables, "ROWS_PER_TASK", 200)
-    first = driver_tables.numbered_lines(spark, skewed)
-    assert driver_tables.numbered_lines(spark, skewed) is first
-    assert any("/ranges-" in file for file in first.inputFiles())
-
-
 def test_a_replaced_table_is_read_anew(spark, tmp_path):
     one = spark.read.parquet(f"{SOURCE}/lineitem.parquet")
-    for rows in (one, one.unionByName(one)):
+    for rows in (one, one.withColumn("l_partkey", one.l_partkey + 1), one.unionByName(one)):
         rows.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
         items = driver_tables.DriverTables(spark, str(tmp_path))["order_items"]
+        assert items.agg({"order_item_id": "max"}).first()[0] // 10**14 % 10**14 == rows.filter(
+            "l_linenumber = 7"
+        ).agg({"l_partkey": "max"}).first()[0]
         assert items.count() == rows.count()
