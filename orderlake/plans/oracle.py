@@ -482,6 +482,17 @@ def counts() -> str:
     return sql(" union all ".join(parts), *RAW_NAMES.values())
 
 
+def marts() -> str:
+    stamped = {"dim_customers", "dim_products", "dim_sellers", "fct_orders", "fct_order_items", "fct_payments"}
+    names = ["dim_dates", "time_spine", *sorted(stamped)]
+    parts = [
+        f"""select '{name}' table_name, count(*) row_count, {"count(*)" if name in stamped else 0}::bigint stamped,
+          {"sum(gross_revenue)" if name == "fct_orders" else "null"}::{TOTAL} revenue from {name}"""
+        for name in names
+    ]
+    return sql(" union all ".join(parts), *names)
+
+
 ORACLE: dict[str, str] = {
     "ingest_row_counts": counts(),
     **{name: table(name) for name in ("stg_customers", "stg_orders", "stg_order_items", "stg_payments")},
@@ -536,5 +547,6 @@ ORACLE: dict[str, str] = {
         "select order_id, gross_revenue from fct_orders where gross_revenue < 0", "fct_orders"
     ),
     "assert_order_revenue_matches_payments": sql(RECONCILIATION, "fct_orders"),
+    "stored_marts": marts(),
     "check_report": report(),
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +13,11 @@ from orderlake.functions.keys import surrogate_key
 from orderlake.functions.numbers import money_sum
 from orderlake.operators import checks, dimensions, metrics, rollups
 from orderlake.plans import oracle
+from orderlake.plans.build import LOADED_AT, Stored, build
 from orderlake.plans.star import MARTS, STAGING, Star
+from orderlake.session import shared_folder
 from orderlake.sources.driver_tables import DriverTables
-from orderlake.sources.tables import row_counts
+from orderlake.sources.tables import read_from_folder, row_counts, save_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +105,25 @@ def distribution(star: Star, table: str, column: str, counted: str) -> DataFrame
     return star[table].groupBy(column).agg(F.count(F.lit(1)).alias(counted))
 
 
+def stored_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """All marts written to the sink and read back: rows, rows with a load stamp, and the revenue kept."""
+    place = f"{shared_folder(spark)}/marts-{uuid.uuid4().hex}"
+    build(star_over(spark, folder), lambda df, name: save_to_folder(df, place, name))
+    stored = Stored(partial(read_from_folder, spark, place))
+
+    def counted(name: str) -> DataFrame:
+        stamped = LOADED_AT in stored[name].columns
+        revenue = F.col("gross_revenue") if name == "fct_orders" else F.lit(None).cast("decimal(38,2)")
+        return stored[name].agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count(F.col(LOADED_AT) if stamped else F.lit(None)).alias("stamped"),
+            money_sum(revenue).alias("revenue"),
+        )
+
+    return reduce(DataFrame.unionByName, map(counted, MARTS))
+
+
 RECONCILED = (
     "order_id",
     "primary_payment_type",
@@ -142,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "assert_order_revenue_matches_payments": on_star(
         lambda star: checks.assert_order_revenue_matches_payments(star.order_facts(RECONCILED))
     ),
+    "stored_marts": stored_marts,
     "check_report": on_star(lambda star: checks.check_report(star.bounds.sparkSession, star)),
 }
 

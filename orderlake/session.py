@@ -1,7 +1,12 @@
-"""Session settings."""
+"""Session settings, and the folder for data that all executors share."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from functools import cache
+
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
@@ -59,3 +64,25 @@ def local_session(name: str = "orderlake", cores: int | str = 8, input_bytes: in
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.
+
+    Where it is unset and everything runs on one machine, a folder that goes when the process ends; a
+    cluster is refused, because a folder on one machine is lost with that machine.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return own_folder()
+
+
+@cache
+def own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="orderlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

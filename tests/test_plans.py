@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
@@ -10,7 +11,7 @@ from orderlake import session
 from orderlake.operators.checks import check_report
 from orderlake.plans.build import Stored
 from orderlake.plans.queries import QUERIES, star_over
-from orderlake.plans.star import MARTS
+from orderlake.plans.star import MARTS, Star
 from orderlake.sources.schemas import RAW_TABLES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -64,8 +65,6 @@ def test_report_reads_each_stored_table_once_for_each_kind_of_rule(spark, tmp_pa
         star[name].write.parquet(f"{tmp_path}/{name}")
     stored = Stored(lambda name: spark.read.parquet(f"{tmp_path}/{name}"))
     tables = {name: stored[name] for name in (*MARTS, *RAW_TABLES)}
-    from orderlake.plans.star import Star
-
     text = plan(check_report(spark, Stored(stored.read, Star(tables, star.bounds))))
     read = re.findall(rf"{tmp_path}/(\w+)\]", text)
     # Rows and values of a table, and its values for each table that refers to it.
@@ -118,3 +117,20 @@ def test_partition_settings():
     assert session.split_bytes(2**40) == 128 * 2**20
     assert session.split_bytes(100 * 10**12) == 2**30
     assert session.settings(0, 8)["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def fake_session(master: str, named: str | None = None):
+    conf = SimpleNamespace(get=lambda key: named if key == "spark.checkpoint.dir" else None)
+    return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    for master in ("yarn", "local[8]", "local-cluster[2,1,1024]"):
+        assert session.shared_folder(fake_session(master, "hdfs://shared/work/")) == "hdfs://shared/work"
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_no_machine_local_folder_on_a_cluster(master):
+    with pytest.raises(ValueError):
+        session.shared_folder(fake_session(master))
+    assert session.shared_folder(fake_session("local[8]")) == session.shared_folder(fake_session("local"))
