@@ -38,7 +38,7 @@ ARTICLE = {"article", "main"}
 ENDED_BY_LIKE = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "pre", "section", "table", "ul"}
 # Words of a class, id or role that mark what is not the article.
-HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "complementary", "cookie", "cookies", "dialog", "discussion", "disqus", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "widgets"}
+HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "alert", "aside", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "complementary", "cookie", "cookies", "copyright", "dialog", "disclaimer", "discussion", "disqus", "feedback", "gdpr", "legal", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "paywall", "poll", "popular", "popup", "promo", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "survey", "teaser", "toolbar", "topbar", "trending", "widget", "widgets"}
 PAGE_HINTS = {"footer", "header"}
 CONTENT_HINTS = {"article", "content", "entry", "main", "post", "story", "wrapper", "container"}
 # Words of a layout that names what it holds besides, such as "has-sidebar".
