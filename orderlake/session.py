@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
-from functools import cache
+from collections.abc import Callable
+from functools import cache, wraps
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -86,3 +88,19 @@ def own_folder() -> str:
     folder = tempfile.mkdtemp(prefix="orderlake-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
+
+
+def with_package(query: Callable) -> Callable:
+    """A query, which takes the session first, whose Python workers look for this package where the
+    driver found it. On a cluster it is installed there, or sent along with --py-files."""
+    place = str(Path(__file__).resolve().parent.parent)
+
+    @wraps(query)
+    def run(spark: SparkSession, *args):
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+        if place not in paths:
+            environment["PYTHONPATH"] = ":".join([place, *paths])
+        return query(spark, *args)
+
+    return run
