@@ -13,7 +13,7 @@ emitted by few. The order comes from counts over all documents and changes the w
 meets in the band of b; a set joins its own band, and the next one if a partner can lie there.
 
 Verification. Members of a bucket are compared with its first one, and links are closed to components. Where a bucket still
-spans components, members of different ones are compared with each other. Sizes and a short bit sketch sort out most pairs;
+spans components, its members are compared with others drawn from them, and at last all of different components with each other. Sizes and a short bit sketch sort out most pairs;
 the others are compared set by set. So no bucket, however large, is expanded into all pairs of a group that hangs together,
 and no link between components is lost.
 
@@ -47,6 +47,8 @@ SKETCH_WORDS, LEAST_WORDS = 2, 16
 COUNTED, REPORTED = 4_000_000, 20_000
 #: Of the reports of all tasks so many, the most frequent, make the order of words.
 FREQUENT = 200_000
+#: Rounds in which members of open buckets are compared with one of them, before all still apart are compared.
+ROUNDS = 2
 #: Bits of the filter by which texts of candidates are looked up: false hits cost time only.
 LOOKUP_BITS = 1 << 20
 
@@ -299,21 +301,41 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
-    # What is left: members of one bucket, other than its first, in different components.
-    members = _with_component(_with_component(buckets, "first", labels, "of_first"), "class", labels, "component")
-    mixed_keys = members.groupBy("key").agg(F.min(F.least("component", "of_first")).alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high and size > 1").select("key")
-    open_members = members.select("key", "class", "component").join(mixed_keys, "key").join(known, "class")
-    open_members = stored(open_members, "members")
-    a, b = open_members.alias("a"), open_members.alias("b")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.component") != F.col("b.component")) & _plausible("a", "b"))
-    rest = met.select(F.col("a.class").alias("x"), F.col("b.class").alias("y")).distinct()
-    more = stored(_linked(rest, texts), "links")
+    # What is left: members of one bucket, other than its first, in different components. Some rounds compare them with one
+    # of them, drawn anew each time, which gathers what hangs together; then all pairs still apart are compared.
+    for turn in range(1, ROUNDS + 1):
+        members = _open_members(buckets, known, labels)
+        drawn = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class"))["class"].alias("chosen"))
+        chosen = members.join(drawn.withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
+        more = stored(_linked(stored(_met(chosen, members, F.lit(True)), "met"), texts), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = connected(links)
+    members = _open_members(buckets, known, labels)
+    more = stored(_linked(_met(members, members, F.col("a.class") < F.col("b.class")), texts), "links")
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
     return links, labels
 
 
+def _open_members(buckets: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, other than the first, of buckets in which they are in several components: key, component, class and what is known of it."""
+    members = _with_component(buckets.select("key", "class"), "class", labels, "component")
+    spans = F.min("component").alias("low"), F.max("component").alias("high")
+    several = members.groupBy("key").agg(*spans).where("low != high").select("key")
+    return stored(members.join(several, "key").join(known, "class"), "members")
+
+
+def _met(some: DataFrame, members: DataFrame, condition: Column) -> DataFrame:
+    """Plausible pairs x < y of two members of a bucket in different components, each pair once."""
+    a, b = some.alias("a"), members.alias("b")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & condition & _plausible("a", "b"))
+    pair = F.least("a.class", "b.class").alias("x"), F.greatest("a.class", "b.class").alias("y")
+    return met.select(*pair).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """By document: doc_id, n_shingles, component_id, class (null for the empty set), class_id (smallest doc_id of the class)."""
     profiles = stored(_profiles(docs, F.col(doc_id), F.col(text)), "profiles")

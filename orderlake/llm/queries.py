@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm import chat, exact_dedup, html_text, jaccard_join, mixing, packing, quality, secret_scan, token_rollup, toxicity
-from orderlake.session import shared_folder
+from orderlake.session import shared_folder, with_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: with_package(f)
     for f in (op1_exact_dedup, op2_html_text, op3_secret_scan, op4_jaccard_join, op5_token_rollup, op6_packing, op7_mixing, op8_chat, op9_quality, op10_toxicity)
 }
