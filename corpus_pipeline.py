@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
 from orderlake.llm.scratch import stored
+from orderlake.session import with_package
 
 
 def toxic_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +43,11 @@ def sequences_packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", toxic_go),
-    ("exact_dedup", exact_copies_go),
-    ("near_dedup", near_copies_go),
-    ("mixing", sources_mixed),
-    ("packing", sequences_packed),
+    ("toxicity", with_package(toxic_go)),
+    ("exact_dedup", with_package(exact_copies_go)),
+    ("near_dedup", with_package(near_copies_go)),
+    ("mixing", with_package(sources_mixed)),
+    ("packing", with_package(sequences_packed)),
 ]
 
 #: SQL can express neither the model nor the tokenizer.
