@@ -13,7 +13,7 @@ emitted by few. The order comes from counts over all documents and changes the w
 meets in the band of b; a set joins its own band, and the next one if a partner can lie there.
 
 Verification. Members of a bucket are compared with its first one, and links are closed to components. Where a bucket still
-spans components, its members are compared with others drawn from them, and at last all of different components with each other. Sizes and a short bit sketch sort out most pairs;
+spans components, its members are compared with one drawn from them, and at last all of different components with each other. Sizes and a short bit sketch sort out most pairs;
 the others are compared set by set. So no bucket, however large, is expanded into all pairs of a group that hangs together,
 and no link between components is lost.
 
@@ -47,8 +47,6 @@ SKETCH_WORDS, LEAST_WORDS = 2, 16
 COUNTED, REPORTED = 4_000_000, 20_000
 #: Of the reports of all tasks so many, the most frequent, make the order of words.
 FREQUENT = 200_000
-#: Rounds in which members of open buckets are compared with one of them, before all still apart are compared.
-ROUNDS = 2
 #: Bits of the filter by which texts of candidates are looked up: false hits cost time only.
 LOOKUP_BITS = 1 << 20
 
@@ -63,7 +61,7 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _class_of(shingles: np.ndarray) -> int:
-    total = np.add.reduce(mixed(shingles ^ np.uint64(0xA0761D6478BD642F)), dtype=np.uint64) + np.uint64(len(shingles))
+    total = np.add.reduce(shingles, dtype=np.uint64) + np.uint64(len(shingles))
     return int(mixed(np.array([total]))[0].view(np.int64))
 
 
@@ -115,13 +113,11 @@ def sketch_words(shingles: np.ndarray, band: int, emitted: int, frequencies: Fre
     """Keys of the rarest words of the set's sketch in this band, so many."""
     words = max(LEAST_WORDS, SKETCH_WORDS * BAND**band)
     often = frequencies.of(shingles)
-    spread = mixed(shingles + np.uint64(0x8EBC6AF09C88C6E3))
-    word = (spread >> np.uint64(32)).astype(np.int64) % words
-    order = np.argsort(word)
-    word, shingles, often = word[order], shingles[order], often[order]
+    # By its leading bits, so that shingles, which are in order, come word by word.
+    word = ((shingles >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    value = np.bitwise_xor.reduceat(mixed(shingles + np.uint64(band + 1)), starts)
-    keys = mixed(value ^ mixed(((word[starts] + 1) << 8 | band).astype(np.uint64)))
+    value = np.bitwise_xor.reduceat(shingles, starts)
+    keys = _keys(value, word[starts], band)
     if len(keys) > emitted:
         # A word is at most as frequent as its rarest shingle.
         often = np.minimum.reduceat(often, starts)
@@ -129,15 +125,24 @@ def sketch_words(shingles: np.ndarray, band: int, emitted: int, frequencies: Fre
         if len(rare) >= emitted:
             return np.partition(rare, emitted - 1)[:emitted]
         return keys[np.lexsort((keys, often))[:emitted]]
-    empty = np.setdiff1d(np.arange(words), word)[: emitted - len(keys)]
-    return np.concatenate([keys, mixed(((empty + 1) << 8 | band).astype(np.uint64))])
+    empty = np.setdiff1d(np.arange(words, dtype=np.uint64), word)[: emitted - len(keys)]
+    return np.concatenate([keys, _keys(np.zeros(len(empty), np.uint64), empty, band)])
+
+
+def _keys(value: np.ndarray, word: np.ndarray, band: int) -> np.ndarray:
+    """One number for a word's place and value; an empty word has the value 0."""
+    return mixed(value + mixed(word * np.uint64(256) + np.uint64(band)))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _profiles(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
-    """A row for each document: doc_id, n, class, sketch; and rows of frequent shingles with their counts."""
-    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"))
+    """A row for each document: doc_id, text_hash, n, class, sketch; and rows of frequent shingles with their counts."""
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), _text_hash(text).alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "class", *_SKETCHES, "shingle", "often"]
+    names = ["doc_id", "text_hash", "n", "class", *_SKETCHES, "shingle", "often"]
 
     def report(gathered: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         shingles, often = np.unique(np.concatenate(gathered), return_counts=True)
@@ -169,7 +174,7 @@ def _profiles(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
                     gathered.clear()
                     total = 0
             sketch = np.array(sketches, np.int64).reshape(len(n), SKETCH_LONGS)
-            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_LONGS))]
+            arrays = [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_LONGS))]
             yield pa.RecordBatch.from_arrays([*arrays, none(len(n)), none(len(n))], names)
         if gathered:
             yield reported()
@@ -213,29 +218,19 @@ def _buckets(docs: DataFrame, text: Column, frequencies: Frequencies) -> DataFra
 
 
 def _candidate_texts(docs: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
-    """class, text for the wanted classes. A filter of LOOKUP_BITS bits keeps most other texts out of the shuffle."""
-    cells = wanted.select(F.pmod("class", F.lit(LOOKUP_BITS)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
+    """class, text for the wanted classes and the text_hash of a text of each. A filter of LOOKUP_BITS bits keeps most other texts out of the shuffle."""
+    cells = wanted.select(F.pmod("text_hash", F.lit(LOOKUP_BITS)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
     bits = np.zeros(LOOKUP_BITS, bool)
     bits[cells] = True
     held = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted_bits = np.unpackbits(held.value).astype(bool)
-        seen: set[int] = set()
         for batch in batches:
-            rows, classes = [], []
-            for row, shingles in enumerate(_sets(batch.column("text"))):
-                name = _class_of(shingles) if len(shingles) else None
-                if name is not None and wanted_bits[name % LOOKUP_BITS] and name not in seen:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(name)
-                    rows.append(row)
-                    classes.append(name)
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), batch.column("text").take(pa.array(rows, pa.int64()))], ["class", "text"])
+            yield batch.filter(pa.array(wanted_bits[batch.column("text_hash").to_numpy() % LOOKUP_BITS]))
 
-    found = docs.select(text.alias("text")).mapInArrow(find, "class long, text string")
-    return found.join(wanted, "class").dropDuplicates(["class"])
+    found = docs.select(_text_hash(text).alias("text_hash"), text.alias("text")).mapInArrow(find, "text_hash long, text string")
+    return found.join(wanted, "text_hash").dropDuplicates(["class"]).select("class", "text")
 
 
 def _plausible(x: str, y: str) -> Column:
@@ -272,47 +267,25 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     """Links between classes, enough of them to connect all that hangs together, and the components they make."""
     buckets = stored(_buckets(docs, text, frequencies), "buckets")
     wanted = buckets.select("class").union(buckets.select(F.col("first").alias("class"))).distinct()
-    texts = stored(_candidate_texts(docs, text, stored(wanted, "wanted")), "texts")
+    wanted = stored(wanted.join(classes.select("class", "text_hash"), "class"), "wanted")
+    texts = stored(_candidate_texts(docs, text, wanted), "texts")
     known = classes.select("class", "n", *_SKETCHES)
 
-    def plausible(pairs: DataFrame) -> DataFrame:
-        joined = pairs.alias("p").join(known.alias("a"), F.col("p.x") == F.col("a.class")).join(known.alias("b"), F.col("p.y") == F.col("b.class"))
-        return joined.where(_plausible("a", "b")).select("p.*")
-
-    stars = buckets.groupBy(F.col("first").alias("x"), F.col("class").alias("y")).agg(F.count("*").alias("shared"))
-    stars = stored(plausible(stars), "stars")
-    # Each class first meets the one with which it shares most: that connects most groups.
-    best = stored(stars.groupBy("y").agg(F.max(F.struct("shared", "x"))["x"].alias("x")).select("x", "y"), "best")
-    links = stored(_linked(best, texts), "links")
+    # Every member with the first one of its buckets: that connects most groups.
+    stars = buckets.select(F.col("first").alias("x"), F.col("class").alias("y")).distinct()
+    stars = stars.join(known.alias("a"), F.col("x") == F.col("a.class")).join(known.alias("b"), F.col("y") == F.col("b.class"))
+    links = stored(_linked(stars.where(_plausible("a", "b")).select("x", "y"), texts), "links")
     labels = connected(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        placed = _with_component(_with_component(pairs, "x", labels, "cx"), "y", labels, "cy")
-        return placed.where("cx != cy")
-
-    # Then each two components by the pair that shares most, and at last all pairs still apart.
-    nearest = apart(stars).groupBy("cx", "cy").agg(F.max(F.struct("shared", "x", "y")).alias("m")).select("m.x", "m.y")
-    nearest = stored(nearest, "nearest")
-    tested = best.union(nearest)
-    links = links.union(stored(_linked(nearest, texts), "links"))
-    labels = connected(links)
-    others = apart(stars).select("x", "y").join(tested, ["x", "y"], "left_anti")
-    more = stored(_linked(others, texts), "links")
+    # What is left: members of one bucket, other than its first, in different components. First they are compared with one
+    # drawn from them, which gathers what hangs together, then all that are still apart with each other.
+    members = _open_members(buckets.select("key", "class"), known, labels)
+    drawn = members.groupBy(F.col("key").alias("of")).agg(F.min_by("class", F.xxhash64("class")).alias("chosen"))
+    chosen = members.join(drawn, (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
+    more = stored(_linked(_met(chosen, members, F.lit(True)), texts), "links")
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
-    # What is left: members of one bucket, other than its first, in different components. Some rounds compare them with one
-    # of them, drawn anew each time, which gathers what hangs together; then all pairs still apart are compared.
-    for turn in range(1, ROUNDS + 1):
-        members = _open_members(buckets, known, labels)
-        drawn = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class"))["class"].alias("chosen"))
-        chosen = members.join(drawn.withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
-        more = stored(_linked(stored(_met(chosen, members, F.lit(True)), "met"), texts), "links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        labels = connected(links)
-    members = _open_members(buckets, known, labels)
+        members = _open_members(members.select("key", "class"), known, labels)
     more = stored(_linked(_met(members, members, F.col("a.class") < F.col("b.class")), texts), "links")
     if not more.isEmpty():
         links = links.union(more)
@@ -320,9 +293,9 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     return links, labels
 
 
-def _open_members(buckets: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, other than the first, of buckets in which they are in several components: key, component, class and what is known of it."""
-    members = _with_component(buckets.select("key", "class"), "class", labels, "component")
+def _open_members(members: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of members key, class those in buckets that span several components, with component and what is known of the class."""
+    members = _with_component(members, "class", labels, "component")
     spans = F.min("component").alias("low"), F.max("component").alias("high")
     several = members.groupBy("key").agg(*spans).where("low != high").select("key")
     return stored(members.join(several, "key").join(known, "class"), "members")
@@ -343,7 +316,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     top = often.orderBy(F.desc("often"), "shingle").limit(FREQUENT).toArrow()
     frequencies = Frequencies(top.column("shingle").to_numpy().view(np.uint64), top.column("often").to_numpy())
     documents = profiles.where("shingle is null")
-    same = [F.min(c).alias(c) for c in ("n", *_SKETCHES)]
+    same = [F.min(c).alias(c) for c in ("text_hash", "n", *_SKETCHES)]
     classes = stored(documents.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"), *same), "classes")
     _, labels = _class_links(docs, F.col(text), classes, frequencies)
     placed = _with_component(classes.select("class", "class_id"), "class", labels, "component")
