@@ -47,7 +47,7 @@ SKETCH_WORDS, LEAST_WORDS = 2, 16
 COUNTED, REPORTED = 4_000_000, 20_000
 #: Of the reports of all tasks so many, the most frequent, make the order of words.
 FREQUENT = 200_000
-#: Bits of the filter by which texts of candidates are looked up: false hits cost time only.
+#: Bits of the filter by which texts are looked up: false hits cost time only.
 LOOKUP_BITS = 1 << 20
 
 _SKETCHES = [f"s{i}" for i in range(SKETCH_LONGS)]
@@ -217,20 +217,27 @@ def _buckets(docs: DataFrame, text: Column, frequencies: Frequencies) -> DataFra
     return marked.where((F.col("class") != F.col("first")) & (F.col("class") != F.col("before"))).select("key", "first", "class")
 
 
-def _candidate_texts(docs: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
-    """class, text for the wanted classes and the text_hash of a text of each. A filter of LOOKUP_BITS bits keeps most other texts out of the shuffle."""
-    cells = wanted.select(F.pmod("text_hash", F.lit(LOOKUP_BITS)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
+def _rows_at(rows: DataFrame, hashes: DataFrame, inside: bool) -> DataFrame:
+    """Rows whose text_hash may be (inside), or is surely not, among the hashes; which rows may be there, a filter of LOOKUP_BITS bits tells. More hashes make it pass more rows and grow no larger."""
+    cells = hashes.select(F.pmod("text_hash", F.lit(LOOKUP_BITS)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
     bits = np.zeros(LOOKUP_BITS, bool)
     bits[cells] = True
-    held = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits if inside else ~bits))
+    at = rows.columns.index("text_hash")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted_bits = np.unpackbits(held.value).astype(bool)
+        passing = np.unpackbits(held.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(wanted_bits[batch.column("text_hash").to_numpy() % LOOKUP_BITS]))
+            yield batch.filter(pa.array(passing[batch.column(at).to_numpy() % LOOKUP_BITS]))
+
+    return rows.mapInArrow(find, rows.schema)
 
-    found = docs.select(_text_hash(text).alias("text_hash"), text.alias("text")).mapInArrow(find, "text_hash long, text string")
-    return found.join(wanted, "text_hash").dropDuplicates(["class"]).select("class", "text")
+
+def _candidate_texts(docs: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
+    """class, text for the wanted classes and the text_hash of a text of each. One copy of each text is shuffled, once."""
+    rows = docs.select(_text_hash(text).alias("text_hash"), text.alias("text"))
+    found = _rows_at(rows, wanted, inside=True).groupBy("text_hash").agg(F.first("text").alias("text"))
+    return found.join(wanted, "text_hash").select("class", "text")
 
 
 def _plausible(x: str, y: str) -> Column:
@@ -310,7 +317,7 @@ def _met(some: DataFrame, members: DataFrame, condition: Column) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """By document: doc_id, n_shingles, component_id, class (null for the empty set), class_id (smallest doc_id of the class)."""
+    """By document: doc_id, n_shingles, component_id, class (null for the empty set), class_id (smallest doc_id of the class), text_hash, component."""
     profiles = stored(_profiles(docs, F.col(doc_id), F.col(text)), "profiles")
     often = profiles.where("shingle is not null").groupBy("shingle").agg(F.sum("often").alias("often"))
     top = often.orderBy(F.desc("often"), "shingle").limit(FREQUENT).toArrow()
@@ -322,29 +329,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     placed = _with_component(classes.select("class", "class_id"), "class", labels, "component")
     smallest = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
     decided = stored(placed.join(smallest, "component").select("class", "class_id", "component", "component_id"), "components")
-    joined = documents.select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("own")).join(decided, F.col("own") == F.col("class"), "left")
+    joined = documents.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("class").alias("own"))
+    joined = joined.join(decided, F.col("own") == F.col("class"), "left")
     alone = F.col("own").isNull()
-    return joined.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("own").alias("class"), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "component")
+    return joined.select(
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("own").alias("class"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "text_hash",
+        "component",
+    )
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, one of each component, with all their columns as they came: the one with the smallest identifier, null last; of rows that share it, any one. Documents without words all stay."""
-    found = stored(near_duplicates(docs, doc_id, text), "near")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "class")
-    chosen = found.where("class is not null").groupBy("component").agg(F.min(order).alias("m")).select(F.col("m.doc_id").alias("chosen_id"), F.col("m.class").alias("chosen_class"))
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    rows = docs.select(whole.alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    """The documents that stay, one of each component, with all their columns as they came: the one with the smallest identifier, null last; of rows that share it, any one. Documents without words all stay.
 
-    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes = [_class_of(shingles) if len(shingles) else None for shingles in _sets(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(classes, pa.int64())], ["row", "id", "class"])
-
-    row_type = rows.schema["row"].dataType.simpleString()
-    classed = rows.mapInArrow(classify, f"row {row_type}, id {rows.schema['id'].dataType.simpleString()}, class long")
-    # Rows with equal class meet in one place only if they share the chosen identifier too.
-    kept = classed.join(chosen, F.col("class").eqNullSafe(F.col("chosen_class")) & F.col("id").eqNullSafe(F.col("chosen_id")))
-    first = F.row_number().over(Window.partitionBy("class", "id").orderBy(F.lit(0)))
-    kept = kept.withColumn("nth", first).where("nth = 1").select("row.*")
-    empty = docs.where(~F.rlike(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
-    return kept.unionByName(empty)
+    Only rows that have another one in their component, and a few that the filter can't tell from them, are shuffled.
+    """
+    found = stored(near_duplicates(docs, doc_id, text).where("component is not null"), "near")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    groups = found.groupBy("component").agg(F.min(order).alias("m"), F.count("*").alias("rows"))
+    groups = stored(groups.select("component", "rows", F.col("m.doc_id").alias("chosen_id"), F.col("m.text_hash").alias("chosen_hash")), "groups")
+    contested = found.join(groups.where("rows > 1").select("component"), "component").select("text_hash")
+
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(whole.alias("row"), F.col(doc_id).alias("id"), _text_hash(F.col(text)).alias("text_hash"))
+    maybe = _rows_at(rows, contested, inside=True)
+    others = _rows_at(rows, contested, inside=False)
+    chosen = groups.select("chosen_id", "chosen_hash")
+    kept = maybe.join(chosen, F.col("text_hash").eqNullSafe(F.col("chosen_hash")) & F.col("id").eqNullSafe(F.col("chosen_id")))
+    nth = F.row_number().over(Window.partitionBy("text_hash", "id").orderBy(F.lit(0)))
+    kept = kept.withColumn("nth", nth).where("nth = 1").select("row.*")
+    wordless = F.coalesce(F.col(f"row.`{text}`"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    # A row without words has no component; where the filter takes it for another, it comes back by itself.
+    return others.select("row.*").union(kept).union(maybe.where(wordless).select("row.*"))
