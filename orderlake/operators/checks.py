@@ -240,27 +240,24 @@ def compared_as(check: Check, tables: Mapping[str, DataFrame]) -> DataType:
     return own.schema[0].dataType
 
 
-def row_violations(checks: Mapping[int, Check], table: DataFrame) -> DataFrame:
-    """(number, violations) for rules on rows: sums that combine before one row per task is sent."""
-    sums = table.agg(*(F.count_if(breaks(c)).alias(f"check {n}") for n, c in checks.items()))
-    pairs = (F.struct(F.lit(n).alias("number"), F.col(f"check {n}").alias("violations")) for n in checks)
-    return sums.select(F.inline(F.array(*pairs)))
+VALUE_KINDS = ("unique", "accepted_values", "relationships")
 
 
-def value_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(number, violations) for rules on values, from one scan; to be summed by number.
+def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(number, violations) for all checks of one table, from one scan of it; to be summed by number.
 
-    Values are counted per check on both sides of one shuffle, so no value is too frequent.
-    References drop out where the parent has the value; that join uses the same partitioning. A
-    violation is a repeated value, a value outside the list, or a row with an unknown reference.
+    A row adds its values to the checks that compare values, and to the others only what breaks them,
+    so those send one row per task. Findings are counted per check and value on both sides of one
+    shuffle, so no value is too frequent. References drop out where the parent has the value; that
+    join uses the same partitioning. A violation is a repeated value, a value outside the list, or a row.
     """
     table = tables[next(iter(checks.values())).table]
-    kinds = {n: compared_as(c, tables) for n, c in checks.items()}
+    kinds = {n: compared_as(c, tables) for n, c in checks.items() if c.kind in VALUE_KINDS}
 
     def finding(n: int, c: Check) -> Column:
         column = F.col(c.column)
-        says = breaks(c) if c.kind == "accepted_values" else column.isNotNull()
-        value = value_text(column, kinds[n])
+        says = column.isNotNull() if c.kind in ("unique", "relationships") else breaks(c)
+        value = value_text(column, kinds[n]) if n in kinds else F.lit(None).cast("string")
         return F.when(says, F.struct(F.lit(n).alias("number"), value.alias("value")))
 
     found = (
@@ -285,18 +282,6 @@ def value_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
     )
 
 
-VALUE_KINDS = ("unique", "accepted_values", "relationships")
-
-
-def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """All checks of one table: those on rows need no shuffle by value, those on values one."""
-    on_values = {n: c for n, c in checks.items() if c.kind in VALUE_KINDS}
-    on_rows = {n: c for n, c in checks.items() if n not in on_values}
-    table = tables[next(iter(checks.values())).table]
-    parts = [row_violations(on_rows, table)] if on_rows else []
-    return parts + ([value_violations(on_values, tables)] if on_values else [])
-
-
 def check_report(
     spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS
 ) -> DataFrame:
@@ -306,9 +291,8 @@ def check_report(
     """
     numbered = dict(enumerate(checks))
     parts = [
-        part
+        table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
         for table in dict.fromkeys(c.table for c in numbered.values())
-        for part in table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
     ]
     violations = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
 
