@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pytest
+from pyspark.sql import functions as F
 
 from orderlake.llm.queries import op10_toxicity
 from orderlake.llm.toxicity import FEATURES, TOXIC, document_scores, held_out, offending, scored, sentences, trained, training_rows, without_toxic
@@ -47,16 +47,17 @@ def test_long_clean_documents_stay_clean(spark):
     weights = trained(docs, labels)
     rng = random.Random(9)
     text = ". ".join(" ".join(prose(rng, 12)) for _ in range(5000))
-    for _, _, found in sentences(pa.array([text, "", text + " vilething"])):
-        scores = document_scores(weights, found, len(found.document) and int(found.document.max()) + 1)
-        assert scores[0] < 0.05 or scores[-1] > TOXIC
+    scores = np.zeros(3)
+    for first, last, found in sentences(pa.array([text, "", text + " vilething"])):
+        scores[first:last] = document_scores(weights, found, last - first)
+    assert scores[0] < 0.05 and scores[1] == 0 and scores[2] > TOXIC
 
 
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = made(spark)
     read = training_rows(docs, labels).collect()
     assert read and all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in read)
-    flipped = labels.withColumn("toxic", pytest.importorskip("pyspark.sql.functions").when(held_out(labels.doc_id), 1 - labels.toxic).otherwise(labels.toxic))
+    flipped = labels.withColumn("toxic", F.when(held_out(labels.doc_id), 1 - labels.toxic).otherwise(labels.toxic))
     assert (trained(docs, labels) == trained(docs, flipped)).all()
 
 
