@@ -3,7 +3,8 @@
 Markup is stripped; every block of the page becomes a line. Navigation, adverts, forms, comments and the like leave WINDOW
 empty lines in their place, and so does what lies outside the article where a page marks one; lines that are mostly links
 count as empty. The lengths of lines are summed over sliding windows. Text surges where a sum rises from zero to the
-threshold and dives where it falls back to zero; all lines from the first surge to the last dive are kept, however short.
+threshold and dives where it falls back to zero; all lines from the first surge to the last dive are kept, however short and
+however much of them is links. Text of a container that holds such lines belongs to them, whatever was emptied in between.
 
 Nulls, ties, repeated rows: null or empty html has no text; a page without main text gives the empty string; repeated rows
 are pages of their own. Broken markup (no closing tags, a cut tag at the end, bare < and &) is read as browsers do, nearly.
@@ -34,6 +35,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 SPACED = {"br", "td", "th"}
 ARTICLE = {"article", "main"}
+# Elements that hold blocks. One without blocks is a block itself.
+CONTAINERS = {"center", "div", "section", "td"}
 # Elements that end when another of their group starts.
 ENDED_BY_LIKE = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "pre", "section", "table", "ul"}
@@ -69,10 +72,13 @@ def _dropped(tag: str, attributes: str) -> bool:
 
 
 class _Lines:
-    """Lines of a page: text, code points in links, whether the line lies in an article, and whether it is the page's heading."""
+    """Lines of a page: text, code points in links, whether the line lies in an article, whether it is the page's heading, and its container."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, bool, bool, int]] = []
+        self.outer = [0]  # by container the one around it; 0 is the page
+        self.holds_blocks = [True]
+        self.container = 0
         self.parts: list[str] = []
         self.linked = 0
         self.headings = 0
@@ -86,15 +92,30 @@ class _Lines:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.linked, in_article, self.headings > 0))
+                self.lines.append((text, self.linked, in_article, self.headings > 0, self.container))
             self.parts, self.linked = [], 0
 
     def gap(self, in_article: bool) -> None:
         self.end(in_article)
-        self.lines.extend([("", 0, in_article, False)] * WINDOW)
+        self.lines.extend([("", 0, in_article, False, self.container)] * WINDOW)
 
+    def enter(self, tag: str) -> None:
+        if tag not in INLINE and tag not in SPACED:
+            self.holds_blocks[self.container] = True
+        if tag in CONTAINERS:
+            self.outer.append(self.container)
+            self.holds_blocks.append(False)
+            self.container = len(self.outer) - 1
 
-def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
+    def leave(self, tag: str) -> None:
+        if tag in CONTAINERS:
+            self.container = self.outer[self.container]
+
+    def held_by(self, container: int) -> int:
+        return container if self.holds_blocks[container] else self.outer[container]
+
+
+def page_lines(html: str) -> _Lines:
     out = _Lines()
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is dropped
     dropped = links = articles = 0
@@ -105,6 +126,7 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
         tag, drops = stack.pop()
         if tag not in INLINE and not dropped:
             out.end(articles > 0)
+        out.leave(tag)
         dropped -= drops
         links -= tag == "a"
         out.headings -= tag == "h1"
@@ -160,13 +182,14 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
                 out.gap(articles > 0)
             elif tag not in INLINE and tag not in SPACED:
                 out.end(articles > 0)
+        out.enter(tag)
         dropped += drops
         links += tag == "a"
         articles += tag in ARTICLE
         out.headings += tag == "h1"
         stack.append((tag, drops))
     out.end(articles > 0)
-    return out.lines
+    return out
 
 
 def _close(stack: list[tuple[str, bool]], tags: set[str], walls: set[str], pop) -> None:
@@ -203,20 +226,34 @@ def text_between(lengths: list[int], threshold: int, window: int = WINDOW) -> li
 
 def main_text(html: str | None) -> str:
     """The page's main text, its blocks joined by line ends."""
-    lines = page_lines(html or "")
-    marked = any(text and inside for text, _, inside, _ in lines)
-    if marked:
-        lengths = [len(text) if inside else 0 for text, _, inside, _ in lines]
-        ranges = text_between(lengths, 1)
-    else:
-        lengths = [len(text) if linked <= LINK_SHARE * len(text) else 0 for text, linked, _, _ in lines]
-        # The page's heading makes text surge whatever its length.
-        weighed = [n and n + THRESHOLD * heading for n, (*_, heading) in zip(lengths, lines, strict=True)]
-        ranges = text_between(weighed, THRESHOLD) or text_between(lengths, max(1, max([0, *lengths])))
+    page = page_lines(html or "")
+    lines = page.lines
+    if any(text and inside for text, _, inside, *_ in lines):
+        return "\n".join(text for text, _, inside, *_ in lines if text and inside)
+    lengths = [len(text) if linked <= LINK_SHARE * len(text) else 0 for text, linked, *_ in lines]
+    # The page's heading makes text surge whatever its length.
+    weighed = [n and n + THRESHOLD * heading for n, (_, _, _, heading, _) in zip(lengths, lines, strict=True)]
+    ranges = text_between(weighed, THRESHOLD) or text_between(lengths, max(1, max([0, *lengths])))
     if not ranges:
         return ""
-    low, high = ranges[0][0], ranges[-1][1]
-    return "\n".join(text for (text, *_), size in zip(lines[low:high], lengths[low:high], strict=True) if size)
+    kept = _with_containers(page, lengths, ranges)
+    return "\n".join(text for text, *_ in lines[kept] if text)
+
+
+def _with_containers(page: _Lines, lengths: list[int], ranges: list[tuple[int, int]]) -> slice:
+    """Lines from the first range to the last, or to the first and last text of the containers that hold the ranges' lines."""
+    found = [i for low, high in ranges for i in range(low, high) if lengths[i]]
+    strong = [page.lines[i] for i in found]
+    # The page's heading may stand outside what holds its text.
+    holding = {page.held_by(line[4]) for line in strong if not line[3]} or {page.held_by(line[4]) for line in strong}
+    within = [False]  # of the page itself only what it holds directly
+    for container in range(1, len(page.outer)):
+        within.append(container in holding or within[page.outer[container]])
+    low, high = found[0], found[-1] + 1
+    for i, (*_, container) in enumerate(page.lines):
+        if lengths[i] and (within[container] or page.held_by(container) in holding):
+            low, high = min(low, i), max(high, i + 1)
+    return slice(low, high)
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -72,6 +72,28 @@ def test_surges_and_dives():
     assert [sum(lengths[a:b]) for a, b in got] == [97, 70]
 
 
+LONG = "A paragraph that goes on for longer than it takes to be found as the text of a page."
+
+
+@pytest.mark.parametrize("part", [x for x in CHROME if x not in ("script", "style", "comment")])
+def test_short_blocks_around_an_emptied_part(part):
+    inside = f"<p>By me.</p>{CHROME[part]}<p>{LONG}</p>{CHROME[part]}<p>I agree.</p><p>So do they.</p>"
+    expected = f"By me.\n{LONG}\nI agree.\nSo do they."
+    assert main_text(f"<div>{inside}</div>") == expected
+    assert main_text(f"<body>{inside}</body>") == expected
+    assert main_text(f"<div><h1>T</h1><p>{LONG}</p>{CHROME[part]}<div class=x><ul><li>The<li>end.</ul></div></div>") == f"T\n{LONG}\nThe\nend."
+    assert main_text(f"<div id=c><div>By me.</div>{CHROME[part]}<div>{LONG}</div>{CHROME[part]}<div>The end.</div></div>") == f"By me.\n{LONG}\nThe end."
+    other = f"<div><p>Elsewhere.</p></div>{CHROME[part]}"
+    assert main_text(f"<body>{other}<div>{inside}</div>{CHROME[part]}<div><p>Elsewhere.</p></div></body>") == expected
+
+
+def test_links_within_the_text():
+    linked = "<p><a href=/x>The whole report, as it was given</a></p><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul>"
+    menu = "<ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul>"
+    page = f"<body>{menu}<div><p>{LONG}</p>{linked}<p>The end.</p></div>{menu}</body>"
+    assert main_text(page) == f"{LONG}\nThe whole report, as it was given\nOne\nTwo\nThe end."
+
+
 def test_given_pages(spark):
     """The pages' articles, read by a plain pattern."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
