@@ -6,6 +6,9 @@ count as empty. The lengths of lines are summed over sliding windows. Text surge
 threshold and dives where it falls back to zero; all lines from the first surge to the last dive are kept, however short and
 however much of them is links. Text of a container that holds such lines belongs to them, whatever was emptied in between.
 
+A class, id or role that names another part of a page does not drop an article or what holds one; only comments, adverts and
+the like, whose entries may be marked as articles, go where the page has an article besides.
+
 Nulls, ties, repeated rows: null or empty html has no text; a page without main text gives the empty string; repeated rows
 are pages of their own. Broken markup (no closing tags, a cut tag at the end, bare < and &) is read as browsers do, nearly.
 Empty tables give empty results. Other columns may have any name and type.
@@ -44,6 +47,14 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
 HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "alert", "aside", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "complementary", "cookie", "cookies", "copyright", "dialog", "disclaimer", "discussion", "disqus", "feedback", "gdpr", "legal", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "paywall", "poll", "popular", "popup", "promo", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "survey", "teaser", "toolbar", "topbar", "trending", "widget", "widgets"}
 PAGE_HINTS = {"footer", "header"}
 CONTENT_HINTS = {"article", "content", "entry", "main", "post", "story", "wrapper", "container"}
+# Of the words above, those of parts whose entries may be marked as articles themselves.
+ENTRY_HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "disqus", "promo", "promotion", "recommended", "related", "replies", "respond", "sponsor", "sponsored", "teaser"}
+# Of the words above, those that may be the topic of what other names of the element call content.
+TOPIC_HINTS = {"alert", "consent", "cookie", "cookies", "copyright", "disclaimer", "discussion", "feedback", "gdpr", "legal", "login", "newsletter", "notice", "notices", "paywall", "poll", "popular", "search", "share", "sharing", "signup", "social", "subscribe", "subscription", "survey", "trending"}
+# First words of names that file an element under a topic.
+FILING = {"category", "cat", "tag", "tags", "topic"}
+# Words of names that tell content where or how its neighbours stand.
+PLACES = {"left", "right", "top", "bottom", "both", "none", "one", "two", "open", "closed", "on", "off", "enabled", "disabled", "sticky", "fixed", "full", "wide", "narrow"}
 # Words of a layout that names what it holds besides, such as "has-sidebar".
 LAYOUT_HINTS = {"with", "has", "no"}
 
@@ -54,21 +65,32 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",  # declarations
     re.DOTALL,
 )
-_NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-def _dropped(tag: str, attributes: str) -> bool:
-    """Whether the element's class, id or role marks it as not the article's."""
+# Why an element is dropped: it always is; its names say so; they name a part whose entries may be marked as articles.
+ALWAYS, NAMED, ENTRY = 1, 2, 3
+
+
+def _dropped(tag: str, attributes: str) -> int:
+    """Why the element's attributes mark it as not the article's, or 0."""
     if not attributes or tag in ("html", "body"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    names = {part.lower() for groups in _NAMING.findall(attributes) for part in _NAME_PARTS.findall("".join(groups))}
-    if names & HINTS:
-        return not names & LAYOUT_HINTS
-    return bool(names & PAGE_HINTS) and not names & CONTENT_HINTS
+        return 0
+    given: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        given.setdefault(name.lower(), "".join(values))
+    if "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true" or _UNSEEN.search(given.get("style", "")):
+        return ALWAYS
+    words = [[part.lower() for part in _NAME_PARTS.findall(name)] for key in ("class", "id", "role") for name in given.get(key, "").split()]
+    words = [x for x in words if not (len(x) > 1 and x[0] in FILING)]
+    content = any(any(part in CONTENT_HINTS and part != "container" for part in x) and HINTS.isdisjoint(x) for x in words)
+    names = {part for x in words if not content or PLACES.isdisjoint(x) for part in x}
+    hints = names & HINTS - TOPIC_HINTS if content else names & HINTS
+    if hints:
+        return 0 if names & LAYOUT_HINTS else ENTRY if hints & ENTRY_HINTS else NAMED
+    return NAMED if names & PAGE_HINTS and not names & CONTENT_HINTS else 0
 
 
 class _Lines:
@@ -115,15 +137,53 @@ class _Lines:
         return container if self.holds_blocks[container] else self.outer[container]
 
 
+class _Articles:
+    """Articles of a page, and which elements must not be dropped by their names since they are or hold one."""
+
+    def __init__(self):
+        self.spared: set[int] = set()
+        self.plain = 0  # articles that lie in no ENTRY
+        self.others: list[tuple[list[int], int]] = []  # by article in an ENTRY: such elements, and the plain ones around it
+
+    def add(self, reasons: list[tuple[int, int]], around: list[str]) -> bool:
+        """An article inside elements (and itself) that may be dropped for reasons, and plain articles around it. Whether it is plain."""
+        if any(why == ALWAYS for _, why in reasons):
+            return False
+        self.spared.update(at for at, why in reasons if why == NAMED)
+        entries = [at for at, why in reasons if why == ENTRY]
+        if not entries:
+            self.plain += 1
+        elif "article" not in around:
+            self.others.append((entries, len(around)))
+        return not entries
+
+    def all_spared(self) -> set[int]:
+        return self.spared.union(*(entries for entries, around in self.others if self.plain == around))
+
+
 def page_lines(html: str) -> _Lines:
-    out = _Lines()
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is dropped
+    out, articles = _read(html, set())
+    spared = articles.all_spared()
+    return _read(html, spared)[0] if spared else out
+
+
+def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
+    """The page's lines, where the elements at these places are not dropped by their names."""
+    out, marked = _Lines(), _Articles()
+    # Open elements, whether each may be dropped, whether it is, and whether it is a plain article.
+    stack: list[tuple[str, bool, bool, bool]] = []
+    reasons: list[tuple[int, int]] = []  # of the open elements that may be dropped: their places, and why
+    around: list[str] = []  # plain articles that are open
     dropped = links = articles = 0
     at, end = 0, len(html)
 
     def pop() -> None:
         nonlocal dropped, links, articles
-        tag, drops = stack.pop()
+        tag, may_drop, drops, plain = stack.pop()
+        if may_drop:
+            reasons.pop()
+        if plain:
+            around.pop()
         if tag not in INLINE and not dropped:
             out.end(articles > 0)
         out.leave(tag)
@@ -149,10 +209,10 @@ def page_lines(html: str) -> _Lines:
             continue
         tag = tag.lower()
         if closing:
-            if tag == "p" and not any(x == "p" for x, _ in stack):
+            if tag == "p" and not any(x == "p" for x, *_ in stack):
                 if not dropped:
                     out.end(articles > 0)
-            elif any(x == tag for x, _ in stack):
+            elif any(x == tag for x, *_ in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -164,7 +224,7 @@ def page_lines(html: str) -> _Lines:
         if tag in SPACED and not dropped:
             out.add(" ", links > 0)
         if tag == "body":
-            while any(x == "head" for x, _ in stack):
+            while any(x == "head" for x, *_ in stack):
                 pop()
         if tag in CLOSES_P or tag == "p":
             _close(stack, {"p"}, {"td", "th", "li", "button", "article", "section", "div", "aside"}, pop)
@@ -172,7 +232,8 @@ def page_lines(html: str) -> _Lines:
             _close(stack, ENDED_BY_LIKE[tag], {"ul", "ol", "dl", "table", "select"}, pop)
         if tag == "a":
             _close(stack, {"a"}, {"td", "th", "li", "div", "p"}, pop)
-        drops = tag in DROPPED or (tag not in VOID and _dropped(tag, attributes))
+        why = ALWAYS if tag in DROPPED else 0 if tag in VOID else _dropped(tag, attributes)
+        drops = why == ALWAYS or (why > 0 and found.start() not in spared)
         if tag in VOID:
             if tag == "hr" and not dropped:
                 out.end(articles > 0)
@@ -187,12 +248,17 @@ def page_lines(html: str) -> _Lines:
         links += tag == "a"
         articles += tag in ARTICLE
         out.headings += tag == "h1"
-        stack.append((tag, drops))
+        if why:
+            reasons.append((found.start(), why))
+        plain = tag in ARTICLE and marked.add(reasons, around)
+        if plain:
+            around.append(tag)
+        stack.append((tag, why > 0, drops, plain))
     out.end(articles > 0)
-    return out
+    return out, marked
 
 
-def _close(stack: list[tuple[str, bool]], tags: set[str], walls: set[str], pop) -> None:
+def _close(stack: list[tuple[str, bool, bool, bool]], tags: set[str], walls: set[str], pop) -> None:
     """Ends the innermost open element of these, unless a wall stands before it."""
     for depth in range(len(stack) - 1, -1, -1):
         if stack[depth][0] in tags:

@@ -94,6 +94,35 @@ def test_links_within_the_text():
     assert main_text(page) == f"{LONG}\nThe whole report, as it was given\nOne\nTwo\nThe end."
 
 
+@pytest.mark.parametrize(
+    "names",
+    ["class='post category-legal tag-social'", "class='post type-post tag-cookies topic-search'", "class=popular", "id=survey", "class='post sponsored'", "class='comments-open'", "role=search", "class='poll notice alert'"],
+)
+@pytest.mark.parametrize("container", ["article", "main"])
+def test_articles_stay_whatever_their_names(container, names):
+    assert main_text(f"<body><p>Around it.</p><{container} {names}>{body()}</{container}></body>") == EXPECTED
+    assert main_text(f"<body><div {names}><p>Around it.</p><div class=social><{container}>{body(*CHROME.values())}</{container}></div></div></body>") == EXPECTED
+    listed = f"<{container} {names.replace('sponsored', 'x').replace('comments', 'x')}><p>Another.</p></{container}>"
+    assert main_text(f"<body><{container}>{body()}</{container}>{listed}</body>") == f"{EXPECTED}\nAnother."
+
+
+def test_comments_and_adverts_marked_as_articles_go():
+    comment = "<article class=comment-body><p>First! This is a very good article and I liked reading it.</p></article>"
+    assert main_text(f"<main><article>{body()}</article><section class=comments>{comment}{comment}</section></main>") == EXPECTED
+    assert main_text(f"<main><article>{body()}<div class=comments>{comment}</div></article><div class=related><article><p>Another</p></article></div></main>") == EXPECTED
+    assert main_text(f"<article>{body()}</article><div hidden><article><p>Hidden</p></article></div>") == EXPECTED
+
+
+@pytest.mark.parametrize("names", ["id=content class='content sidebar-right'", "class='main-content social'", "class='post tag-survey category-poll'", "class='entry no-sidebar'", "class='content-wrapper sidebar-left'", "class='story comments-closed'", "class='hidden md:block'", "title='A hidden gem'", "data-class=sidebar", "title='class=ad id=nav'", "data-aria-hidden=true", "title='display: none'", "href=/x/hidden"])
+def test_content_stays_whatever_its_names(names):
+    assert main_text(f"<body>{CHROME['nav']}<div {names}>{body()}</div>{CHROME['footer']}</body>") == EXPECTED
+
+
+@pytest.mark.parametrize("names", ["class='content sidebar'", "class='post-comments'", "class='comment-content content'", "class='main-nav'", "class=sidebar-right", "hidden", "class=x HIDDEN=''", "aria-hidden='true'", "style='color: red; display:none'", "id=legal"])
+def test_parts_still_go(names):
+    assert main_text(f"<body><div {names}>{body()}</div><div>{body()}</div></body>") == EXPECTED
+
+
 def test_given_pages(spark):
     """The pages' articles, read by a plain pattern."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
