@@ -17,6 +17,9 @@ spans components, its members are compared with one drawn from them, and at last
 the others are compared set by set. So no bucket, however large, is expanded into all pairs of a group that hangs together,
 and no link between components is lost.
 
+Links. All links lie inside components. For the links themselves, or their number by document, classes of a component are dealt
+over chunks of bounded size, and every two chunks meet in one group of rows, where each plausible pair is compared once.
+
 Nulls, ties, repeated rows: null, empty and blank texts have the empty set and link with nothing; a text of fewer words than a
 shingle is one shingle; repeated rows are one class, null identifiers are allowed (a component takes the smallest that is not
 null). Empty tables give empty results. Other columns may have any name.
@@ -50,6 +53,9 @@ FREQUENT = 200_000
 #: Bits of the filter by which texts are looked up: false hits cost time only.
 LOOKUP_BITS = 1 << 20
 
+#: Classes, and shingles, that a chunk of a component holds on average at most.
+CHUNK, CHUNK_SHINGLES = 256, 1_000_000
+
 _SKETCHES = [f"s{i}" for i in range(SKETCH_LONGS)]
 
 
@@ -271,7 +277,7 @@ def _with_component(rows: DataFrame, column: str, labels: DataFrame, name: str)
 
 
 def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies: Frequencies) -> tuple[DataFrame, DataFrame]:
-    """Links between classes, enough of them to connect all that hangs together, and the components they make."""
+    """A text of each class that may have a link, and the components that links make; of these enough are found to connect all that hangs together."""
     buckets = stored(_buckets(docs, text, frequencies), "buckets")
     wanted = buckets.select("class").union(buckets.select(F.col("first").alias("class"))).distinct()
     wanted = stored(wanted.join(classes.select("class", "text_hash"), "class"), "wanted")
@@ -297,7 +303,7 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
-    return links, labels
+    return texts, labels
 
 
 def _open_members(members: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
@@ -318,21 +324,26 @@ def _met(some: DataFrame, members: DataFrame, condition: Column) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """By document: doc_id, n_shingles, component_id, class (null for the empty set), class_id (smallest doc_id of the class), text_hash, component."""
+    return _near_duplicates(docs, doc_id, text)[0]
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What near_duplicates gives; by class: class, class_id, size (its documents); by class that has links: class, component, size, n, text."""
     profiles = stored(_profiles(docs, F.col(doc_id), F.col(text)), "profiles")
     often = profiles.where("shingle is not null").groupBy("shingle").agg(F.sum("often").alias("often"))
     top = often.orderBy(F.desc("often"), "shingle").limit(FREQUENT).toArrow()
     frequencies = Frequencies(top.column("shingle").to_numpy().view(np.uint64), top.column("often").to_numpy())
     documents = profiles.where("shingle is null")
     same = [F.min(c).alias(c) for c in ("text_hash", "n", *_SKETCHES)]
-    classes = stored(documents.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"), *same), "classes")
-    _, labels = _class_links(docs, F.col(text), classes, frequencies)
+    classes = stored(documents.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"), *same), "classes")
+    texts, labels = _class_links(docs, F.col(text), classes, frequencies)
     placed = _with_component(classes.select("class", "class_id"), "class", labels, "component")
     smallest = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
     decided = stored(placed.join(smallest, "component").select("class", "class_id", "component", "component_id"), "components")
     joined = documents.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("class").alias("own"))
     joined = joined.join(decided, F.col("own") == F.col("class"), "left")
     alone = F.col("own").isNull()
-    return joined.select(
+    found = joined.select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -341,6 +352,94 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "text_hash",
         "component",
     )
+    members = labels.withColumnRenamed("node", "class").join(classes.select("class", "size", "n"), "class").join(texts, "class")
+    return found, classes.select("class", "class_id", "size"), members
+
+
+def _chunk_pairs(members: DataFrame) -> DataFrame:
+    """Rows of members for each two chunks of a component, and each chunk with itself: (component, low, high), chunk, class, size, text; rows of one group follow one another."""
+    sized = members.groupBy(F.col("component").alias("of")).agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
+    dealt = members.join(sized, F.col("component") == F.col("of")).withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    group = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    return dealt.select("component", *group, "chunk", "class", "size", "text").repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By group of two chunks that has links: classes and sizes of its rows, and the linked rows' numbers."""
+    group, rows = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("component", "low", "high")), strict=True)
+        rest = zip(*(batch.column(c).to_pylist() for c in ("chunk", "class", "size")), strict=True)
+        for key, row, shingles in zip(keys, rest, _sets(batch.column("text")), strict=True):
+            if key != group:
+                if len(rows) > 1:
+                    yield _links_in_group(group, rows)
+                group, rows = key, []
+            rows.append((*row, shingles))
+    if len(rows) > 1:
+        yield _links_in_group(group, rows)
+
+
+def _links_in_group(group: tuple, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    chunk, classes, sizes = (np.array([row[i] for row in rows], np.int64) for i in range(3))
+    sets = [row[3] for row in rows]
+    n = np.array([len(x) for x in sets], np.int64)
+    sketches = np.array([_sketch(x) for x in sets]).view(np.uint64)
+    distinct, places = np.unique(np.concatenate(sets), return_inverse=True)
+    places = np.split(places, np.cumsum(n)[:-1])
+    marked = np.zeros(len(distinct), bool)
+    _, low, high = group
+    of_low, of_high = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at, a in enumerate(of_low):
+        others = of_high[at + 1 :] if low == high else of_high
+        both = n[a] + n[others]
+        distance = np.bitwise_count(sketches[others] ^ sketches[a]).sum(1, dtype=np.int64)
+        plausible = (4 * np.minimum(n[a], n[others]) >= 3 * np.maximum(n[a], n[others])) & (7 * distance <= both)
+        others, both = others[plausible], both[plausible]
+        marked[places[a]] = True
+        common = np.array([np.count_nonzero(marked[places[b]]) for b in others], np.int64)
+        marked[places[a]] = False
+        others = others[100 * common >= 75 * (both - common)]
+        first.append(np.full(len(others), a))
+        second.append(others)
+    return classes, sizes, np.concatenate(first), np.concatenate(second)
+
+
+def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every two classes whose sets are similar, each pair once: x, y (the classes, x < y), x_id, y_id (their smallest doc_id)."""
+    _, classes, members = _near_duplicates(docs, doc_id, text)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for named, _, first, second in _groups(batches):
+            a, b = named[first], named[second]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["x", "y"])
+
+    found = _chunk_pairs(members).mapInArrow(pairs, "x long, y long")
+    for end in ("x", "y"):
+        found = found.join(classes.select(F.col("class").alias(end), F.col("class_id").alias(f"{end}_id")), end)
+    return found.select("x", "y", "x_id", "y_id")
+
+
+def with_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """By document what near_duplicates gives, and n_copies, the other documents of its class, and n_links, the documents of other classes that are similar to it.
+
+    Links are counted where they are found: no pair of a group of near copies becomes a row.
+    """
+    found, classes, members = _near_duplicates(docs, doc_id, text)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for named, sizes, first, second in _groups(batches):
+            linked = np.zeros(len(named), np.int64)
+            np.add.at(linked, first, sizes[second])
+            np.add.at(linked, second, sizes[first])
+            yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(linked)], ["linked_class", "linked"])
+
+    counted = _chunk_pairs(members).mapInArrow(count, "linked_class long, linked long").groupBy("linked_class").agg(F.sum("linked").alias("linked"))
+    by_class = classes.select(F.col("class").alias("of_class"), "size").join(counted, F.col("of_class") == F.col("linked_class"), "left")
+    joined = found.join(by_class, F.col("class") == F.col("of_class"), "left")
+    return joined.select(*found.columns, F.coalesce(F.col("size") - 1, F.lit(0)).alias("n_copies"), F.coalesce("linked", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from orderlake.llm import jaccard_join
 from orderlake.llm.components import connected
-from orderlake.llm.jaccard_join import BAND, Frequencies, bands, most_different, near_duplicates, one_of_each, sketch_words
+from orderlake.llm.jaccard_join import BAND, Frequencies, bands, most_different, links, near_duplicates, one_of_each, sketch_words, with_links
 from orderlake.llm.words import mixed
 from tests.llm.corpus import clashing, documents, empty, prose, rows
 
@@ -97,6 +97,30 @@ def test_buckets_that_hang_apart_are_compared_within(spark, monkeypatch):
     assert Counter(got) == Counter(groups(data)[0])
 
 
+@pytest.mark.parametrize("chunk", [jaccard_join.CHUNK, 5])
+@pytest.mark.parametrize("data", [rows(1), near_copies(1, 30)], ids=["odd rows", "near copies"])
+def test_no_link_is_lost(spark, monkeypatch, data, chunk):
+    """All links, and their number by document, against all pairs; also inside components."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    docs = spark.createDataFrame(data, documents(spark).schema).repartition(4)
+    sets = [shingles(r[1]) for r in data]
+    size = Counter(x for x in sets if x)
+    linked = {x: [y for y in size if y != x and similar(x, y)] for x in size}
+    expected = [(r[0], len(x), max(size[x] - 1, 0), sum(size[y] for y in linked.get(x, []))) for r, x in zip(data, sets, strict=True)]
+    got = [(r.doc_id, r.n_shingles, r.n_copies, r.n_links) for r in with_links(docs).collect()]
+    assert Counter(got) == Counter(expected) and any(r[3] for r in expected)
+    smallest = {x: min((r[0] for r, y in zip(data, sets, strict=True) if x == y and r[0] is not None), default=None) for x in size}
+    pairs = [tuple(sorted((smallest[x], smallest[y]), key=str)) for x in size for y in linked[x]]
+    found = links(docs).collect()
+    assert Counter(tuple(sorted((r.x_id, r.y_id), key=str)) for r in found for _ in range(2)) == Counter(pairs)
+    assert all(r.x < r.y for r in found) and len({(r.x, r.y) for r in found}) == len(found)
+
+
+def test_links_of_no_rows(spark):
+    assert with_links(empty(spark)).count() == links(empty(spark)).count() == 0
+    assert with_links(clashing(spark)).count() == clashing(spark).count()
+
+
 def test_other_columns_and_no_rows(spark):
     docs = clashing(spark)
     assert one_of_each(docs).dtypes == docs.dtypes
