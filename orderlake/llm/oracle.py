@@ -154,10 +154,46 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from figures
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_DECONTAMINATION = f"""
+with items as (
+    select coalesce(item_id::varchar, '') as item, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}') as w from benchmark
+),
+phrases as (
+    select distinct item, least(len(w), 10) as n, array_to_string(w[k:k + 9], ' ') as phrase
+    from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k from items where len(w) > 0)
+),
+lengths as (select distinct n from phrases),
+docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}') as w from documents
+),
+windows as (
+    select r, k, n, array_to_string(w[k:k + n - 1], ' ') as phrase
+    from (select r, w, n, unnest(range(1, len(w) - n + 2)) as k from docs, lengths where len(w) >= n)
+),
+found as (select r, k, n, item from windows join phrases using (n, phrase)),
+hit as (select r, count(distinct word) as n_hit from (select r, unnest(range(k, k + n)) as word from found) group by r),
+named as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct r, item from found) group by r
+)
+select
+    doc_id,
+    len(w)::bigint as n_words,
+    coalesce(n_hit, 0)::bigint as n_hit,
+    coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256,
+    n_hit is not null as contaminated
+from docs left join hit using (r) left join named using (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": _EXACT_DEDUP,
     "op4_jaccard_join": _JACCARD_JOIN,
     "op7_mixing": _MIXING,
     "op8_chat": _CHAT,
     "op9_quality": _QUALITY,
+    "op13_decontamination": _DECONTAMINATION,
 }
