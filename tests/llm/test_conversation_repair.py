@@ -1,0 +1,176 @@
+"""Repairs against a plain search over all edits, and against a plain reading of whole conversations."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderlake.llm import conversation_repair
+from orderlake.llm.conversation_repair import FIGURES, cheapest, damaged, repaired_turns, repairs
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def best(rows):
+    """Cost, audit, repaired rows. rows: role, text, fault. All paths, the least cost and audit of each place and what the roles spell so far."""
+    found = {(0, ""): (0, "", ())}  # by rows read and shape (empty, s, u, a): cost, audit, repaired
+
+    def spelled(shape, initial):
+        return {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}.get((shape, initial))
+
+    def better(key, label):
+        if key not in found or label[:2] < found[key][:2]:
+            found[key] = label
+            return True
+        return False
+
+    def insert_at(i):
+        changed = True
+        while changed:
+            changed = False
+            for (at, shape), (cost, audit, out) in list(found.items()):
+                if at == i:
+                    for role in ("user", "assistant"):
+                        after = spelled(shape, role[0])
+                        if after:
+                            changed |= better((i, after), (cost + 2, audit + "I", (*out, (role, ""))))
+
+    for i, (role, text, fault) in enumerate(rows):
+        insert_at(i)
+        for (at, shape), (cost, audit, out) in list(found.items()):
+            if at != i:
+                continue
+            better((i + 1, shape), (cost + 3, audit + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = fault == "truncated"
+            if spelled(shape, role[:1]):
+                better((i + 1, spelled(shape, role[:1])), (cost + more, audit + "K", (*out, (role, text))))
+            for other in ("user", "assistant"):
+                if spelled(shape, other[0]):
+                    better((i + 1, spelled(shape, other[0])), (cost + 2 + more, audit + "R", (*out, (other, text))))
+    insert_at(len(rows))
+    return min((label for (at, shape), label in found.items() if at == len(rows) and shape in ("", "a")), key=lambda x: x[:2])
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        name = lambda x: " " if x is None else str(x)
+        fate = zlib.crc32(f"{name(conv)}:{name(turn)}".encode()) % 20
+        role, text = name(role), name(text)
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        out += [(conv, turn, "user" if fate == 4 else role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return out
+
+
+def plain(rows, ids):
+    of = defaultdict(list)
+    for conv, turn, role, text in rows:
+        of[conv].append((turn is not None, turn or 0, role, text))
+    out = []
+    for conv in ids:
+        own, seen, faults = sorted(of[conv]), set(), []
+        for _, _, role, text in own:
+            end = text.rstrip(SPACES)
+            faults.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [t for known, t, *_ in own if known]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[2][:1] + b[2][:1] for a, b in zip(own, own[1:])]
+        cost, audit, repaired = best([(role, text, f) for (_, _, role, text), f in zip(own, faults)])
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in repaired).encode()).hexdigest()
+        counts = [faults.count(x) for x in ("blank", "duplicate", "truncated")]
+        out.append((conv, gaps, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, digest))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted(((r.conv_id, *(r[c] for c in FIGURES), r.audit, r.repaired_sha256) for r in df.collect()), key=repr)
+
+
+def odd_rows(seed=1, conversations=60):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No!", "Why?", "and then", "", " \n", "Long. But cut", "x" * 90 + ".", "x" * 90 + "!", "no-break "]
+    out = []
+    for conv in range(conversations):
+        for turn in range(rng.randrange(1, 9)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            out.append((rng.choice([conv, conv, None]) if conv % 5 == 0 else conv, rng.choice([turn, turn, turn, None, turn * 2]), role, rng.choice([*texts, None])))
+    return out + out[:7] + [(900, None, None, None), (901, 1, "system", "Rules."), (902, -5, "user", "a."), (902, 10**12, "assistant", "b.")]
+
+
+@pytest.mark.parametrize("bits", [12, 1, 2])
+def test_odd_rows(spark, monkeypatch, bits):
+    """With chunks of 4096, 2 and 4 rows."""
+    monkeypatch.setattr(conversation_repair, "CHUNK_BITS", bits)
+    rows = odd_rows()
+    ids = sorted({r[0] for r in rows}, key=repr)
+    turns = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    given_as = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    assert got(repairs(turns)) == plain(given_as, ids)
+    assert got(repairs(damaged(turns), ids=turns)) == plain(damage(rows), ids)
+
+
+def test_given_conversations(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    rows = [tuple(r) for r in turns.select("conv_id", "turn", "role", "text").collect()]
+    want = plain(damage(rows), sorted({r[0] for r in rows}))
+    assert got(repairs(damaged(turns), ids=turns)) == want
+    assert {letter for x in want for letter in x[7]} == set("KRDI")
+
+
+def test_repaired_turns(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Hello?"), (1, 2, "assistant", "Yes."), (2, 0, "system", "Rules."), (2, 1, "user", "Hi.")]
+    got = sorted(tuple(r) for r in repaired_turns(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [
+        (1, 0, "K", "user", "Hi."), (1, 1, "I", "assistant", ""), (1, 2, "K", "user", "Hello?"), (1, 3, "K", "assistant", "Yes."),
+        (2, 0, "K", "system", "Rules."), (2, 1, "K", "user", "Hi."), (2, 2, "I", "assistant", ""),
+    ]
+
+
+def test_one_conversation_of_many_rows(spark):
+    """It is cut into chunks, and comes to the same as one piece."""
+    rng = random.Random(2)
+    rows = [(None, t, rng.choice(["user", "assistant", "system"]), rng.choice(["a.", "b", "", f"c{t}."])) for t in range(20_000)]
+    [row] = repairs(spark.createDataFrame(rows, SCHEMA)).collect()
+    seen, codes = set(), []
+    for _, _, role, text in rows:
+        codes.append(role[0] + ("B" if not text else "D" if (role, text) in seen else "T" if text == "b" else "."))
+        seen.add((role, text))
+    assert row.audit == cheapest("".join(codes)) + "I" * (len(row.audit) - len(cheapest("".join(codes))))
+    assert (row.blank, row.duplicate) == ("".join(codes)[1::2].count("B"), "".join(codes)[1::2].count("D"))
+
+
+def test_other_columns_and_no_rows(spark):
+    turns = spark.createDataFrame(odd_rows(3), SCHEMA)
+    more = turns.selectExpr("*", *(f"map('{c}', turn) as `{c}`" for c in ("place", "code", "name", "chunk", "audit", "part", "of", "leading", "codes")))
+    assert got(repairs(more)) == got(repairs(turns))
+    assert repairs(turns.limit(0)).count() == repaired_turns(turns.limit(0)).count() == 0
+    [empty] = repairs(turns.limit(0), ids=turns.limit(1)).collect()
+    assert tuple(empty)[1:] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("sua-"), st.sampled_from(".BDT")), max_size=9))
+def test_cheapest(rows):
+    names = {"s": "system", "u": "user", "a": "assistant", "-": "tool"}
+    faults = {".": "", "B": "blank", "D": "duplicate", "T": "truncated"}
+    _, audit, _ = best([(names[c], "", faults[f]) for c, f in rows])
+    found = cheapest("".join(c + f for c, f in rows))
+    assert audit == found + "I" * (len(audit) - len(found)) and set(audit[len(found) :]) <= {"I"}
+
+
+def test_long_texts(spark):
+    text = "word " * 300_000
+    rows = [(1, 0, "user", text + "."), (1, 1, "assistant", text), (1, 2, "assistant", text)]
+    want = plain(rows, [1])
+    assert got(repairs(spark.createDataFrame(rows, SCHEMA))) == want

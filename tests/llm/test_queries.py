@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in (*range(1, 11), 13)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in (*range(1, 12), 13)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
