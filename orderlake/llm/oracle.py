@@ -189,11 +189,54 @@ select
 from docs left join hit using (r) left join named using (r)
 """
 
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    distance = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} as materialized (
+    select r, p, x, arg_min(e, d * 256 + e) as e, min(d) as d
+    from (select r, p, x, e, {distance} as d from parts join b{n} using (p)) group by r, p, x
+)""")
+        if n < rounds:
+            steps.append(f"""
+s{n} as (
+    select p, e, list(total order by i) as c
+    from (
+        select p, e, i, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*))::bigint // count(*) as total
+        from (select p, e, unnest(x) as v, unnest(range(16)) as i from a{n}) group by p, e, i
+    ) group by p, e
+),
+b{n + 1} as materialized (select p, e, coalesce(s{n}.c, b{n}.c) as c from b{n} left join s{n} using (p, e))""")
+    return f"""
+with kept as (
+    select row_number() over (order by vec_id) as r, vec_id, label,
+        list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (select r, p, v[p * 16 + 1:p * 16 + 16] as x from kept, range(4) as t(p)),
+b0 as materialized (select p, r - 1 as e, x as c from parts where r <= 256),{",".join(steps)},
+coded as (
+    select r, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from a{rounds} group by r
+),
+book as (
+    select sha256(string_agg(v::varchar, ',' order by p, e, i)) as codebooks_sha256
+    from (select p, e, unnest(c) as v, unnest(range(16)) as i from b{rounds})
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (r), book
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": _EXACT_DEDUP,
     "op4_jaccard_join": _JACCARD_JOIN,
     "op7_mixing": _MIXING,
     "op8_chat": _CHAT,
     "op9_quality": _QUALITY,
+    "op12_vector_codes": _vector_codes(),
     "op13_decontamination": _DECONTAMINATION,
 }

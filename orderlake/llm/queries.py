@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, conversation_repair, decontamination, exact_dedup, html_text, jaccard_join, mixing, packing, quality, secret_scan, token_rollup, toxicity
+from orderlake.llm import chat, conversation_repair, decontamination, exact_dedup, html_text, jaccard_join, mixing, packing, quality, secret_scan, token_rollup, toxicity, vector_codes
 from orderlake.session import shared_folder, with_package
 
 
@@ -83,6 +83,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(conversation_repair.damaged(turns), ids=turns)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code, its error, and what all vectors of its label err."""
+    coded, books = vector_codes.compressed(_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(books.sha256() if books else None).cast("string")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words that lie in passages of the benchmark."""
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -92,5 +99,5 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: with_package(f)
-    for f in (op1_exact_dedup, op2_html_text, op3_secret_scan, op4_jaccard_join, op5_token_rollup, op6_packing, op7_mixing, op8_chat, op9_quality, op10_toxicity, op11_conversation_repair, op13_decontamination)
+    for f in (op1_exact_dedup, op2_html_text, op3_secret_scan, op4_jaccard_join, op5_token_rollup, op6_packing, op7_mixing, op8_chat, op9_quality, op10_toxicity, op11_conversation_repair, op12_vector_codes, op13_decontamination)
 }

@@ -14,7 +14,7 @@ from tests.compare import assert_same
 from tests.llm.test_jaccard_join import shingles, similar
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in (*range(1, 12), 13)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
