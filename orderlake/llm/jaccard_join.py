@@ -13,9 +13,11 @@ emitted by few. The order comes from counts over all documents and changes the w
 meets in the band of b; a set joins its own band, and the next one if a partner can lie there.
 
 Verification. Members of a bucket are compared with its first one, and links are closed to components. Where a bucket still
-spans components, its members are compared with one drawn from them, and at last all of different components with each other. Sizes and a short bit sketch sort out most pairs;
-the others are compared set by set. So no bucket, however large, is expanded into all pairs of a group that hangs together,
-and no link between components is lost.
+spans components, its members are compared with one drawn from them, and at last all of different components with each other.
+Of buckets with the same members one is enough, and a bucket whose members all share a larger one is contained in it: they
+are left out, since what stays has all their pairs. The rest is compared inside tasks, chunk by chunk, so that only likely pairs become rows. Sizes, a short sketch and a longer one,
+of some bits for each element, sort out nearly all pairs that aren't links; the others are compared set by set. So no bucket,
+however large, is expanded into all pairs of a group, and no link between components is lost.
 
 Links. All links lie inside components. For the links themselves, or their number by document, classes of a component are dealt
 over chunks of bounded size, and every two chunks meet in one group of rows, where each plausible pair is compared once.
@@ -50,8 +52,14 @@ SKETCH_WORDS, LEAST_WORDS = 2, 16
 COUNTED, REPORTED = 4_000_000, 20_000
 #: Of the reports of all tasks so many, the most frequent, make the order of words.
 FREQUENT = 200_000
-#: Bits of the filter by which texts are looked up: false hits cost time only.
-LOOKUP_BITS = 1 << 20
+#: Bits of the filter by which texts are looked up: so many for each text, at least and at most. False hits cost time only.
+LOOKUP_RATE, LEAST_LOOKUP_BITS, MOST_LOOKUP_BITS = 16, 1 << 20, 1 << 28
+#: Bits that bitmap_construct_agg keeps together.
+BITMAP_BITS = 1 << 15
+#: Bits of the longer sketch for each element, at least.
+LONG_RATE = 3
+#: Members of a bucket that are compared at once, on average at most.
+BUCKET_CHUNK = 512
 
 #: Classes, and shingles, that a chunk of a component holds on average at most.
 CHUNK, CHUNK_SHINGLES = 256, 1_000_000
@@ -77,6 +85,23 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def long_bits(size: int) -> int:
+    """Bits of the longer sketch of a set: a power of two."""
+    return max(64, 1 << (LONG_RATE * size - 1).bit_length())
+
+
+def _long_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Each shingle turns one bit. Halves XORed are the sketch of half the bits."""
+    bits = long_bits(len(shingles))
+    places = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _halved(sketches: np.ndarray) -> np.ndarray:
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
 def most_different(a: int, b: int) -> int:
     """The largest symmetric difference of two linked sets of these sizes."""
     return (a + b) // 7
@@ -224,17 +249,22 @@ def _buckets(docs: DataFrame, text: Column, frequencies: Frequencies) -> DataFra
 
 
 def _rows_at(rows: DataFrame, hashes: DataFrame, inside: bool) -> DataFrame:
-    """Rows whose text_hash may be (inside), or is surely not, among the hashes; which rows may be there, a filter of LOOKUP_BITS bits tells. More hashes make it pass more rows and grow no larger."""
-    cells = hashes.select(F.pmod("text_hash", F.lit(LOOKUP_BITS)).cast("int").alias("cell")).distinct().toArrow().column("cell").to_numpy()
-    bits = np.zeros(LOOKUP_BITS, bool)
-    bits[cells] = True
-    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits if inside else ~bits))
+    """Rows whose text_hash may be (inside), or is surely not, among the hashes; which rows may be there, a filter tells whose size follows the number of hashes. Beyond MOST_LOOKUP_BITS it passes more rows and grows no larger."""
+    wanted = LOOKUP_RATE * hashes.count()
+    size = min(max(1 << max(0, wanted - 1).bit_length(), LEAST_LOOKUP_BITS), MOST_LOOKUP_BITS)
+    cell = F.pmod("text_hash", F.lit(size))
+    maps = hashes.groupBy(F.floor(cell / BITMAP_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg(cell % BITMAP_BITS).alias("bits")).toArrow()
+    packed = np.zeros((size // BITMAP_BITS, BITMAP_BITS // 8), np.uint8)
+    for part, bits in zip(maps.column("part").to_pylist(), maps.column("bits").to_pylist(), strict=True):
+        packed[part] = np.frombuffer(bits, np.uint8)
+    packed = packed.reshape(-1)
+    held = rows.sparkSession.sparkContext.broadcast(packed if inside else ~packed)
     at = rows.columns.index("text_hash")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing = np.unpackbits(held.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(passing[batch.column(at).to_numpy() % LOOKUP_BITS]))
+            cells = batch.column(at).to_numpy() % size
+            yield batch.filter(pa.array((held.value[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 != 0))
 
     return rows.mapInArrow(find, rows.schema)
 
@@ -253,8 +283,49 @@ def _plausible(x: str, y: str) -> Column:
     return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (7 * distance <= a + b)
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _sketches(texts: DataFrame) -> DataFrame:
+    """class, n and the longer sketch of each text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, bits = [], []
+            for shingles in _sets(batch.column("text")):
+                n.append(len(shingles))
+                bits.append(_long_sketch(shingles).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], ["class", "n", "bits"])
+
+    return stored(texts.mapInArrow(work, "class long, n long, bits binary"), "sketches")
+
+
+def _near(a: int, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which sets of sizes b and sketches y, all of the same bits, may be linked with the set of size a and sketch x."""
+    while x.shape[-1] > y.shape[-1]:
+        x = _halved(x)
+    while y.shape[-1] > x.shape[-1]:
+        y = _halved(y)
+    distance = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return (4 * np.minimum(a, b) >= 3 * np.maximum(a, b)) & (7 * distance <= a + b)
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those pairs x, y that the longer sketches allow."""
+    end = lambda c: sketches.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    both = pairs.join(end("x"), "x").join(end("y"), "y").select("x", "y", "n_x", "n_y", "bits_x", "bits_y")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column("n_x").to_pylist(), batch.column("n_y").to_pylist(), strict=True)
+            bits = zip(batch.column("bits_x"), batch.column("bits_y"), strict=True)
+            read = lambda value: np.frombuffer(value.as_buffer(), np.uint64)
+            keep = [bool(_near(a, read(x), np.array([b]), read(y)[None])[0]) for (a, b), (x, y) in zip(sizes, bits, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(work, "x long, y long")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """Those pairs x, y whose sets are similar."""
+    pairs = _likely(pairs, sketches)
     both = pairs.join(texts.select(F.col("class").alias("x"), F.col("text").alias("text_x")), "x")
     both = both.join(texts.select(F.col("class").alias("y"), F.col("text").alias("text_y")), "y")
 
@@ -284,28 +355,93 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     texts = stored(_candidate_texts(docs, text, wanted), "texts")
     known = classes.select("class", "n", *_SKETCHES)
 
+    sketches = _sketches(texts)
+
     # Every member with the first one of its buckets: that connects most groups.
     stars = buckets.select(F.col("first").alias("x"), F.col("class").alias("y")).distinct()
     stars = stars.join(known.alias("a"), F.col("x") == F.col("a.class")).join(known.alias("b"), F.col("y") == F.col("b.class"))
-    links = stored(_linked(stars.where(_plausible("a", "b")).select("x", "y"), texts), "links")
+    links = stored(_linked(stars.where(_plausible("a", "b")).select("x", "y"), texts, sketches), "links")
     labels = connected(links)
     # What is left: members of one bucket, other than its first, in different components. First they are compared with one
     # drawn from them, which gathers what hangs together, then all that are still apart with each other.
     members = _open_members(buckets.select("key", "class"), known, labels)
     drawn = members.groupBy(F.col("key").alias("of")).agg(F.min_by("class", F.xxhash64("class")).alias("chosen"))
     chosen = members.join(drawn, (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
-    more = stored(_linked(_met(chosen, members, F.lit(True)), texts), "links")
+    more = stored(_linked(_met(chosen, members), texts, sketches), "links")
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
         members = _open_members(members.select("key", "class"), known, labels)
-    more = stored(_linked(_met(members, members, F.col("a.class") < F.col("b.class")), texts), "links")
+    members = _outermost(members.select("key", "class", "component"))
+    more = stored(_linked(_apart(members.join(sketches, "class")).distinct(), texts, sketches), "links")
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
     return texts, labels
 
 
+def _outermost(members: DataFrame) -> DataFrame:
+    """members: key, class and others. One of all buckets with the same members, and no bucket whose members all have one and the same larger bucket: the ones that stay hold all pairs."""
+    names = F.bit_xor(F.xxhash64("class")), F.bit_xor(F.xxhash64("class", F.lit(1)))
+    sizes = stored(members.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("size"), *(name.alias(f"name{i}") for i, name in enumerate(names))), "sizes")
+    firsts = sizes.groupBy("size", "name0", "name1").agg(F.min("of").alias("of")).select("of", "size")
+    sized = stored(members.join(firsts, F.col("key") == F.col("of")).drop("of"), "sized")
+    largest = sized.groupBy(F.col("class").alias("named")).agg(F.max(F.struct("size", "key"))["key"].alias("largest"))
+    spans = F.min("largest").alias("low"), F.max("largest").alias("high")
+    holders = sized.join(largest, F.col("class") == F.col("named")).groupBy(F.col("key").alias("of")).agg(*spans)
+    outer = holders.where((F.col("low") != F.col("high")) | (F.col("low") == F.col("of"))).select("of")
+    return stored(sized.join(outer, F.col("key") == F.col("of")).drop("of"), "outermost")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """members: key, class, component, size (of the bucket), n, bits. Likely pairs x < y of a bucket in different components, compared chunk by chunk; a pair comes once for each bucket."""
+    chunks = F.ceil(F.col("size") / BUCKET_CHUNK)
+    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    group = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    dealt = dealt.select("key", *group, "chunk", "class", "component", "n", "bits").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def pairs_of(group: tuple, rows: list[tuple]) -> Iterator[np.ndarray]:
+        chunk, classes, components, n = (np.array([row[i] for row in rows], np.int64) for i in range(4))
+        words = np.array([len(row[4]) // 8 for row in rows])
+        _, low, high = group
+        by_words = {w: np.flatnonzero(words == w) for w in np.unique(words).tolist()}
+        sketches = {w: np.frombuffer(b"".join(rows[i][4] for i in at), np.uint64).reshape(len(at), w) for w, at in by_words.items()}
+        for at in np.flatnonzero(chunk == low).tolist():
+            own = np.frombuffer(rows[at][4], np.uint64)
+            for w, others in by_words.items():
+                if max(w, words[at]) > 2 * min(w, words[at]):
+                    continue  # sizes that far apart aren't similar
+                there = (chunk[others] == high) & (components[others] != components[at])
+                if low == high:
+                    there &= others > at
+                found = np.flatnonzero(there)
+                found = others[found[_near(int(n[at]), own, n[others[found]], sketches[w][found])]]
+                if len(found):
+                    yield np.stack([np.minimum(classes[at], classes[found]), np.maximum(classes[at], classes[found])])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in _grouped(batches, ("key", "low", "high"), ("chunk", "class", "component", "n", "bits")):
+            for x, y in pairs_of(group, rows) if len(rows) > 1 else ():
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+    return dealt.mapInArrow(work, "x long, y long")
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows that follow one another with equal keys."""
+    group, rows = None, []
+    for batch in batches:
+        names = zip(*(batch.column(c).to_pylist() for c in keys), strict=True)
+        for key, row in zip(names, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if key != group:
+                if rows:
+                    yield group, rows
+                group, rows = key, []
+            rows.append(row)
+    if rows:
+        yield group, rows
+
+
 def _open_members(members: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
     """Of members key, class those in buckets that span several components, with component and what is known of the class."""
     members = _with_component(members, "class", labels, "component")
@@ -314,10 +450,10 @@ def _open_members(members: DataFrame, known: DataFrame, labels: DataFrame) -> Da
     return stored(members.join(several, "key").join(known, "class"), "members")
 
 
-def _met(some: DataFrame, members: DataFrame, condition: Column) -> DataFrame:
-    """Plausible pairs x < y of two members of a bucket in different components, each pair once."""
+def _met(some: DataFrame, members: DataFrame) -> DataFrame:
+    """Plausible pairs x < y of two members of a bucket in different components, the one among some, each pair once."""
     a, b = some.alias("a"), members.alias("b")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & condition & _plausible("a", "b"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & _plausible("a", "b"))
     pair = F.least("a.class", "b.class").alias("x"), F.greatest("a.class", "b.class").alias("y")
     return met.select(*pair).distinct()
 

@@ -157,3 +157,40 @@ def test_connected(spark):
     expected = {1: 1, 2: 1, 3: 1, 10: 10, 11: 10} | {100 + i: 100 for i in range(41)} | {200 + i: 200 for i in range(51)}
     assert got == expected
     assert connected(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_contained_buckets_are_left_out(spark):
+    """Pairs of members that share a bucket still share one."""
+    rng = np.random.default_rng(5)
+    rows = [(key, int(c), int(c) % 50) for key in range(60) for c in (rng.choice(40, rng.integers(2, 12), replace=False) if key % 3 else range(key % 7, key % 7 + 9))]
+    members = spark.createDataFrame(rows, "key long, class long, component long")
+    pairs = lambda rows: {(a, b) for k, a in rows for l, b in rows if k == l and a < b}
+    kept = [(r.key, r["class"]) for r in jaccard_join._outermost(members).collect()]
+    assert pairs(kept) == pairs([(k, c) for k, c, _ in rows]) and len(kept) < len(rows)
+
+
+def test_long_sketches_never_lose_a_link():
+    """Sets of every size: folded to equal length, the sketches' distance is at most the difference."""
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 3, 21, 22, 85, 86, 700, 5000):
+        for _ in range(20):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = np.concatenate([a[: size - size // 8], rng.integers(0, 1 << 63, rng.integers(0, size // 8 + 1), dtype=np.uint64)])
+            common, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+            near = jaccard_join._near(len(a), jaccard_join._long_sketch(a), np.array([len(b)]), jaccard_join._long_sketch(b)[None])
+            assert near[0] or 100 * common < 75 * either
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_open_buckets_are_compared_in_chunks(spark, monkeypatch, chunk):
+    """Of one bucket with many members all likely pairs of different components come out, and nothing else does."""
+    monkeypatch.setattr(jaccard_join, "BUCKET_CHUNK", chunk)
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: 200 - 6 * (i % 9)], rng.integers(0, 1 << 63, 6 * (i % 9), dtype=np.uint64)])) for i in range(30)]
+    sketches = [jaccard_join._long_sketch(x) for x in sets]
+    rows = [(1, i, i // 2, 30, len(x), s.tobytes()) for i, (x, s) in enumerate(zip(sets, sketches))]
+    members = spark.createDataFrame([(*r[:5], bytearray(r[5])) for r in rows], "key long, class long, component long, size long, n long, bits binary")
+    got = {(r.x, r.y) for r in jaccard_join._apart(members).collect()}
+    want = {(i, j) for i in range(30) for j in range(i + 1, 30) if i // 2 != j // 2 and jaccard_join._near(len(sets[i]), sketches[i], np.array([len(sets[j])]), sketches[j][None])[0]}
+    assert got == want and 0 < len(want) < 400
