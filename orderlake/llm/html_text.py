@@ -1,14 +1,17 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped; every block of the page becomes a line. Navigation, adverts, forms, comments and the like leave WINDOW
-empty lines in their place, and so does what lies outside the article where a page marks one; lines that are mostly links
-count as empty. The lengths of lines are summed over sliding windows. Text surges where a sum rises from zero to the
+empty lines in their place; where a page marks its article, what lies outside counts as empty, and lines that are mostly links
+count as empty elsewhere. The lengths of lines are summed over sliding windows. Text surges where a sum rises from zero to the
 threshold and dives where it falls back to zero; all lines from the first surge to the last dive are kept, however short and
 however much of them is links. Text of a container that holds such lines belongs to them, whatever was emptied in between.
 
 A class, id or role that names another part of a page does not drop an article or what holds one; only comments, adverts and
 the like, whose entries may be marked as articles, go where the page has an article besides.
 
+White space in a block, no-break and other Unicode spaces included, becomes one space. A page is read in time that grows with
+its length, however broken it is.
+
 Nulls, ties, repeated rows: null or empty html has no text; a page without main text gives the empty string; repeated rows
 are pages of their own. Broken markup (no closing tags, a cut tag at the end, bare < and &) is read as browsers do, nearly.
 Empty tables give empty results. Other columns may have any name and type.
@@ -17,6 +20,7 @@ Empty tables give empty results. Other columns may have any name and type.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -137,28 +141,43 @@ class _Lines:
         return container if self.holds_blocks[container] else self.outer[container]
 
 
+class _Entry:
+    """An open element that is dropped as an ENTRY, and the one around it."""
+
+    def __init__(self, at: int, outer: _Entry | None):
+        self.at, self.outer = at, outer
+
+
 class _Articles:
     """Articles of a page, and which elements must not be dropped by their names since they are or hold one."""
 
     def __init__(self):
         self.spared: set[int] = set()
         self.plain = 0  # articles that lie in no ENTRY
-        self.others: list[tuple[list[int], int]] = []  # by article in an ENTRY: such elements, and the plain ones around it
+        self.others: list[tuple[_Entry, int]] = []  # by article in an ENTRY: the innermost one, and the plain articles around it
 
-    def add(self, reasons: list[tuple[int, int]], around: list[str]) -> bool:
-        """An article inside elements (and itself) that may be dropped for reasons, and plain articles around it. Whether it is plain."""
-        if any(why == ALWAYS for _, why in reasons):
+    def add(self, always: bool, named: list[int], entry: _Entry | None, around: Counter[str]) -> bool:
+        """An article inside elements (and itself) that are dropped always, by these names, or as entries, and plain articles around it, by tag. Whether it is plain."""
+        if always:
             return False
-        self.spared.update(at for at, why in reasons if why == NAMED)
-        entries = [at for at, why in reasons if why == ENTRY]
-        if not entries:
+        for at in reversed(named):
+            if at in self.spared:
+                break  # so are those around it
+            self.spared.add(at)
+        if not entry:
             self.plain += 1
-        elif "article" not in around:
-            self.others.append((entries, len(around)))
-        return not entries
+        elif not around["article"]:
+            self.others.append((entry, around.total()))
+        return not entry
 
     def all_spared(self) -> set[int]:
-        return self.spared.union(*(entries for entries, around in self.others if self.plain == around))
+        spared = set(self.spared)
+        seen: set[int] = set()
+        for entry, around in self.others:
+            while entry and self.plain == around and entry.at not in seen:
+                seen.add(entry.at)
+                entry = entry.outer
+        return spared | seen
 
 
 def page_lines(html: str) -> _Lines:
@@ -170,20 +189,29 @@ def page_lines(html: str) -> _Lines:
 def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
     """The page's lines, where the elements at these places are not dropped by their names."""
     out, marked = _Lines(), _Articles()
-    # Open elements, whether each may be dropped, whether it is, and whether it is a plain article.
-    stack: list[tuple[str, bool, bool, bool]] = []
-    reasons: list[tuple[int, int]] = []  # of the open elements that may be dropped: their places, and why
-    around: list[str] = []  # plain articles that are open
+    # Open elements, why each may be dropped, whether it is, and whether it is a plain article.
+    stack: list[tuple[str, int, bool, bool]] = []
+    open_at: defaultdict[str, list[int]] = defaultdict(list)  # by tag, depths of its open elements
+    may_drop_at: list[int] = []
+    always, named, entry = 0, [], None  # open elements that may be dropped, by reason
+    around: Counter[str] = Counter()  # by tag, plain articles that are open
     dropped = links = articles = 0
     at, end = 0, len(html)
 
     def pop() -> None:
-        nonlocal dropped, links, articles
-        tag, may_drop, drops, plain = stack.pop()
-        if may_drop:
-            reasons.pop()
+        nonlocal dropped, links, articles, always, entry
+        tag, why, drops, plain = stack.pop()
+        open_at[tag].pop()
+        if why:
+            may_drop_at.pop()
+        if why == ALWAYS:
+            always -= 1
+        elif why == NAMED:
+            named.pop()
+        elif why == ENTRY:
+            entry = entry.outer
         if plain:
-            around.pop()
+            around[tag] -= 1
         if tag not in INLINE and not dropped:
             out.end(articles > 0)
         out.leave(tag)
@@ -197,6 +225,14 @@ def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
         if drops and not dropped:
             out.gap(articles > 0)
 
+    def end_open(tags: set[str], walls: set[str]) -> None:
+        """Ends the innermost open element of these, unless a wall or what may be dropped stands before it."""
+        innermost = lambda names: max((open_at[x][-1] for x in names if open_at[x]), default=-1)
+        depth = innermost(tags)
+        if depth >= 0 and depth >= max(innermost(walls), may_drop_at[-1] if may_drop_at else -1):
+            while len(stack) > depth:
+                pop()
+
     while at < end:
         found = _TOKEN.search(html, at)
         if (found.start() if found else end) > at and not dropped:
@@ -209,10 +245,10 @@ def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
             continue
         tag = tag.lower()
         if closing:
-            if tag == "p" and not any(x == "p" for x, *_ in stack):
+            if tag == "p" and not open_at["p"]:
                 if not dropped:
                     out.end(articles > 0)
-            elif any(x == tag for x, *_ in stack):
+            elif open_at[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -224,14 +260,14 @@ def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
         if tag in SPACED and not dropped:
             out.add(" ", links > 0)
         if tag == "body":
-            while any(x == "head" for x, *_ in stack):
+            while open_at["head"]:
                 pop()
         if tag in CLOSES_P or tag == "p":
-            _close(stack, {"p"}, {"td", "th", "li", "button", "article", "section", "div", "aside"}, pop)
+            end_open({"p"}, {"td", "th", "li", "button", "article", "section", "div", "aside"})
         elif tag in ENDED_BY_LIKE:
-            _close(stack, ENDED_BY_LIKE[tag], {"ul", "ol", "dl", "table", "select"}, pop)
+            end_open(ENDED_BY_LIKE[tag], {"ul", "ol", "dl", "table", "select"})
         if tag == "a":
-            _close(stack, {"a"}, {"td", "th", "li", "div", "p"}, pop)
+            end_open({"a"}, {"td", "th", "li", "div", "p"})
         why = ALWAYS if tag in DROPPED else 0 if tag in VOID else _dropped(tag, attributes)
         drops = why == ALWAYS or (why > 0 and found.start() not in spared)
         if tag in VOID:
@@ -249,26 +285,22 @@ def _read(html: str, spared: set[int]) -> tuple[_Lines, _Articles]:
         articles += tag in ARTICLE
         out.headings += tag == "h1"
         if why:
-            reasons.append((found.start(), why))
-        plain = tag in ARTICLE and marked.add(reasons, around)
+            may_drop_at.append(len(stack))
+        if why == ALWAYS:
+            always += 1
+        elif why == NAMED:
+            named.append(found.start())
+        elif why == ENTRY:
+            entry = _Entry(found.start(), entry)
+        plain = tag in ARTICLE and marked.add(always > 0, named, entry, around)
         if plain:
-            around.append(tag)
-        stack.append((tag, why > 0, drops, plain))
+            around[tag] += 1
+        open_at[tag].append(len(stack))
+        stack.append((tag, why, drops, plain))
     out.end(articles > 0)
     return out, marked
 
 
-def _close(stack: list[tuple[str, bool, bool, bool]], tags: set[str], walls: set[str], pop) -> None:
-    """Ends the innermost open element of these, unless a wall stands before it."""
-    for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth][0] in tags:
-            while len(stack) > depth:
-                pop()
-            return
-        if stack[depth][0] in walls or stack[depth][1]:
-            return
-
-
 def text_between(lengths: list[int], threshold: int, window: int = WINDOW) -> list[tuple[int, int]]:
     """Ranges of lines from each surge to its dive: windows that begin in a range sum to more than zero, and one of them to the threshold."""
     n = len(lengths)
@@ -295,7 +327,10 @@ def main_text(html: str | None) -> str:
     page = page_lines(html or "")
     lines = page.lines
     if any(text and inside for text, _, inside, *_ in lines):
-        return "\n".join(text for text, _, inside, *_ in lines if text and inside)
+        # Where a page marks its article, all else is empty, and what it holds surges whatever its length.
+        lengths = [len(text) if inside else 0 for text, _, inside, *_ in lines]
+        kept = [lines[i] for low, high in text_between(lengths, 1) for i in range(low, high) if lengths[i]]
+        return "\n".join(text for text, *_ in kept)
     lengths = [len(text) if linked <= LINK_SHARE * len(text) else 0 for text, linked, *_ in lines]
     # The page's heading makes text surge whatever its length.
     weighed = [n and n + THRESHOLD * heading for n, (_, _, _, heading, _) in zip(lengths, lines, strict=True)]
@@ -307,17 +342,20 @@ def main_text(html: str | None) -> str:
 
 
 def _with_containers(page: _Lines, lengths: list[int], ranges: list[tuple[int, int]]) -> slice:
-    """Lines from the first range to the last, or to the first and last text of the containers that hold the ranges' lines."""
+    """Lines from the first range to the last, or to the first and last text of the containers that hold the ranges' lines. Where several containers of one parent hold them, the parent's other ones count too."""
     found = [i for low, high in ranges for i in range(low, high) if lengths[i]]
     strong = [page.lines[i] for i in found]
     # The page's heading may stand outside what holds its text.
     holding = {page.held_by(line[4]) for line in strong if not line[3]} or {page.held_by(line[4]) for line in strong}
+    parents = Counter(page.outer[container] for container in holding if container)
+    spread = {parent for parent, children in parents.items() if children > 1}
     within = [False]  # of the page itself only what it holds directly
     for container in range(1, len(page.outer)):
         within.append(container in holding or within[page.outer[container]])
     low, high = found[0], found[-1] + 1
     for i, (*_, container) in enumerate(page.lines):
-        if lengths[i] and (within[container] or page.held_by(container) in holding):
+        held = page.held_by(container)
+        if lengths[i] and (within[container] or held in holding or (held and page.outer[held] in spread)):
             low, high = min(low, i), max(high, i + 1)
     return slice(low, high)
 

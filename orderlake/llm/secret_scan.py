@@ -5,6 +5,8 @@ candidate's hash (never its value) is counted over the whole corpus by distinct
 counts first. A candidate held by more than MOST_OWNERS owners, or MOST_REPOSITORIES repositories, is a widely copied example;
 one that few hold and that looks live is a secret of its owner. Live candidates add spans of kind "live"; base spans stay.
 
+Every pattern reads a text in time that grows with its length, whatever it holds.
+
 Nulls, ties, repeated rows: a null text counts as empty; null owners count as one owner, as do null repositories; null
 identifiers keep their spans by row. Repeated rows each give their spans and count once in the frequencies. Empty tables give
 empty results. Other columns may have any name.
@@ -15,9 +17,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,7 +39,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "live")
 # Forms of well-known keys.
-KNOWN = re.compile(r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+|[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@[^\s/]+)")
+KNOWN = re.compile(r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+)")
+# What follows :// in an address with a password.
+ADDRESS = re.compile(r"[^\s/:@]+:[^\s/:@]+@[^\s/]+")
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
 RANDOM = re.compile(rf"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}(?![A-Za-z0-9+/_=.@-])")
 
 
@@ -59,14 +65,30 @@ def looks_live(value: str) -> bool:
     return changes >= max(4, len(value) / 5) and any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and bits(value) >= LEAST_BITS
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Where addresses with a password start and end. From each :// the scheme is read backward, so that no run of letters is read twice."""
+    at = text.find("://")
+    while at >= 0:
+        start = at
+        while start and text[start - 1] in SCHEME:
+            start -= 1
+        while start < at and not text[start].isalpha():
+            start += 1
+        if start < at and (found := ADDRESS.match(text, at + 3)):
+            yield start, found.end()
+        at = text.find("://", at + 3)
+
+
 def more_candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Spans that no base span meets and that look live."""
     found = [(m.start(), 3, m.end(), m.group()) for m in KNOWN.finditer(text)]
+    found += [(low, 3, high, text[low:high]) for low, high in addresses(text)]
     found += [(m.start(), 3, m.end(), m.group()) for m in RANDOM.finditer(text) if looks_live(m.group())]
     out, end = [], -1
-    taken = [(low, high) for low, _, high, _ in base]
+    starts = [low for low, *_ in base]
+    reach = list(accumulate((high for _, _, high, _ in base), max, initial=0))  # by number of base spans, where the last of them ends
     for low, rank, high, value in sorted(found):
-        if low >= end and not any(a < high and low < b for a, b in taken):
+        if low >= end and reach[bisect_left(starts, high)] <= low:
             out.append((low, rank, high, value))
             end = high
     return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as references
 import re
+import time
 
 import pytest
 
@@ -139,3 +140,33 @@ def test_rows(spark):
     pages = spark.createDataFrame(data, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert sorted(map(tuple, extracted(pages).collect()), key=str) == [(1, "u", "", 0), (1, "u", "", 0), (None, None, "é日", 2)]
     assert extracted(pages.limit(0)).count() == 0
+
+
+def test_siblings_behind_a_dropped_part_stay():
+    page = f"<div><p>{'long ' * 30}</p></div><div><p>Ok.</p></div><div class=ad>Buy.</div><div><p>Bye.</p></div>"
+    assert main_text(page) == f"{('long ' * 30).strip()}\nOk.\nBye."
+
+
+def test_a_container_alone_does_not_draw_in_its_neighbours():
+    page = f"<div><p>{'long ' * 30}</p><p>Ok.</p></div><div class=ad>Buy.</div><div><p>Elsewhere.</p></div>"
+    assert main_text(page) == f"{('long ' * 30).strip()}\nOk."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 20_000 + "</i>" * 20_000,
+        "<p><button>" + "<b>" * 20_000 + "<p>x" * 20_000,
+        "<ul>" + "<li><b>" * 20_000,
+        "<div class=ad>" * 20_000 + "<article>x" * 20_000,
+        "<main>" * 10_000 + "<div class=ad>" + "<article>x</article>" * 20_000,
+        "<div class=share>" * 20_000 + "<article>x" * 20_000,
+        "<div>" * 20_000 + "text " * 200_000,
+        '<a "' * 20_000,
+    ],
+    ids=["unclosed", "paragraphs", "items", "adverts", "articles", "names", "deep", "quotes"],
+)
+def test_long_broken_pages_take_little_time(page):
+    began = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - began < 5

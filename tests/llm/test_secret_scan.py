@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from orderlake.llm import secret_scan
 from orderlake.llm.queries import op3_secret_scan
 from orderlake.llm.secret_scan import MOST_OWNERS, base_spans, bits, digest, looks_live, more_candidates, secrets
 from tests.llm.corpus import clashing, empty
@@ -93,3 +96,30 @@ def test_query(spark):
     assert len(rows) == len(texts)
     for row in rows:
         assert row.base_sha256 == hashlib.sha256(plain_base(texts[row.doc_id]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("text", "base", "live"),
+    [
+        ("abcdefgh" * 125_000, 0, 0),
+        ("0123456789abcdef" * 62_500, 1, 0),
+        (" ".join(f"password=abc{i}def" for i in range(20_000)), 20_000, 0),
+        ("eyJ" * 330_000, 0, 0),
+        ("a://" * 250_000, 0, 0),
+        ("a.b+c-" * 160_000 + "://x:y@z", 0, 1),
+        ("password" + " " * 1_000_000, 0, 0),
+    ],
+    ids=["letters", "hex", "secrets", "tokens", "schemes", "long scheme", "spaces"],
+)
+def test_long_texts_take_little_time(text, base, live):
+    began = time.perf_counter()
+    found = secret_scan.base_spans(text)
+    more = secret_scan.more_candidates(text, found)
+    assert time.perf_counter() - began < 5
+    assert (len(found), len(more)) == (base, live)
+
+
+def test_addresses():
+    """From the first letter of the scheme to the end of the host."""
+    text = "see 9pg+x://me:pw@db.host/x, ://a:b@c and http://a/b:c@d"
+    assert [text[a:b] for a, b in secret_scan.addresses(text)] == ["pg+x://me:pw@db.host"]
