@@ -2,7 +2,8 @@
 
 Labels say which documents are toxic, not which sentences. A sentence's score grows with the weights of its words and of
 their stems; a document is toxic if any sentence is: scores combine by noisy-or. Words that toxic documents of a bounded
-sample of labelled rows hold significantly more often get weights, fitted to the documents' labels by gradient; a sentence
+sample of labelled rows hold significantly more often (documents by word are counted in Spark) get weights, fitted to the
+documents' labels by gradient on the driver, which sees only the places of these words; a sentence
 that scores next to nothing counts as nothing, so that long clean documents stay clean. Scoring gives each document its
 score, and each sentence its own, which locates the offending ones.
 
@@ -18,13 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm.scratch import stored
 from orderlake.llm.words import byte_set, hashed_words
 
 #: Labelled documents that the fit reads at most, of each label.
 SAMPLE_DOCS = 2500
+#: Bytes of their texts, of each label, at most; of those with the smallest hashes the ones that fit come first.
+SAMPLE_BYTES = 32 << 20
 FEATURES = 1 << 18
 #: A document is toxic from this score on.
 TOXIC = 0.3
@@ -94,80 +98,96 @@ def document_scores(weights: np.ndarray, found: Sentences, documents: int) -> np
     return 1 - np.exp(-np.bincount(found.document, sentence_hazards(weights, found), documents))
 
 
-def telling(found: Sentences, labels: np.ndarray) -> np.ndarray:
-    """Words that toxic documents hold significantly more often. found: by document, in order."""
-    n, toxic = len(labels), int(labels.sum())
-    cuts = np.searchsorted(found.sentence, np.searchsorted(found.document, np.arange(n + 1)))
-    docs, hits = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
-    for low, high, label in zip(cuts[:-1], cuts[1:], labels, strict=True):
-        own = np.unique(found.word[low:high])
-        docs[own] += 1
-        hits[own] += label
-    share = docs / n
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / toxic + 1 / (n - toxic)))
-    return np.flatnonzero((docs >= LEAST_DOCS) & (hits / toxic - (docs - hits) / (n - toxic) >= LEAST_ERRORS * error))
+def telling(docs: np.ndarray, hits: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Words that toxic documents hold significantly more often. docs, hits: by word, documents and toxic ones that hold it."""
+    if not toxic or not clean:
+        return np.zeros(0, np.int64)
+    share = docs / (toxic + clean)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / toxic + 1 / clean))
+    return np.flatnonzero((docs >= LEAST_DOCS) & (hits / toxic - (docs - hits) / clean >= LEAST_ERRORS * error))
 
 
-def fit(found: Sentences, labels: np.ndarray) -> np.ndarray:
-    """Weights of words. labels: by document, 0 or 1."""
+def fit(found: Sentences, labels: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Weights of words. found: places of the words named, numbered among all sentences that hold one; labels: by document, 0 or 1."""
     weights = np.zeros(FEATURES)
-    if not len(found.word) or labels.min(initial=1) == labels.max(initial=0):
+    if not len(names) or not len(found.word):
         return weights
-    if (np.diff(found.sentence) < 0).any():
-        order = np.argsort(found.sentence, kind="stable")
-        found = Sentences(found.word[order], found.sentence[order], found.document)
-    names = telling(found, labels)
-    place = np.full(FEATURES, -1, np.int32)
-    place[names] = np.arange(len(names))
-    use = (place >= 0)[found.word]
-    word, (told, sentence) = place[found.word[use]], np.unique(found.sentence[use], return_inverse=True)
-    document = found.document[told]
+    word = np.searchsorted(names, found.word)
+    document = found.document
     w, mean, square = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names))
     positive, leak = labels > 0, _softplus(np.float64(BIAS))
     for step in range(1, ROUNDS + 1):
-        z = BIAS + np.bincount(sentence, w[word], len(told))
+        z = BIAS + np.bincount(found.sentence, w[word], len(document))
         total = np.bincount(document, np.maximum(0, _softplus(z) - leak), len(labels)) + 1e-3
         pull = np.where(positive, -1 / np.expm1(np.minimum(total, 50)), 1.0) / len(labels)
         slope = pull[document] / (1 + np.exp(-z))
-        gradient = np.bincount(word, slope[sentence], len(names)) + L2 / len(labels) * w
+        gradient = np.bincount(word, slope[found.sentence], len(names)) + L2 / len(labels) * w
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         w -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
     weights[names] = w
     return weights
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_DOCS) -> DataFrame:
-    """doc_id, text, toxic of at most 2 * most documents, none held out: of each label those with the smallest hashes."""
+def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """doc_id, text, toxic of at most `most` documents and `most_bytes` bytes of each label, none held out: those with the smallest hashes."""
     named = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")).where("labelled is not null and toxic is not null")
     named = named.where(~held_out(F.col("labelled"))).groupBy("labelled").agg(F.max("toxic").alias("toxic"))
     order = ["h", "labelled"]
     named = named.withColumn("h", F.xxhash64("labelled"))
     chosen = named.where("toxic > 0").orderBy(*order).limit(most).union(named.where("toxic <= 0").orderBy(*order).limit(most))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
+    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).dropDuplicates(["doc_id"])
+    sofar = Window.partitionBy(F.col("toxic") > 0).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    read = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(sofar)
+    return found.withColumn("read", read).where(F.col("read") <= most_bytes).select("doc_id", "text", "toxic")
 
 
 def trained(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_DOCS) -> np.ndarray:
-    """Weights fitted to a bounded sample; the driver gets the words' numbers, not the texts."""
+    """Weights fitted to a bounded sample. The driver gets numbers of documents by word, FEATURES at most, and the places of telling words."""
+    rows = stored(training_rows(docs, labels, doc_id, text, most), "sample")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, hits = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy() > 0
+            for first, last, found in sentences(batch.column("text")):
+                pairs = np.unique(found.document[found.sentence].astype(np.int64) * FEATURES + found.word)
+                document, word = np.divmod(pairs, FEATURES)
+                np.add.at(docs, word, 1)
+                np.add.at(hits, word, toxic[first:last][document])
+        word = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int32()), pa.array(docs[word]), pa.array(hits[word])], ["word", "docs", "hits"])
+
+    summed = rows.mapInArrow(count, "word int, docs long, hits long").groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits"))
+    counts = summed.where(F.col("docs") >= LEAST_DOCS).toArrow()
+    kinds = {r.toxic: r.n for r in rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    by_word = [np.zeros(FEATURES, np.int64) for _ in range(2)]
+    for all_words, column in zip(by_word, ("docs", "hits"), strict=True):
+        all_words[counts.column("word").to_numpy()] = counts.column(column).to_numpy()
+    names = telling(*by_word, kinds.get(True, 0), kinds.get(False, 0))
+    is_telling = np.zeros(FEATURES, bool)
+    is_telling[names] = True
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, found in sentences(batch.column("text")):
-                order = np.argsort(found.sentence, kind="stable")
-                found = Sentences(found.word[order], found.sentence[order], found.document)
-                cuts = np.searchsorted(found.sentence, np.arange(len(found.document) + 1))
-                by_doc = np.searchsorted(found.document, np.arange(last - first + 1))
-                words = [found.word[cuts[a] : cuts[b]] for a, b in zip(by_doc[:-1], by_doc[1:], strict=True)]
-                sizes = [np.diff(cuts[a : b + 1]) for a, b in zip(by_doc[:-1], by_doc[1:], strict=True)]
-                arrays = [pa.array(words, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32())), batch.column("toxic").slice(first, last - first)]
+                use = is_telling[found.word]
+                told, sentence = np.unique(found.sentence[use], return_inverse=True)
+                of = found.document[told]
+                order = np.argsort(sentence, kind="stable")
+                word, sizes = found.word[use][order], np.bincount(sentence, minlength=len(told))
+                cuts = np.searchsorted(of, np.arange(last - first + 1))
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                words = [word[ends[a] : ends[b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                arrays = [pa.array(words, pa.list_(pa.int32())), pa.array([sizes[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.list_(pa.int32())), batch.column("toxic").slice(first, last - first)]
                 yield pa.RecordBatch.from_arrays(arrays, ["words", "sizes", "toxic"])
 
-    rows = training_rows(docs, labels, doc_id, text, most).mapInArrow(read, "words array<int>, sizes array<int>, toxic int").toArrow()
-    column = lambda name: rows.column(name).combine_chunks()
+    places = rows.mapInArrow(read, "words array<int>, sizes array<int>, toxic int").toArrow()
+    column = lambda name: places.column(name).combine_chunks()
     word, size, toxic = column("words").flatten().to_numpy(), column("sizes").flatten().to_numpy(), column("toxic").to_numpy()
-    counts = np.diff(column("sizes").offsets.to_numpy()) if rows.num_rows else np.zeros(0, np.int64)
+    per_document = np.diff(column("sizes").offsets.to_numpy()) if places.num_rows else np.zeros(0, np.int64)
     numbers = lambda counts: np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    return fit(Sentences(word, numbers(size), numbers(counts)), toxic)
+    return fit(Sentences(word, numbers(size), numbers(per_document)), toxic, names)
 
 
 def scored(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from orderlake.llm.queries import op10_toxicity
-from orderlake.llm.toxicity import FEATURES, TOXIC, document_scores, held_out, offending, scored, sentences, trained, training_rows, without_toxic
+from orderlake.llm.toxicity import BIAS, FEATURES, LEAST_DOCS, LEAST_ERRORS, LEAST_SCORE, TOXIC, document_scores, held_out, offending, scored, sentences, telling, trained, training_rows, without_toxic
 from tests.llm.corpus import clashing, documents, empty, prose
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -42,6 +45,53 @@ def test_documents_and_their_sentences(spark):
     assert sorted(r.doc_id for r in without_toxic(docs, labels).collect()) == [i for i in range(400) if i not in bad]
 
 
+def plain_score(weights, text):
+    """Noisy-or over sentences, word by word."""
+    hash_of = {}
+    for _, _, found in sentences(pa.array(sorted(set(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)))) if text else pa.array([], pa.string())):
+        for n, word in enumerate(sorted(set(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)))):
+            hash_of[word] = [int(x) for x, s in zip(found.word, found.sentence) if found.document[s] == n]
+    clean = 1.0
+    for sentence in re.split(r"[.!?\n]", text):
+        evidence = sum(weights[x] for word in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", sentence) for x in hash_of[word])
+        hazard = math.log1p(math.exp(BIAS + evidence)) - math.log1p(math.exp(BIAS))
+        if hazard >= LEAST_SCORE:
+            clean *= math.exp(-hazard)
+    return 1 - clean
+
+
+def test_scores_are_a_plain_noisy_or(spark):
+    """Each score of given documents, by the model learnt from them, computed again sentence by sentence."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    weights = trained(docs, labels).astype(np.float32).astype(float)
+    rng = np.random.default_rng(4)
+    for w in (weights, rng.normal(0, 1.5, FEATURES).astype(np.float32).astype(float)):
+        got = {r.doc_id: r.score for r in scored(docs, w).collect()}
+        for r in docs.where("length(text) < 3000").collect():
+            assert got[r.doc_id] == pytest.approx(plain_score(w, r.text or ""), abs=1e-6)
+
+
+def test_telling_words():
+    """By the plain formula: the difference of shares in standard errors."""
+    rng = np.random.default_rng(1)
+    hits, others = rng.integers(0, 20, 200), rng.integers(0, 60, 200)
+    names = set(telling(hits + others, hits, 20, 60).tolist())
+    for word in range(200):
+        share = (hits[word] + others[word]) / 80
+        error = math.sqrt(max(share * (1 - share), 1e-12) * (1 / 20 + 1 / 60))
+        assert (word in names) == (hits[word] + others[word] >= LEAST_DOCS and hits[word] / 20 - others[word] / 60 >= LEAST_ERRORS * error)
+    assert not len(telling(hits, hits, 20, 0))
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    docs, labels, _ = made(spark)
+    whole = training_rows(docs, labels)
+    some = training_rows(docs, labels, most_bytes=2000)
+    sums = {r.toxic: r.n for r in some.groupBy("toxic").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    assert sums and max(sums.values()) <= 2000 and some.count() < whole.count()
+
+
 def test_long_clean_documents_stay_clean(spark):
     docs, labels, _ = made(spark)
     weights = trained(docs, labels)
