@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderlake.llm.packing import vocabulary_files
@@ -63,7 +64,6 @@ def test_several_changes_and_odd_ones(spark, tmp_path):
 def distinct_documents(data):
     """By name, the words, and the tokens of a document; of rows that repeat a name, the one that counts."""
     tokenizer = Tokenizer.from_file(vocabulary_files()[0])
-    tokenizer.encode_special_tokens = True
     out = {}
     for doc_id, text, lang, source, _ in data:
         name = doc_id if doc_id is not None else text or ""
@@ -86,3 +86,30 @@ def test_query(spark):
     data = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()
     got = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in op5_token_rollup(spark, folder).collect()}
     assert got == summed(distinct_documents(data))
+
+
+def test_a_commit_reads_and_writes_only_the_buckets_it_changes(spark, tmp_path):
+    rollup = TokenRollup(spark, str(tmp_path))
+    rollup.commit(1, spark.createDataFrame([(str(i), "insert", "a", "en", "v1", 1) for i in range(500)], CHANGE))
+    rollup.commit(2, spark.createDataFrame([("7", "revise", "b", "en", "v1", 3), (None, "insert", "b", "en", "v1", 1)], CHANGE))
+    folders = lambda batch: sorted(p.name for p in (tmp_path / "state" / f"batch={batch}").glob("bucket=*"))
+    assert len(folders(1)) == 64 and len(folders(2)) <= 2
+    buckets = [int(x.removeprefix("bucket=")) for x in folders(2)]
+    known = rollup._known(3, buckets)
+    files = known.select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("/state/batch=2/" in r.f for r in files)
+    assert "PartitionFilters: [" in known._jdf.queryExecution().executedPlan().toString()
+    assert rollup._known(3, buckets).where("key = '7'").first().tokens == 3
+    assert totals(rollup) == {("a", "en", "v1"): (499, 499), ("b", "en", "v1"): (2, 4)}
+
+
+def test_a_batch_that_failed_half_way_is_replaced(spark, tmp_path):
+    """Its state is written but its index isn't: later batches don't see it until it is committed again."""
+    rollup = TokenRollup(spark, str(tmp_path))
+    rollup.commit(1, spark.createDataFrame([("x", "insert", "a", "en", "v1", 1)], CHANGE))
+    change = spark.createDataFrame([("x", "revise", "a", "en", "v1", 5)], CHANGE)
+    rollup.commit(2, change)
+    spark.createDataFrame([], "bucket int").write.mode("overwrite").parquet(f"{tmp_path}/index/batch=2")
+    rollup.commit(2, change)
+    rollup.commit(3, spark.createDataFrame([("x", "revise", "a", "en", "v1", 7)], CHANGE))
+    assert totals(rollup) == {("a", "en", "v1"): (1, 7)}
