@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm.scratch import stored
+
 #: Weights of sources in order of code points, repeating.
 WEIGHTS = (3, 1, 2)
 #: Size of the mix as a share of all documents.
@@ -21,8 +23,6 @@ SHARE = 1.5
 #: No target exceeds so many times its source.
 MOST = 2
 SEED = "mix-1"
-#: Up to so many sources, of 50 bytes or so each, their table may be broadcast.
-BROADCAST_SOURCES = 20_000
 
 
 def size_of(text: Column) -> Column:
@@ -66,8 +66,9 @@ def repetitions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     drawn = draw(F.col(doc_id), F.col(text)).alias("drawn")
     sized = docs.select(whole, F.col(doc_id).alias("doc_id"), F.col(source).alias("of"), size_of(F.col(text)).alias("size"), drawn)
     targets = source_targets(docs.select(F.col(source).alias("source"), size_of(F.col(text)).alias("size")))
-    few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    joined = sized.join(F.broadcast(targets) if few else targets, F.col("of").eqNullSafe(F.col("source")))
+    # Written, so that Spark knows how large the table of sources is before it chooses a join; one too large to broadcast is
+    # joined by sorting, where adaptive execution splits a hot source.
+    joined = sized.join(stored(targets, "targets"), F.col("of").eqNullSafe(F.col("source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + (F.col("drawn") < rate - F.floor(rate)).cast("long")
     return joined.select("row", "doc_id", "size", "source_size", "target", copies.alias("copies"))

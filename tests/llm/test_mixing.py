@@ -73,12 +73,17 @@ def test_other_columns_and_no_rows(spark):
     assert mixed_documents(empty(spark)).count() == repetitions(empty(spark)).count() == 0
 
 
-def test_many_sources_are_joined_without_broadcast(spark, monkeypatch):
-    from orderlake.llm import mixing
-
+def test_many_sources_are_joined_without_broadcast(spark):
+    """Spark chooses by the size of the written table; beyond its threshold the join sorts."""
     expected = Counter((r.doc_id, r.copies) for r in repetitions(documents(spark)).collect())
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
-    assert Counter((r.doc_id, r.copies) for r in repetitions(documents(spark)).collect()) == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sorted_join = repetitions(documents(spark))
+        assert "BroadcastHashJoin" not in sorted_join._jdf.queryExecution().executedPlan().toString()
+        assert Counter((r.doc_id, r.copies) for r in sorted_join.collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_no_python_runs_on_executors(spark):
