@@ -1,7 +1,7 @@
 """Packing documents into training sequences by sums of squares.
 
 Every document is tokenised, ended by a separator, and cut into pieces only where it is longer than a sequence. Pieces are
-dealt into groups of about GROUP_DOCS documents by a hash, and each group is packed for itself: the next piece goes where the
+dealt into groups of GROUP_PIECES at most, on average, by a hash of the row's number, so that no identifier gathers them, and each group is packed for itself: the next piece goes where the
 sum, over all gaps, of the squared number of open sequences with that gap becomes smallest; among equals into the smallest gap
 that fits. A sequence is opened only if the piece fits into no open one, and pieces go in order of length, longest first: both
 give fewer sequences. A group's work and memory are bounded whatever the input.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 LENGTH = 1024
 SEPARATOR = 2
-#: Documents of a group. More documents pack a little tighter and take longer in one task.
-GROUP_DOCS = 20_000
+#: Pieces that a group has room for. More pieces pack a little tighter and take longer in one task.
+GROUP_PIECES = 80_000
 VOCABULARY = "byte_bpe_50k"
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -43,18 +43,20 @@ def _encoders(vocabulary: str, tokenizer_file: str, rank_file: str):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(tokenizer_file)
-    exact.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = tuple(token.content for token in exact.get_added_tokens_decoder().values())
     with open(rank_file, "rb") as f:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
-    return exact, tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return exact, added, tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_ids(text: str | None, tokenizer_file: str, rank_file: str) -> list[int]:
-    """The ids of the tokenizer file. For plain texts they come from the same vocabulary in a faster library."""
-    exact, fast = _encoders(VOCABULARY, tokenizer_file, rank_file)
+    """The ids of the tokenizer file. For plain texts without its added tokens they come from the same vocabulary in a faster library."""
+    exact, added, fast = _encoders(VOCABULARY, tokenizer_file, rank_file)
     if not text:
         return []
-    return fast.encode_ordinary(text) if _PLAIN.fullmatch(text) else exact.encode(text, add_special_tokens=False).ids
+    if _PLAIN.fullmatch(text) and not any(token in text for token in added):
+        return fast.encode_ordinary(text)
+    return exact.encode(text, add_special_tokens=False).ids
 
 
 def vocabulary_files(vocabulary: str = VOCABULARY) -> tuple[str, str]:
@@ -112,11 +114,17 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, offsets
 
 
-def packed(cut: DataFrame, documents: int, length: int = LENGTH, group_docs: int = GROUP_DOCS) -> DataFrame:
-    """cut: rows of pieces(). With sequence_id and offset of each. documents: about how many there are."""
-    groups = max(1, -(-documents // group_docs))
-    # Pieces of a very long document spread over groups.
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", (F.col("piece") / 64).cast("int")), F.lit(groups)))
+def room(docs: DataFrame, text: str = "text", length: int = LENGTH) -> int:
+    """A number of pieces that the documents never exceed: one for each, and one for each `length` bytes, since no token is shorter than a byte."""
+    whole = F.coalesce(F.floor(F.octet_length(F.col(text)) / length), F.lit(0))
+    return docs.agg(F.sum(whole + 1)).head()[0] or 0
+
+
+def packed(cut: DataFrame, pieces: int, length: int = LENGTH, group_pieces: int = GROUP_PIECES) -> DataFrame:
+    """cut: rows of pieces(). With sequence_id and offset of each. pieces: how many there are at most."""
+    groups = max(1, -(-pieces // group_pieces))
+    number = F.monotonically_increasing_id()
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", number), F.lit(groups)))
 
     def fill(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
@@ -129,4 +137,4 @@ def packed(cut: DataFrame, documents: int, length: int = LENGTH, group_docs: int
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """All documents as pieces with their places."""
-    return packed(pieces(docs, doc_id, text, length), docs.select(doc_id).count(), length)
+    return packed(pieces(docs, doc_id, text, length), room(docs, text, length), length)

@@ -12,22 +12,19 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orderlake.llm.packing import pack_documents, place, token_ids, vocabulary_files
+from orderlake.llm.packing import pack_documents, packed, pieces, place, room, token_ids, vocabulary_files
 from tests.llm.corpus import clashing, documents, empty, rows
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(vocabulary_files()[0])
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary_files()[0])
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.one_of(st.text(max_size=80), st.text(alphabet="a b1.'ßé\n\t\xa0\x85日<|>Ǆ", max_size=80), st.sampled_from(["<|endoftext|>", "it's we'll   x  ", "\r\n\r\n a"])))
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="a b1.'ßé\n\t\xa0\x85日<|>Ǆ", max_size=80), st.sampled_from(["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|><|endoftext|>\n", "<|endoftext", "it's we'll   x  ", "\r\n\r\n a"])))
 def test_ids_are_the_tokenizers(text):
     t = Tokenizer.from_file(vocabulary_files()[0])
-    t.encode_special_tokens = True
     assert token_ids(text, *vocabulary_files()) == t.encode(text, add_special_tokens=False).ids
 
 
@@ -45,6 +42,27 @@ def assert_packed(rows, capacity):
     return len(places)
 
 
+def test_equal_and_null_ids_spread_over_groups(spark):
+    """Rows that share one identifier, or have none, don't gather in one group; all are packed."""
+    docs = spark.createDataFrame([(None if i % 2 else 5, "some words of one text") for i in range(4000)], "doc_id long, text string").repartition(4)
+    cut = pieces(docs)
+    got = packed(cut, 4000, group_pieces=100).collect()
+    sizes = Counter(r.sequence_id >> 40 for r in got)
+    assert sum(sizes.values()) == 4000 and len(sizes) == 40 and max(sizes.values()) < 200
+    assert_packed(got, 1024)
+
+
+def test_room_is_never_too_small(spark):
+    docs = documents(spark)
+    assert pieces(docs, length=16).count() <= room(docs, length=16)
+    assert room(empty(spark)) == 0
+
+
+def test_the_added_token_is_one_id():
+    """As the tokenizer file has it: its string in a text is the token."""
+    assert token_ids("a <|endoftext|> b", *vocabulary_files()) == [64, 220, 50256, 275]
+
+
 def brute_pieces(data, tokenizer):
     out = Counter()
     for doc_id, text, *_ in data:
