@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.words import IS_FIRST, IS_SPACE, SPACES, byte_counts, byte_set, hashed_words, window_hashes
 
-#: Documents on which costs and rejections are estimated.
+#: Documents on which costs and rejections are estimated. Their texts stay in tasks; a task takes them batch by batch.
 SAMPLE_DOCS = 512
 SYMBOLS = byte_set(b"#*$%&|<>")
 WINDOW = 5
@@ -38,9 +38,9 @@ _BLANKS = SPACES.decode()
 class Figures:
     """Figures of some texts, each computed when first asked for."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, known: dict[str, np.ndarray] | None = None):
         self.texts = texts
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, np.ndarray] = dict(known or {})
 
     def __getitem__(self, name: str) -> np.ndarray:
         if name not in self.known:
@@ -49,8 +49,11 @@ class Figures:
 
 
 def _characters(texts: pa.Array) -> dict[str, np.ndarray]:
-    counts = byte_counts(texts, _IN_WORD, SYMBOLS, _UPPER, _LOWER)
-    return dict(zip(("word_chars", "n_symbols", "n_upper", "n_lower"), counts, strict=True))
+    return dict(zip(("word_chars", "n_symbols"), byte_counts(texts, _IN_WORD, SYMBOLS), strict=True))
+
+
+def _cases(texts: pa.Array) -> dict[str, np.ndarray]:
+    return dict(zip(("n_upper", "n_lower"), byte_counts(texts, _UPPER, _LOWER), strict=True))
 
 
 def _words(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -87,7 +90,8 @@ def _lines(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 MEASURES: dict[str, Callable[[pa.Array], dict[str, np.ndarray]]] = {
-    **dict.fromkeys(("word_chars", "n_symbols", "n_upper", "n_lower"), _characters),
+    **dict.fromkeys(("word_chars", "n_symbols"), _characters),
+    **dict.fromkeys(("n_upper", "n_lower"), _cases),
     **dict.fromkeys(("n_words", "n_repeat_words"), _words),
     **dict.fromkeys(("n_lines", "n_dup_lines"), _lines),
 }
@@ -115,12 +119,16 @@ RULES = (
 )
 
 
-def measure(rules: Sequence[Rule], texts: pa.Array) -> list[tuple[str, float, int]]:
-    """By rule: name, seconds, texts rejected. Each rule works out its own figures, as if it came first."""
+def measure(rules: Sequence[Rule], texts: pa.Array, given: Sequence[str] = ()) -> list[tuple[str, float, int]]:
+    """By rule: name, seconds, texts rejected. Each rule works out its own figures, as if it came first; the given ones are known before and cost nothing."""
     out = []
+    known = Figures(texts)
+    if len(texts):
+        for name in given:
+            known[name]
     for rule in rules:
         began = time.perf_counter()
-        rejected = int(np.count_nonzero(rule.test(Figures(texts)))) if len(texts) else 0
+        rejected = int(np.count_nonzero(rule.test(Figures(texts, known.known)))) if len(texts) else 0
         out.append((rule.name, time.perf_counter() - began, rejected))
     return out
 
@@ -131,19 +139,17 @@ def ordered(rules: Sequence[Rule], estimates: Iterable[tuple[str, float, float]]
     return sorted(rules, key=lambda rule: -worth.get(rule.name, 0.0))
 
 
-def cascade(rules: Sequence[Rule], texts: pa.Array) -> tuple[np.ndarray, int]:
-    """Which texts no rule rejects, and how many texts were shown to rules in all. A rule sees what the ones before it left."""
+def cascade(rules: Sequence[Rule], texts: pa.Array, known: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, int]:
+    """Which texts no rule rejects, and how many texts were shown to rules in all. A rule sees what the ones before it left; figures that aren't known yet are computed for these alone."""
     left, shown = np.arange(len(texts)), 0
-    figures = Figures(texts)
+    figures = Figures(texts, known)
     for rule in rules:
         shown += len(left)
         rejected = rule.test(figures)
         if rejected.any():
             stays = np.flatnonzero(~rejected)
             left = left[stays]
-            known = {name: values[stays] for name, values in figures.known.items()}
-            figures = Figures(figures.texts.take(pa.array(stays)))
-            figures.known = known
+            figures = Figures(figures.texts.take(pa.array(stays)), {name: values[stays] for name, values in figures.known.items()})
         if not len(left):
             break
     kept = np.zeros(len(texts), bool)
@@ -158,13 +164,13 @@ def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: in
     return rows.join(F.broadcast(chosen.distinct()), "id").select("text").limit(most)
 
 
-def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES) -> list[Rule]:
-    """The rules in the order that a sample of the documents suggests. Rules are timed where the texts are; the driver gets sums."""
+def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, given: Sequence[str] = ()) -> list[Rule]:
+    """The rules in the order that a sample of the documents suggests, where the given figures are known before. Rules are timed where the texts are; the driver gets sums."""
     names = [rule.name for rule in rules]
 
     def time_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            measured = measure(rules, pc.fill_null(batch.column("text"), ""))
+            measured = measure(rules, pc.fill_null(batch.column("text"), ""), given)
             yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*measured, strict=True)], ["rule", "seconds", "rejected"])
 
     timed = sample(docs, doc_id, text).mapInArrow(time_rules, "rule string, seconds double, rejected long")
@@ -176,8 +182,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Sequence[Rule] | None = None, base: Sequence[str] = BASE) -> DataFrame:
-    """doc_id, the figures named in base, and kept. A figure of base that no rule needs is still computed for every row."""
-    rules = list(rules) if rules is not None else plan(docs, doc_id, text)
+    """doc_id, the figures named in base, and kept. Figures of base are asked for and computed for every row, once; what rules need besides, for the rows that come to them."""
+    rules = list(rules) if rules is not None else plan(docs, doc_id, text, given=base)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + "".join(f"{name} long, " for name in base) + "kept boolean"
 
@@ -188,7 +194,7 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: S
                 texts = pc.fill_null(batch.column("text"), "")
                 figures = Figures(texts)
                 columns = [pa.array(figures[name]) for name in base]
-                kept, _ = cascade(rules, texts)
+                kept, _ = cascade(rules, texts, figures.known)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(kept)], ["doc_id", *base, "kept"])
 
     return rows.mapInArrow(judge, schema)
