@@ -13,7 +13,8 @@ emitted by few. The order comes from counts over all documents and changes the w
 meets in the band of b; a set joins its own band, and the next one if a partner can lie there.
 
 Verification. Members of a bucket are compared with its first one, and links are closed to components. Where a bucket still
-spans components, its members are compared with one drawn from them, and at last all of different components with each other.
+spans components, its members are compared with some drawn from them, round by round while that connects many, and at last all
+of different components with each other.
 Of buckets with the same members one is enough, and a bucket whose members all share a larger one is contained in it: they
 are left out, since what stays has all their pairs. The rest is compared inside tasks, chunk by chunk, so that only likely pairs become rows. Sizes, a short sketch and a longer one,
 of some bits for each element, sort out nearly all pairs that aren't links; the others are compared set by set. So no bucket,
@@ -30,6 +31,7 @@ null). Empty tables give empty results. Other columns may have any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,10 @@ LOOKUP_RATE, LEAST_LOOKUP_BITS, MOST_LOOKUP_BITS = 16, 1 << 20, 1 << 28
 BITMAP_BITS = 1 << 15
 #: Bits of the longer sketch for each element, at least.
 LONG_RATE = 3
+#: Members drawn from a bucket in a round, and the share of members below which a round's links end the rounds.
+DRAWN, FEW = 4, 0.05
+#: Largest buckets of a class that are named in its rows.
+LARGEST = 8
 #: Members of a bucket that are compared at once, on average at most.
 BUCKET_CHUNK = 512
 
@@ -362,18 +368,25 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
     stars = stars.join(known.alias("a"), F.col("x") == F.col("a.class")).join(known.alias("b"), F.col("y") == F.col("b.class"))
     links = stored(_linked(stars.where(_plausible("a", "b")).select("x", "y"), texts, sketches), "links")
     labels = connected(links)
-    # What is left: members of one bucket, other than its first, in different components. First they are compared with one
-    # drawn from them, which gathers what hangs together, then all that are still apart with each other.
+    # What is left: members of one bucket, other than its first, in different components. They are compared with some drawn
+    # from them, which gathers what hangs together, until that connects few; then all that are still apart with each other.
     members = _open_members(buckets.select("key", "class"), known, labels)
-    drawn = members.groupBy(F.col("key").alias("of")).agg(F.min_by("class", F.xxhash64("class")).alias("chosen"))
-    chosen = members.join(drawn, (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
-    more = stored(_linked(_met(chosen, members), texts, sketches), "links")
-    if not more.isEmpty():
-        links = links.union(more)
-        labels = connected(links)
-        members = _open_members(members.select("key", "class"), known, labels)
-    members = _outermost(members.select("key", "class", "component"))
-    more = stored(_linked(_apart(members.join(sketches, "class")).distinct(), texts, sketches), "links")
+    for nth in count():
+        members = _outermost(members)
+        draws = F.array(*(F.min_by("class", F.xxhash64("class", F.lit(DRAWN * nth + i))) for i in range(DRAWN)))
+        drawn = members.groupBy(F.col("key").alias("of")).agg(draws.alias("chosen")).select("of", F.explode(F.array_distinct("chosen")).alias("chosen"))
+        chosen = members.join(drawn, (F.col("key") == F.col("of")) & (F.col("class") == F.col("chosen"))).drop("of", "chosen")
+        more = stored(_linked(_met(chosen, members), texts, sketches), "links")
+        found = more.count()
+        if found:
+            links = links.union(more)
+            labels = connected(links)
+            apart = members.select("class").distinct().count()
+            members = _open_members(members.select("key", "class"), known, labels)
+        if not found or found < FEW * apart:
+            break
+    members = _outermost(members).select("key", "class", "component", "size")
+    more = stored(_linked(_apart(_with_largest(members).join(sketches, "class")).distinct(), texts, sketches), "links")
     if not more.isEmpty():
         links = links.union(more)
         labels = connected(links)
@@ -383,6 +396,7 @@ def _class_links(docs: DataFrame, text: Column, classes: DataFrame, frequencies:
 def _outermost(members: DataFrame) -> DataFrame:
     """members: key, class and others. One of all buckets with the same members, and no bucket whose members all have one and the same larger bucket: the ones that stay hold all pairs."""
     names = F.bit_xor(F.xxhash64("class")), F.bit_xor(F.xxhash64("class", F.lit(1)))
+    members = members.drop("size")
     sizes = stored(members.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("size"), *(name.alias(f"name{i}") for i, name in enumerate(names))), "sizes")
     firsts = sizes.groupBy("size", "name0", "name1").agg(F.min("of").alias("of")).select("of", "size")
     sized = stored(members.join(firsts, F.col("key") == F.col("of")).drop("of"), "sized")
@@ -393,17 +407,26 @@ def _outermost(members: DataFrame) -> DataFrame:
     return stored(sized.join(outer, F.col("key") == F.col("of")).drop("of"), "outermost")
 
 
+def _with_largest(members: DataFrame) -> DataFrame:
+    """members: key, class, size and others. With sizes and keys of the class's largest buckets, LARGEST at most."""
+    own = members.groupBy(F.col("class").alias("named")).agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "key")), False), 1, LARGEST).alias("largest"))
+    largest = own.select("named", F.col("largest.size").alias("sizes"), F.col("largest.key").alias("keys"))
+    return members.join(largest, F.col("class") == F.col("named")).drop("named")
+
+
 def _apart(members: DataFrame) -> DataFrame:
-    """members: key, class, component, size (of the bucket), n, bits. Likely pairs x < y of a bucket in different components, compared chunk by chunk; a pair comes once for each bucket."""
+    """members: key, class, component, size (of the bucket), n, bits, sizes and keys of larger buckets. Likely pairs x < y of a bucket in different components, compared chunk by chunk; a pair comes in the largest bucket that it shares, and in smaller ones only if that is not among those named."""
     chunks = F.ceil(F.col("size") / BUCKET_CHUNK)
     dealt = members.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     group = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    dealt = dealt.select("key", *group, "chunk", "class", "component", "n", "bits").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    dealt = dealt.select("key", *group, "size", "chunk", "class", "component", "n", "bits", "sizes", "keys").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
 
     def pairs_of(group: tuple, rows: list[tuple]) -> Iterator[np.ndarray]:
         chunk, classes, components, n = (np.array([row[i] for row in rows], np.int64) for i in range(4))
         words = np.array([len(row[4]) // 8 for row in rows])
-        _, low, high = group
+        key, low, high = group
+        own_rank = (rows[0][7], key)
+        larger = [{k for size, k in zip(row[5], row[6], strict=True) if (size, k) > own_rank} for row in rows]
         by_words = {w: np.flatnonzero(words == w) for w in np.unique(words).tolist()}
         sketches = {w: np.frombuffer(b"".join(rows[i][4] for i in at), np.uint64).reshape(len(at), w) for w, at in by_words.items()}
         for at in np.flatnonzero(chunk == low).tolist():
@@ -416,11 +439,12 @@ def _apart(members: DataFrame) -> DataFrame:
                     there &= others > at
                 found = np.flatnonzero(there)
                 found = others[found[_near(int(n[at]), own, n[others[found]], sketches[w][found])]]
+                found = np.array([i for i in found.tolist() if larger[at].isdisjoint(larger[i])], np.int64)
                 if len(found):
                     yield np.stack([np.minimum(classes[at], classes[found]), np.maximum(classes[at], classes[found])])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in _grouped(batches, ("key", "low", "high"), ("chunk", "class", "component", "n", "bits")):
+        for group, rows in _grouped(batches, ("key", "low", "high"), ("chunk", "class", "component", "n", "bits", "sizes", "keys", "size")):
             for x, y in pairs_of(group, rows) if len(rows) > 1 else ():
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
@@ -565,14 +589,14 @@ def with_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     found, classes, members = _near_duplicates(docs, doc_id, text)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for named, sizes, first, second in _groups(batches):
             linked = np.zeros(len(named), np.int64)
             np.add.at(linked, first, sizes[second])
             np.add.at(linked, second, sizes[first])
             yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(linked)], ["linked_class", "linked"])
 
-    counted = _chunk_pairs(members).mapInArrow(count, "linked_class long, linked long").groupBy("linked_class").agg(F.sum("linked").alias("linked"))
+    counted = _chunk_pairs(members).mapInArrow(counted, "linked_class long, linked long").groupBy("linked_class").agg(F.sum("linked").alias("linked"))
     by_class = classes.select(F.col("class").alias("of_class"), "size").join(counted, F.col("of_class") == F.col("linked_class"), "left")
     joined = found.join(by_class, F.col("class") == F.col("of_class"), "left")
     return joined.select(*found.columns, F.coalesce(F.col("size") - 1, F.lit(0)).alias("n_copies"), F.coalesce("linked", F.lit(0)).alias("n_links"))

@@ -189,8 +189,11 @@ def test_open_buckets_are_compared_in_chunks(spark, monkeypatch, chunk):
     base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
     sets = [np.unique(np.concatenate([base[: 200 - 6 * (i % 9)], rng.integers(0, 1 << 63, 6 * (i % 9), dtype=np.uint64)])) for i in range(30)]
     sketches = [jaccard_join._long_sketch(x) for x in sets]
-    rows = [(1, i, i // 2, 30, len(x), s.tobytes()) for i, (x, s) in enumerate(zip(sets, sketches))]
-    members = spark.createDataFrame([(*r[:5], bytearray(r[5])) for r in rows], "key long, class long, component long, size long, n long, bits binary")
-    got = {(r.x, r.y) for r in jaccard_join._apart(members).collect()}
+    # Two buckets; the second one is smaller and holds only pairs that the first one has.
+    rows = [(key, i, i // 2, (30, 12)[key], len(x), bytearray(s.tobytes())) for key in (0, 1) for i, (x, s) in enumerate(zip(sets, sketches)) if i < (30, 12)[key]]
+    members = spark.createDataFrame(rows, "key long, class long, component long, size long, n long, bits binary")
+    found = [(r.x, r.y) for r in jaccard_join._apart(jaccard_join._with_largest(members)).collect()]
+    got = set(found)
+    assert len(found) == len(got)
     want = {(i, j) for i in range(30) for j in range(i + 1, 30) if i // 2 != j // 2 and jaccard_join._near(len(sets[i]), sketches[i], np.array([len(sets[j])]), sketches[j][None])[0]}
     assert got == want and 0 < len(want) < 400
