@@ -54,8 +54,9 @@ def int_order_items_rolled_up(items: DataFrame) -> DataFrame:
 
 def dominant_type() -> Column:
     """Payment type of the highest amount; the lowest sequence wins a tie, a null amount comes last."""
-    rank = F.struct(F.col("payment_amount"), -F.col("installment_sequence"))
-    return F.max_by("payment_type", rank)
+    amount, sequence = F.col("payment_amount"), F.col("installment_sequence")
+    rank = F.struct(amount.isNull(), -amount, sequence.isNull(), sequence)
+    return F.min_by("payment_type", rank)
 
 
 def int_payments_rolled_up(payments: DataFrame) -> DataFrame:

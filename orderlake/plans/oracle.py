@@ -46,8 +46,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """
         select cast(l_orderkey as varchar) order_id,
-          cast(cast(l_linenumber as varchar) || lpad(cast(l_partkey as varchar), 14, '0')
-            || lpad(cast(l_suppkey as varchar), 14, '0') as decimal(38,0)) order_item_id,
+          '1' || lpad(cast(l_linenumber as varchar), 6, '0') || lpad(cast(l_partkey as varchar), 12, '0')
+            || '1' || lpad(cast(l_suppkey as varchar), 12, '0') order_item_id,
           cast(l_partkey as varchar) product_id, cast(l_suppkey as varchar) seller_id,
           l_shipdate shipping_limit_date, floor(l_extendedprice) / 100 price,
           floor(l_extendedprice * l_discount) / 100 freight_value,
@@ -68,7 +68,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_order_reviews": (
         ("raw_order_items",),
         """
-        select order_id || '-' || cast(order_item_id as varchar) review_id, order_id,
+        select order_id || '-' || order_item_id review_id, order_id,
           1 + l_partkey % 5 review_score
         from raw_order_items where l_linenumber = 1""",
     ),

@@ -70,10 +70,13 @@ ITEM_COLUMNS = (
 )
 
 # A line's place in its order, since (l_orderkey, l_linenumber) repeats in the files: line number, part
-# and supplier written one after the other, the last two with 14 digits. It comes from the row alone, so
-# no row meets another. Lines that are alike in all three share it.
-LINE_SEQUENCE = """cast(cast(l_linenumber as decimal(9,0)) * 10000000000000000000000000000BD
-    + cast(l_partkey as decimal(14,0)) * 100000000000000BD + cast(l_suppkey as decimal(14,0)) as decimal(38,0))"""
+# and supplier written one after the other, each with as many digits as the next, so that text sorts as
+# the numbers do. It comes from the row alone, so no row meets another, and takes whole numbers of 64
+# bits only. Lines that are alike in all three share it.
+LINE_SEQUENCE = """concat(
+    cast((1000000L + l_linenumber) * 1000000000000L + l_partkey as string),
+    cast(1000000000000L + l_suppkey as string))"""
+
 
 def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(FILE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")

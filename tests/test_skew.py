@@ -102,7 +102,7 @@ def test_a_replaced_table_is_read_anew(spark, tmp_path):
     for rows in (one, one.withColumn("l_partkey", one.l_partkey + 1), one.unionByName(one)):
         rows.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
         items = driver_tables.DriverTables(spark, str(tmp_path))["order_items"]
-        assert items.agg({"order_item_id": "max"}).first()[0] // 10**14 % 10**14 == rows.filter(
+        assert int(items.agg({"order_item_id": "max"}).first()[0][7:19]) == rows.filter(
             "l_linenumber = 7"
         ).agg({"l_partkey": "max"}).first()[0]
         assert items.count() == rows.count()
