@@ -15,19 +15,18 @@ from __future__ import annotations
 
 import argparse
 import sys
-from functools import partial
 
 from pyspark.sql import SparkSession
 
 from orderlake.operators import checks, metrics
 from orderlake.operators.dimensions import END_DATE, START_DATE, date_range
-from orderlake.plans.build import Stored, build, create_views, ingest, save_staging
+from orderlake.plans.build import Stored, build, create_views, facts_of, refresh, save_raw
+from orderlake.plans.staging_views import create_staging
 from orderlake.plans.star import Star
 from orderlake.session import MIB, settings
+from orderlake.sources.published import published
 from orderlake.sources.schemas import RAW_TABLES
-from orderlake.sources.tables import read_from_database, read_from_folder, save_to_database, save_to_folder
-
-DATABASE = "database:"
+from orderlake.sources.tables import row_counts
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -57,7 +56,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
             sub.add_argument("--every-period", action="store_true", help="running totals for all periods")
             sub.add_argument("--out", metavar="DIR", help="folder for the result")
         if command == "build":
-            sub.add_argument("--staging", metavar="DATABASE", help="database for the staging models")
+            sub.add_argument("--staging", metavar="DATABASE", help="database for views of the staging models")
     return parser.parse_args(argv)
 
 
@@ -68,18 +67,9 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
 
-    def sink(place):
-        if place.startswith(DATABASE):
-            return lambda df, name: save_to_database(df, place.removeprefix(DATABASE), name)
-        return lambda df, name: save_to_folder(df, place, name)
-
-    def source(place):
-        if place.startswith(DATABASE):
-            return partial(read_from_database, spark, place.removeprefix(DATABASE))
-        return partial(read_from_folder, spark, place)
-
     if asked.command == "ingest":
-        ingest(spark, asked.files, sink(asked.raw), source(asked.raw), asked.prefix).show(truncate=False)
+        raw = refresh(published(spark, asked.raw), lambda save: save_raw(spark, asked.files, save, asked.prefix))
+        row_counts({name: raw.read(name) for name in RAW_TABLES}).show(truncate=False)
         return 0
     if asked.command == "list":
         metrics.list_metrics(spark).show(len(metrics.METRICS), truncate=False)
@@ -88,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if asked.command == "query":
         names, groups = asked.metrics.split(","), [g for g in asked.group_by.split(",") if g]
-        result = metrics.metric_query(Stored(source(asked.marts)), names, groups, asked.every_period)
+        marts = published(spark, asked.marts).snapshot()
+        result = metrics.metric_query(Stored(marts.read), names, groups, asked.every_period)
         if groups:
             result = result.orderBy(*groups)
         if asked.out:
@@ -99,15 +90,16 @@ def main(argv: list[str] | None = None) -> int:
             print(*row, sep="\t")
         return 0
 
-    raw = {name: source(asked.raw)(name) for name in RAW_TABLES}
-    star = Star(raw, date_range(spark, asked.start, asked.end))
+    raw, place = published(spark, asked.raw).snapshot(), published(spark, asked.marts)
+    star = Star({name: raw.read(name) for name in RAW_TABLES}, date_range(spark, asked.start, asked.end))
     if asked.command == "build":
         create_views(star)
         if asked.staging:
-            save_staging(star, asked.staging)
-        build(star, sink(asked.marts))
+            create_staging(spark, asked.staging, raw.relation)
+        refresh(place, lambda save: build(star, save))
         return 0
-    report = checks.check_report(spark, Stored(source(asked.marts), star)).persist()
+    marts = place.snapshot()
+    report = checks.stored_report(spark, Stored(marts.read, star), facts=facts_of(raw, marts))
     report.filter("status <> 'pass'").show(len(checks.CHECKS), truncate=False)
     counts = {row.status: row.checks for row in checks.status_counts(report).collect()}
     print(" ".join(f"{status.upper()}={counts.get(status, 0)}" for status in ("pass", "warn", "error")))

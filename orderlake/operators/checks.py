@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from functools import reduce
 
@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, FractionalType
 
+from orderlake.functions import bits
 from orderlake.functions.buckets import INSTALLMENT_BUCKETS, INSTALLMENT_MISSING
 from orderlake.functions.buckets import REGION_MISSING, REGIONS, WEIGHT_BUCKETS, WEIGHT_MISSING
 from orderlake.functions.numbers import round_half_away
+from orderlake.operators.staging import UNCHANGED
 
 # What the checked columns may hold.
 ORDER_STATUSES = (
@@ -33,13 +35,18 @@ OTHER_TOLERANCE = Decimal("5.00")
 
 
 def unique(df: DataFrame, *columns: str) -> DataFrame:
-    """Values found more than once, with their number of rows. A null is not a value."""
-    return (
-        df.dropna(subset=list(columns))
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .filter(F.col("row_count") > 1)
-    )
+    """Values found more than once, with their number of rows. A null is not a value.
+
+    In two passes: first the rows are counted by a hash of 8 bytes, then only rows whose hash may be
+    one of those counted twice are grouped by their values. The filter between them has a fixed size
+    and lets no repeated value pass by, so the result is exact, and keys that do not repeat are not
+    shuffled.
+    """
+    known = df.dropna(subset=list(columns))
+    key = F.xxhash64(*columns)
+    twice = known.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    suspects = known.filter(bits.may_hold(bits.words(twice, "key").scalar(), key))
+    return suspects.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -242,14 +249,48 @@ def compared_as(check: Check, tables: Mapping[str, DataFrame]) -> DataType:
 
 VALUE_KINDS = ("unique", "accepted_values", "relationships")
 
+# What is kept of a table besides its checks: how many rows it has.
+ROWS = "rows"
+
+
+def counters(table: str, checks: Iterable[Check] = CHECKS) -> list[Column]:
+    """How many rows of a table there are, and how many break each rule that needs no other row to tell.
+
+    Observed while the table is written, they spare the check a scan of its own.
+    """
+    of_table = [c for c in checks if c.table == table and c.kind not in ("unique", "relationships")]
+    return [F.count(F.lit(1)).alias(ROWS), *(F.count(F.when(breaks(c), 1)).alias(c.name) for c in of_table)]
+
+
+def trusted(facts: Mapping[str, Mapping[str, int]], counted: DataFrame) -> dict[str, Mapping[str, int]]:
+    """Those facts whose number of rows is that of the stored table; counted: (table_name, row_count)."""
+    stored = {r.table_name: r.row_count for r in counted.collect()}
+    return {name: known for name, known in facts.items() if ROWS in known and known[ROWS] == stored.get(name)}
+
+
+def told_by_facts(check: Check, facts: Mapping[str, Mapping[str, int]]) -> int | None:
+    """A check's violations where counters tell them.
+
+    A rule on values counts values, not rows, so that its counter tells only that there are none.
+    """
+    rows = facts.get(check.table, {}).get(check.name)
+    return rows if check.kind != "accepted_values" or not rows else None
+
+
+def runs_as(check: Check) -> Check:
+    """The check that gives the same result: the one on the raw column that a staging column is."""
+    raw, columns = UNCHANGED.get(check.table, ("", {}))
+    return replace(check, table=raw, column=columns[check.column]) if check.column in columns else check
 
-def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+
+def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame], hashed: bool = False) -> DataFrame:
     """(number, violations) for all checks of one table, from one scan of it; to be summed by number.
 
     A row adds its values to the checks that compare values, and to the others only what breaks them,
     so those send one row per task. Findings are counted per check and value on both sides of one
     shuffle, so no value is too frequent. References drop out where the parent has the value; that
     join uses the same partitioning. A violation is a repeated value, a value outside the list, or a row.
+    With `hashed`, keys are compared by 64-bit hashes: no violation then is none, some may be none.
     """
     table = tables[next(iter(checks.values())).table]
     kinds = {n: compared_as(c, tables) for n, c in checks.items() if c.kind in VALUE_KINDS}
@@ -257,23 +298,27 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
     def finding(n: int, c: Check) -> Column:
         column = F.col(c.column)
         says = column.isNotNull() if c.kind in ("unique", "relationships") else breaks(c)
-        value = value_text(column, kinds[n]) if n in kinds else F.lit(None).cast("string")
-        return F.when(says, F.struct(F.lit(n).alias("number"), value.alias("value")))
+        by_hash = hashed and c.kind == "unique"
+        key = F.xxhash64(value_text(column, kinds[n])) if by_hash else F.lit(0).cast("bigint")
+        value = value_text(column, kinds[n]) if n in kinds and not by_hash else F.lit(None).cast("string")
+        return F.when(says, F.struct(F.lit(n).alias("number"), key.alias("key"), value.alias("value")))
 
     found = (
         table.select(F.explode(F.array(*(finding(n, c) for n, c in checks.items()))).alias("finding"))
         .filter(F.col("finding").isNotNull())
-        .groupBy("finding.number", "finding.value")
+        .groupBy("finding.number", "finding.key", "finding.value")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     parents = [
-        tables[c.parent].select(F.lit(n).alias("number"), value_text(F.col(c.field), kinds[n]).alias("value"))
+        tables[c.parent].select(
+            F.lit(n).alias("number"), F.lit(0).cast("bigint").alias("key"), value_text(F.col(c.field), kinds[n]).alias("value")
+        )
         for n, c in checks.items()
         if c.kind == "relationships"
     ]
     if parents:
         known = reduce(DataFrame.unionByName, parents).distinct()
-        found = found.join(known, ["number", "value"], "left_anti")
+        found = found.join(known, ["number", "key", "value"], "left_anti")
     number, rows = F.col("number"), F.col("row_count")
     keys = [n for n, c in checks.items() if c.kind == "unique"]
     by_value = keys + [n for n, c in checks.items() if c.kind == "accepted_values"]
@@ -282,30 +327,65 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
     )
 
 
+REPORT = "check string, kind string, table_name string, column_name string, severity string"
+
+
 def check_report(
-    spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    checks: Iterable[Check] = CHECKS,
+    facts: Mapping[str, Mapping[str, int]] | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """One row per check with its violations and status: pass, warn or error.
 
-    Lazy tables are computed anew for each scan; on large data, pass the stored ones.
+    Lazy tables are computed anew for each scan; on large data, check the stored ones with
+    `stored_report`. `facts` holds what `counters` counted of a table. Checks of staging columns that
+    are raw columns are taken from these; checks that come to the same run once.
     """
-    numbered = dict(enumerate(checks))
+    checks = list(checks)
+    same = {c: runs_as(c) for c in checks}
+    numbers = {c: n for n, c in enumerate(dict.fromkeys(same.values()))}
+    told = {c: told_by_facts(c, facts or {}) for c in numbers}
+    numbered = {n: c for c, n in numbers.items() if told[c] is None}
     parts = [
-        table_violations({n: c for n, c in numbered.items() if c.table == table}, tables)
+        table_violations({n: c for n, c in numbered.items() if c.table == table}, tables, hashed)
         for table in dict.fromkeys(c.table for c in numbered.values())
     ]
+    known = [(n, told[c]) for c, n in numbers.items() if told[c] is not None]
+    parts.append(spark.createDataFrame(known, "number int, violations bigint"))
     violations = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
 
-    rows = [(n, c.name, c.kind, c.table, c.column, c.severity) for n, c in numbered.items()]
-    declared = spark.createDataFrame(
-        rows, "number int, check string, kind string, table_name string, column_name string, severity string"
-    )
+    rows = [(numbers[same[c]], c.name, c.kind, c.table, c.column, c.severity) for c in checks]
+    declared = spark.createDataFrame(rows, f"number int, {REPORT}")
+    return with_status(declared.join(violations, "number", "left").drop("number"))
+
+
+def with_status(report: DataFrame) -> DataFrame:
     count = F.coalesce(F.col("violations"), F.lit(0)).cast("bigint")
-    return declared.join(violations, "number", "left").select(
-        *declared.columns[1:],
-        count.alias("violations"),
-        F.when(count == 0, "pass").otherwise(F.col("severity")).alias("status"),
-    )
+    columns = [c for c in report.columns if c != "violations"]
+    return report.select(*columns, count.alias("violations"), F.when(count == 0, "pass").otherwise(F.col("severity")).alias("status"))
+
+
+def stored_report(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    checks: Iterable[Check] = CHECKS,
+    facts: Mapping[str, Mapping[str, int]] | None = None,
+) -> DataFrame:
+    """The report over stored tables, computed at once: counters as they are, keys by hashes first.
+
+    Only a key column in which hashes repeat is compared by values. The result has a row per check.
+    """
+    checks = list(checks)
+    rows = check_report(spark, tables, checks, facts, hashed=True).collect()
+    found = {r.check: r.violations for r in rows}
+    suspects = [c for c in checks if c.kind == "unique" and found[c.name]]
+    if suspects:
+        exact = check_report(spark, tables, suspects).collect()
+        found |= {r.check: r.violations for r in exact}
+    report = [(c.name, c.kind, c.table, c.column, c.severity, found[c.name]) for c in checks]
+    return with_status(spark.createDataFrame(report, f"{REPORT}, violations bigint"))
 
 
 def status_counts(report: DataFrame) -> DataFrame:

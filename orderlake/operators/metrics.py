@@ -4,9 +4,10 @@
 gives one row per group. All measures live on the order fact, so any set of metrics is one aggregate.
 Ratios divide totals of the asked grain; they are never averaged up from a finer one.
 
-A cumulative metric is the running total up to the end of each period. It is also given for periods
-without orders, from the first period of its group up to the last one of all orders, as far as the
-time spine goes; the other metrics are null there. Without a time dimension it is the total.
+A cumulative metric is the running total up to the end of each period, as far as the time spine goes.
+With `every_period`, days without orders carry the total too: each group then has a row for every period
+from its first one up to the last one of all orders, where the other metrics are null. By default a row
+stands only where the group has orders. Without a time dimension it is the total.
 """
 
 from __future__ import annotations

@@ -15,6 +15,18 @@ IN_PROGRESS = ("processing", "approved", "invoiced", "shipped", "created")
 NO_CATEGORY = "unknown"
 
 
+# Staging columns that are raw columns under the same or another name, of models with one row for each
+# raw row: staging model -> (raw table, staging column -> raw column). A product's row may repeat with
+# its category's translation, so products are not among them.
+UNCHANGED = {
+    "stg_orders": ("orders", {c: c for c in ("order_id", "customer_id", "order_status")}),
+    "stg_order_items": ("order_items", {"order_id": "order_id", "item_sequence": "order_item_id"}),
+    "stg_customers": ("customers", {c: c for c in ("customer_id", "customer_unique_id")}),
+    "stg_sellers": ("sellers", {"seller_id": "seller_id"}),
+    "stg_payments": ("order_payments", {"order_id": "order_id"}),
+}
+
+
 def moment(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 

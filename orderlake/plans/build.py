@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.operators.checks import counters, trusted
 from orderlake.plans.star import MARTS, STAGING, Star
 from orderlake.sources.csv_files import read_csv_folder
-from orderlake.sources.tables import row_counts, save_to_database
+from orderlake.sources.published import PublishedDatabase, PublishedFolder, Release, Snapshot, side_by_side
+from orderlake.sources.schemas import RAW_TABLES
+from orderlake.sources.tables import row_counts
 
 # A sink: called with rows and a table name, it replaces that table.
 Save = Callable[[DataFrame, str], None]
@@ -21,21 +23,43 @@ Read = Callable[[str], DataFrame]
 LOADED_AT = "dbt_loaded_at"
 STAMPED = ("dim_customers", "dim_products", "dim_sellers", "fct_orders", "fct_order_items", "fct_payments")
 
-# Writes in flight at once, so that a small table does not wait for the tail of a large one.
-WRITES = 4
 
+def checked_sink(release: Release) -> Save:
+    """Saves tables to a release; what breaks rules that single rows tell is counted in the same pass."""
 
-def side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
-    """Write several tables at a time; the first failure is raised once the others have ended."""
-    with ThreadPoolExecutor(WRITES) as pool:
-        list(pool.map(write, names))
+    def save(df: DataFrame, name: str) -> None:
+        seen = Observation()
+        release.save(df.observe(seen, *counters(name)), name, lambda: seen.get)
 
+    return save
 
-def ingest(spark: SparkSession, folder: str, save: Save, read: Read, prefix: str = "") -> DataFrame:
-    """Replace all raw tables with the files of a folder; the result counts the stored rows."""
+
+def refresh(place: PublishedFolder | PublishedDatabase, write: Callable[[Save], None]) -> Snapshot:
+    """Run `write` with a sink for a new release; publish what it saved if it does not fail."""
+    release = place.release()
+    write(checked_sink(release))
+    release.publish()
+    return place.snapshot()
+
+
+def facts_of(*snapshots: Snapshot) -> dict[str, dict[str, int]]:
+    """What was counted of published tables, as far as it fits what is stored."""
+    told = {name: (known, s) for s in snapshots for name, known in s.facts.items()}
+    if not told:
+        return {}
+    return trusted({n: known for n, (known, _) in told.items()}, row_counts({n: s.read(n) for n, (_, s) in told.items()}))
+
+
+def save_raw(spark: SparkSession, folder: str, save: Save, prefix: str = "") -> None:
+    """Replace all raw tables with the files of a folder."""
     raw = read_csv_folder(spark, folder, prefix)
     side_by_side(lambda name: save(raw[name], name), raw)
-    return row_counts({name: read(name) for name in raw})
+
+
+def ingest(spark: SparkSession, folder: str, save: Save, read: Read, prefix: str = "") -> DataFrame:
+    """Replace all raw tables with the files of a folder; the result counts the stored rows."""
+    save_raw(spark, folder, save, prefix)
+    return row_counts({name: read(name) for name in RAW_TABLES})
 
 
 def create_views(star: Star, names: Iterable[str] = STAGING) -> None:
@@ -44,12 +68,6 @@ def create_views(star: Star, names: Iterable[str] = STAGING) -> None:
         star[name].createOrReplaceTempView(name)
 
 
-def save_staging(star: Star, database: str, names: Iterable[str] = STAGING) -> None:
-    """Staging models in the catalog, to outlive the session. Spark keeps no DataFrame as a lasting
-    view, so they are tables."""
-    side_by_side(lambda name: save_to_database(star[name], database, name), names)
-
-
 def build(star: Star, save: Save, names: Iterable[str] = MARTS) -> None:
     """Replace the marts. No mart reads another one's table, so they are written side by side."""
 

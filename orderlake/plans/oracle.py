@@ -493,7 +493,16 @@ def marts() -> str:
     return sql(" union all ".join(parts), *names)
 
 
+REVIEWS = """
+    select cast(l_orderkey as varchar) || '-1' || lpad(cast(l_linenumber as varchar), 6, '0')
+        || lpad(cast(l_partkey as varchar), 12, '0') || '1' || lpad(cast(l_suppkey as varchar), 12, '0') review_id,
+      cast(l_orderkey as varchar) order_id, (1 + l_partkey % 5)::int review_score,
+      '"' || l_returnflag || '" of ' || l_partkey || case when l_partkey % 3 = 0 then chr(10) else ', ' end
+        || 'from ' || l_suppkey || chr(10) || chr(10) || l_linestatus review_comment_message
+    from lineitem where l_linenumber = 1"""
+
 ORACLE: dict[str, str] = {
+    "ingest_reviews": REVIEWS,
     "ingest_row_counts": counts(),
     **{name: table(name) for name in ("stg_customers", "stg_orders", "stg_order_items", "stg_payments")},
     **{name: table(name) for name in ("stg_products", "stg_sellers")},

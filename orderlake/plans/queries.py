@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,13 @@ from orderlake.functions.keys import surrogate_key
 from orderlake.functions.numbers import money_sum
 from orderlake.operators import checks, dimensions, metrics, rollups
 from orderlake.plans import oracle
-from orderlake.plans.build import LOADED_AT, Stored, build
+from orderlake.plans.build import LOADED_AT, Stored, build, refresh
 from orderlake.plans.star import MARTS, STAGING, Star
 from orderlake.session import shared_folder
-from orderlake.sources.driver_tables import DriverTables
-from orderlake.sources.tables import read_from_folder, row_counts, save_to_folder
+from orderlake.sources.csv_files import file_name, read_csv
+from orderlake.sources.driver_tables import LINE_SEQUENCE, DriverTables
+from orderlake.sources.published import PublishedFolder
+from orderlake.sources.tables import row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,10 +108,9 @@ def distribution(star: Star, table: str, column: str, counted: str) -> DataFrame
 
 
 def stored_marts(spark: SparkSession, folder: str) -> DataFrame:
-    """All marts written to the sink and read back: rows, rows with a load stamp, and the revenue kept."""
-    place = f"{shared_folder(spark)}/marts-{uuid.uuid4().hex}"
-    build(star_over(spark, folder), lambda df, name: save_to_folder(df, place, name))
-    stored = Stored(partial(read_from_folder, spark, place))
+    """All marts written as a release, published and read back: rows, rows with a load stamp, and the revenue kept."""
+    place = PublishedFolder(spark, f"{shared_folder(spark)}/marts-{uuid.uuid4().hex}")
+    stored = Stored(refresh(place, lambda save: build(star_over(spark, folder), save)).read)
 
     def counted(name: str) -> DataFrame:
         stamped = LOADED_AT in stored[name].columns
@@ -124,6 +125,21 @@ def stored_marts(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, map(counted, MARTS))
 
 
+def ingested_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw reviews, with comments that hold line ends, quotes and commas, through CSV files and the ingest of them."""
+    comment = """concat('"', l_returnflag, '" of ', l_partkey, if(l_partkey % 3 = 0, '\\n', ', '), 'from ', l_suppkey, '\\n\\n', l_linestatus)"""
+    lines = DriverTables(spark, folder).file("lineitem").filter("l_linenumber = 1")
+    reviews = lines.selectExpr(
+        f"concat_ws('-', l_orderkey, {LINE_SEQUENCE}) as review_id",
+        "cast(l_orderkey as string) as order_id",
+        "cast(1 + l_partkey % 5 as int) as review_score",
+        f"{comment} as review_comment_message",
+    )
+    path = f"{shared_folder(spark)}/{file_name('order_reviews', f'{uuid.uuid4().hex}_')}"
+    reviews.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return read_csv(spark, path, "order_reviews")
+
+
 RECONCILED = (
     "order_id",
     "primary_payment_type",
@@ -134,6 +150,7 @@ RECONCILED = (
 )
 
 QUERIES: dict[str, Query] = {
+    "ingest_reviews": ingested_reviews,
     "ingest_row_counts": lambda spark, folder: row_counts(DriverTables(spark, folder)),
     **{name: model(name) for name in (*STAGING, "int_order_items_rolled_up", "int_payments_rolled_up", *MARTS)},
     "primary_payment_type": on_star(lambda star: rollups.primary_payment_type(star["stg_payments"])),

@@ -6,10 +6,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.sources.csv_records import read_records
 from orderlake.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 
-# Free text in reviews holds line breaks inside quotes. Such a file cannot be split, so only this
-# one is read that way; the others are cut into blocks and read in parallel.
+# Free text in reviews holds line breaks inside quotes. Only this table's records are put together
+# from lines; the others' lines are their records.
 MULTILINE_TABLES = frozenset({"order_reviews"})
 
 
@@ -25,12 +26,9 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
     Text that does not fit its type fails the job rather than turning into a null.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("multiLine", table in MULTILINE_TABLES)
-        .option("escape", '"')
-        .csv(path)
-    )
+    text = spark.read.option("header", True).option("escape", '"').csv(path)
+    if table in MULTILINE_TABLES:
+        text = read_records(spark, path, text.columns)
     schema = RAW_SCHEMAS[table]
     absent = [name for name in schema if name not in text.columns]
     if absent:

@@ -206,6 +206,7 @@ def test_command_line_over_databases(spark, folder, capsys):
         assert main(["ingest", "--files", str(folder), "--prefix", "shop_", *places[:2]]) == 0
         assert main(["build", *places, "--staging", "cli_staging"]) == 0
         assert spark.table("cli_staging.stg_orders").count() == spark.table("cli_raw.orders").count()
+        assert {t.tableType for t in spark.catalog.listTables("cli_staging") if not t.isTemporary} == {"VIEW"}
         assert main(["check", *places]) == 0
         assert main(["query", *places[2:], "--metrics", "order_count"]) == 0
     finally:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as driver
 from orderlake.plans.queries import ORACLE_SQL, QUERIES
 from tests.compare import assert_same, connect
 
+ROOT = Path(__file__).resolve().parent.parent
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -27,6 +33,15 @@ def test_query_matches_sql(spark, duck, name):
     assert_same(QUERIES[name](spark, FOLDER), duck, ORACLE_SQL[name])
 
 
+@pytest.mark.parametrize("missing", ["public_tokenizers", "orderlake.llm.queries", "corpus_pipeline", "numpy"])
+def test_core_queries_survive_a_missing_library(missing):
+    """Without a library or a module that only the text operators need, all other queries are there."""
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries())"
+    env = os.environ | {"PYTHONPATH": f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"}
+    said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=env, capture_output=True, text=True, check=True)
+    assert set(said.stdout.split()) == set(QUERIES)
+
+
 def test_entry_has_rows(spark):
     result = driver.entry(spark)
     assert result.columns == ["metric_time__month", "revenue"]
