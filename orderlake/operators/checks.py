@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, FractionalType
+from pyspark.sql.types import DataType, DateType, DecimalType, FractionalType, IntegralType
 
 from orderlake.functions import bits
 from orderlake.functions.buckets import INSTALLMENT_BUCKETS, INSTALLMENT_MISSING
@@ -59,13 +59,29 @@ def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     return df.filter(~F.col(column).isin(*values)).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def as_number(df: DataFrame, column: str) -> Column | None:
+    """Days and whole numbers as 64-bit numbers; None for a column of another type."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, DateType):
+        return F.unix_date(column).cast("bigint")
+    return F.col(column).cast("bigint") if isinstance(kind, IntegralType) else None
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values that the parent does not have, with their number of rows. Null refers to nothing.
 
     Both sides are reduced to one row per value before the join, so no value is too frequent for it;
-    the join then uses the partitioning that this took.
+    the join then uses the partitioning that this took. Whole numbers and days are looked up before
+    that in an exact filter of the parent's values, so that only violations, and values too far from
+    the parent's least one for the filter, are shuffled.
     """
-    references = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    references = child.filter(F.col(column).isNotNull())
+    number, known = as_number(child, column), as_number(parent, field)
+    if number is not None and known is not None and child.schema[column].dataType == parent.schema[field].dataType:
+        numbers = parent.select(known.alias("number"))
+        least = numbers.agg(F.min("number")).scalar()
+        references = references.filter(~bits.holds(bits.exact_words(numbers, "number", least).scalar(), number, least))
+    references = references.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
     known = parent.select(F.col(field).alias(column)).distinct()
     return references.join(known, column, "left_anti")
 

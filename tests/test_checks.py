@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -128,3 +129,36 @@ def test_single_operators(spark):
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         run_check(Check("t", "guess", "a"), {"t": spark.range(1)})
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "date", "string"])
+def test_relationships_with_values_near_and_far(spark, kind):
+    """Dense values, values beyond the filter of the parent's, negative and extreme ones, and an empty parent."""
+    far = [2**40, -(2**62), 2**62] if kind == "bigint" else [3_000_000 if kind != "date" else 2_000_000]
+    parents, children = [-5, 0, 1, 2, 900, *far[:1]], [-6, -5, 0, 0, 3, 3, 900, 1_048_575, *far, None]
+    made = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} bigint").selectExpr(
+        f"date_from_unix_date(cast({name} as int)) {name}" if kind == "date" else f"cast({name} as {kind}) {name}"
+    )
+    as_kind = lambda v: made([v], "v").first().v
+    child, parent = made(children, "n"), made(parents, "k")
+    want = sorted((as_kind(v), children.count(v)) for v in {*children} - {*parents, None})
+    assert sorted(tuple(r) for r in checks.relationships(child, "n", parent, "k").collect()) == want
+    assert sum(r.row_count for r in checks.relationships(child, "n", parent.limit(0), "k").collect()) == len(children) - 1
+
+
+def test_matched_children_are_not_shuffled(spark):
+    """Days that the calendar has drop out where they are read: one row leaves the scan, the violation."""
+    child = spark.range(0, 100_000, 1, 8).selectExpr("date_add(date'2018-01-01', cast(id % 365 as int)) d")
+    parent = spark.range(364).selectExpr("date_add(date'2018-01-01', cast(id as int)) k")
+    found = checks.relationships(child, "d", parent, "k")
+    assert [tuple(r) for r in found.collect()] == [(dt.date(2018, 12, 31), 273)]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "bit_get" in text
+
+
+def test_repeated_keys_are_found_among_many(spark):
+    """More keys than the filter has bits would fill it; repeated ones are all found, others are not."""
+    rows = spark.range(0, 3_000_000, 1, 8).selectExpr("cast(if(id < 5, id + 5, id) as string) k")
+    assert sorted(tuple(r) for r in checks.unique(rows, "k").collect()) == [(str(i), 2) for i in range(5, 10)]
+    every = spark.range(0, 3_000_000, 1, 8).selectExpr("id div 2 k")
+    assert checks.unique(every, "k").count() == 1_500_000
