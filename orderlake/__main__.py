@@ -1,9 +1,9 @@
 """Command line: `spark-submit` or `python -m orderlake <command>`.
 
     ingest  --files DIR --raw PLACE [--prefix P]   CSV files to raw tables, with row counts
-    build   --raw PLACE --marts PLACE [--staging DATABASE] [--start D --end D]
+    build   --raw PLACE --marts PLACE [--staging DATABASE] [--start D --end D] [--by-month]
     check   --raw PLACE --marts PLACE              all data checks; exit code 1 on an error
-    query   --marts PLACE --metrics a,b [--group-by x,y] [--every-period] [--out DIR]
+    query   --marts PLACE --metrics a,b [--group-by x,y] [--every-period] [--since D] [--until D] [--out DIR]
     list                                           metrics and dimensions
 
 A place is a folder or, written `database:NAME`, a database of the catalog. A query's whole result goes
@@ -54,8 +54,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
             sub.add_argument("--metrics", required=True)
             sub.add_argument("--group-by", default="")
             sub.add_argument("--every-period", action="store_true", help="running totals for all periods")
+            sub.add_argument("--since", metavar="D", help="first day that counts")
+            sub.add_argument("--until", metavar="D", help="day after the last that counts")
             sub.add_argument("--out", metavar="DIR", help="folder for the result")
         if command == "build":
+            sub.add_argument("--by-month", action="store_true", help="store facts in a part for each month")
             sub.add_argument("--staging", metavar="DATABASE", help="database for views of the staging models")
     return parser.parse_args(argv)
 
@@ -79,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     if asked.command == "query":
         names, groups = asked.metrics.split(","), [g for g in asked.group_by.split(",") if g]
         marts = published(spark, asked.marts).snapshot()
-        result = metrics.metric_query(Stored(marts.read), names, groups, asked.every_period)
+        result = metrics.metric_query(Stored(marts.read), names, groups, asked.every_period, asked.since, asked.until)
         if groups:
             result = result.orderBy(*groups)
         if asked.out:
@@ -96,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
         create_views(star)
         if asked.staging:
             create_staging(spark, asked.staging, raw.relation)
-        refresh(place, lambda save: build(star, save))
+        refresh(place, lambda save: build(star, save), asked.by_month)
         return 0
     marts = place.snapshot()
     report = checks.stored_report(spark, Stored(marts.read, star), facts=facts_of(raw, marts))

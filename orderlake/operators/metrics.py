@@ -193,10 +193,19 @@ def running_column(measure: str) -> str:
 
 
 def metric_query(
-    star, metrics: Iterable[str], group_by: Iterable[str] = (), every_period: bool = False
+    star,
+    metrics: Iterable[str],
+    group_by: Iterable[str] = (),
+    every_period: bool = False,
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
     """Metrics by group; one row in all without a group. Filter, sort or limit the result as needed.
 
+    With `since` and `until`, ISO dates, only orders of days from the one up to, but without, the other
+    count; facts stored by month are then read for these months alone. A running total still holds what
+    was before `since`, and is given for periods that begin no earlier than the one of `since`.
+
     A running total has a row where its group has orders; with `every_period`, also for each period
     in between and up to the last one with any order, which is groups times periods.
     """
@@ -206,17 +215,34 @@ def metric_query(
     measures = sorted(set().union(*map(measures_of, metrics)))
     keys = [group.name for group in groups]
 
-    facts = grouped_facts(star, groups, [MEASURES[m].column for m in measures])
+    running = sorted({METRICS[m].inputs[0] for m in metrics if m in METRICS and METRICS[m].kind == "cumulative"})
+    facts = grouped_facts(star, groups, [MEASURES[m].column for m in measures], None if running else since, until)
     result = facts.groupBy(*keys).agg(
         *(MEASURES[m].aggregate(F.col(f"fact {MEASURES[m].column}")).alias(measure_column(m)) for m in measures)
     )
-    running = sorted({METRICS[m].inputs[0] for m in metrics if m in METRICS and METRICS[m].kind == "cumulative"})
     if running:
-        result = with_running_totals(star, result, groups, measures, running, every_period)
+        result = with_running_totals(star, result, groups, measures, running, every_period, until)
+        if since:
+            result = result.filter(on_or_after(groups, since))
     return result.select(*(F.col(f"`{k}`") for k in keys), *(value_of(m).alias(m) for m in metrics))
 
 
-def grouped_facts(star, groups: list[GroupBy], columns: list[str]) -> DataFrame:
+def on_or_after(groups: list[GroupBy], since: str) -> Column:
+    times = [g for g in groups if g.grain]
+    if not times:
+        raise ValueError("a running total since a day takes a time dimension")
+    return F.col(times[0].name) >= period_start(F.lit(since).cast("date"), times[0].grain)
+
+
+def in_range(facts: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    if since:
+        facts = facts.filter(F.col(TIME_COLUMN) >= F.lit(since).cast("date"))
+    return facts.filter(F.col(TIME_COLUMN) < F.lit(until).cast("date")) if until else facts
+
+
+def grouped_facts(
+    star, groups: list[GroupBy], columns: list[str], since: str | None = None, until: str | None = None
+) -> DataFrame:
     """Order facts with a column per group-by, and the wanted fact columns under their own prefix.
 
     Attributes of the customer come by a left join on the customer key, which is unique there.
@@ -224,7 +250,8 @@ def grouped_facts(star, groups: list[GroupBy], columns: list[str]) -> DataFrame:
     of_order = [g.column for g in groups if not g.of_customer]
     of_customer = [g for g in groups if g.of_customer]
     join_key = [CUSTOMER_JOIN_KEY] if of_customer else []
-    facts = star.order_facts([*of_order, *columns, *join_key])
+    day = [TIME_COLUMN] if since or until else []
+    facts = in_range(star.order_facts([*of_order, *columns, *join_key, *day], since, until), since, until)
     if of_customer:
         attributes = dict.fromkeys(g.column for g in of_customer)
         facts = facts.join(star["dim_customers"].select(CUSTOMER_JOIN_KEY, *attributes), CUSTOMER_JOIN_KEY, "left")
@@ -235,7 +262,13 @@ def grouped_facts(star, groups: list[GroupBy], columns: list[str]) -> DataFrame:
 
 
 def with_running_totals(
-    star, totals: DataFrame, groups: list[GroupBy], measures: list[str], running: list[str], every_period: bool
+    star,
+    totals: DataFrame,
+    groups: list[GroupBy],
+    measures: list[str],
+    running: list[str],
+    every_period: bool,
+    until: str | None = None,
 ) -> DataFrame:
     """Add running totals of some measures.
 
@@ -256,16 +289,22 @@ def with_running_totals(
         {running_column(m): F.sum(measure_column(m)).over(so_far).cast(MONEY_TOTAL) for m in running}
     )
     if every_period:
-        summed = with_every_period(star, summed, time, F.lead(time.name).over(in_order), measures, running)
+        summed = with_every_period(star, summed, time, F.lead(time.name).over(in_order), measures, running, until)
     on_spine = star["time_spine"].select(period_start(F.col("date_day"), time.grain).alias(time.name))
     return summed.join(on_spine, time.name, "left_semi")
 
 
 def with_every_period(
-    star, summed: DataFrame, time: GroupBy, following: Column, measures: list[str], running: list[str]
+    star,
+    summed: DataFrame,
+    time: GroupBy,
+    following: Column,
+    measures: list[str],
+    running: list[str],
+    until: str | None = None,
 ) -> DataFrame:
     """Repeat each row, without its measures, for the periods before the group's next one."""
-    last = star.order_facts([TIME_COLUMN]).agg(period_start(F.max(TIME_COLUMN), time.grain)).scalar()
+    last = in_range(star.order_facts([TIME_COLUMN], None, until), None, until).agg(period_start(F.max(TIME_COLUMN), time.grain)).scalar()
     step = F.expr(STEPS[time.grain])
     to_next = F.sequence(time.name, "following", step)
     periods = F.when(F.col("following").isNull(), F.sequence(F.col(time.name), last, step)).otherwise(

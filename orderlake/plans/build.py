@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.functions.calendar import period_start
 from orderlake.operators.checks import counters, trusted
 from orderlake.plans.star import MARTS, STAGING, Star
 from orderlake.sources.csv_files import read_csv_folder
@@ -24,20 +25,32 @@ LOADED_AT = "dbt_loaded_at"
 STAMPED = ("dim_customers", "dim_products", "dim_sellers", "fct_orders", "fct_order_items", "fct_payments")
 
 
-def checked_sink(release: Release) -> Save:
-    """Saves tables to a release; what breaks rules that single rows tell is counted in the same pass."""
+# The month of a row's day, by which a large fact can be stored: fact -> its day.
+MONTH = "order_month"
+DATED = {name: "order_date_key" for name in ("fct_orders", "fct_order_items", "fct_payments")}
+
+
+def checked_sink(release: Release, by_month: bool = False) -> Save:
+    """Saves tables to a release; what breaks rules that single rows tell is counted in the same pass.
+
+    With `by_month`, facts are stored in a part for each month. Their rows are brought together by
+    month before, so that a month makes few files; adaptive execution splits one that is too large.
+    """
 
     def save(df: DataFrame, name: str) -> None:
-        seen = Observation()
-        release.save(df.observe(seen, *counters(name)), name, lambda: seen.get)
+        seen, by = Observation(), ""
+        if by_month and name in DATED:
+            by = MONTH
+            df = df.withColumn(MONTH, period_start(F.col(DATED[name]), "month")).hint("rebalance", MONTH)
+        release.save(df.observe(seen, *counters(name)), name, lambda: seen.get, by)
 
     return save
 
 
-def refresh(place: PublishedFolder | PublishedDatabase, write: Callable[[Save], None]) -> Snapshot:
+def refresh(place: PublishedFolder | PublishedDatabase, write: Callable[[Save], None], by_month: bool = False) -> Snapshot:
     """Run `write` with a sink for a new release; publish what it saved if it does not fail."""
     release = place.release()
-    write(checked_sink(release))
+    write(checked_sink(release, by_month))
     release.publish()
     return place.snapshot()
 
@@ -96,5 +109,12 @@ class Stored:
             self._read[name] = self.read(name)
         return self._read[name]
 
-    def order_facts(self, columns: Iterable[str]) -> DataFrame:
-        return self["fct_orders"].select(*dict.fromkeys(columns))
+    def order_facts(self, columns: Iterable[str], since: str | None = None, until: str | None = None) -> DataFrame:
+        """Of facts stored by month, only the parts with days from `since` up to, but without, `until`."""
+        facts = self["fct_orders"]
+        if MONTH in facts.columns:
+            if since:
+                facts = facts.filter(F.col(MONTH) >= period_start(F.lit(since).cast("date"), "month"))
+            if until:
+                facts = facts.filter(F.col(MONTH) < F.lit(until).cast("date"))
+        return facts.select(*dict.fromkeys(columns))

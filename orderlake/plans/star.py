@@ -71,8 +71,8 @@ class Star:
             return self._made[name]
         return self.raw[name]
 
-    def order_facts(self, columns: Iterable[str]) -> DataFrame:
-        """Some columns of fct_orders, with no join that they do not need.
+    def order_facts(self, columns: Iterable[str], since: str | None = None, until: str | None = None) -> DataFrame:
+        """Some columns of fct_orders, with no join that they do not need. All days: lazy facts lie in no parts.
 
         The joins left out match at most one row per order, so leaving them out drops or repeats
         nothing: customer_id is the key of customers, order_id that of the roll-ups.

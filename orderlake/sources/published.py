@@ -41,9 +41,9 @@ class Release:
         self.name = uuid.uuid4().hex
         self.facts: dict[str, Facts] = {}
 
-    def save(self, df: DataFrame, name: str, facts: Callable[[], Facts] = dict) -> None:
-        """Write a table. `facts` is asked, after the write, for what is to be known of it."""
-        self.place.write(df, name, self.name)
+    def save(self, df: DataFrame, name: str, facts: Callable[[], Facts] = dict, by: str = "") -> None:
+        """Write a table, in parts by a column if one is named. `facts` is asked, after the write, for what is to be known of it."""
+        self.place.write(df, name, self.name, by)
         self.facts[name] = dict(facts())
 
     def publish(self) -> None:
@@ -60,8 +60,8 @@ class PublishedFolder:
     def path(self, name: str, release: str) -> str:
         return f"{self.folder}/releases/{release}/{name}"
 
-    def write(self, df: DataFrame, name: str, release: str) -> None:
-        df.write.parquet(self.path(name, release))
+    def write(self, df: DataFrame, name: str, release: str, by: str = "") -> None:
+        df.write.partitionBy(*[by] if by else []).parquet(self.path(name, release))
 
     def _entries(self) -> list:
         """The latest entry's rows; none before the first."""
@@ -120,8 +120,8 @@ class PublishedDatabase:
         self.spark.sql(f"create database if not exists `{self.database}`")
         return Release(self)
 
-    def write(self, df: DataFrame, name: str, release: str) -> None:
-        df.write.format("parquet").saveAsTable(f"`{self.database}`.`{name}__{release}`")
+    def write(self, df: DataFrame, name: str, release: str, by: str = "") -> None:
+        df.write.format("parquet").partitionBy(*[by] if by else []).saveAsTable(f"`{self.database}`.`{name}__{release}`")
 
     def publish(self, release: str, facts: Mapping[str, Facts]) -> None:
         """Switch the views, one after the other; the tables behind them stay until `drop_old`."""

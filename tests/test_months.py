@@ -1,0 +1,80 @@
+"""Facts stored by month, and metrics of a range of days."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+
+from orderlake.operators.metrics import metric_query
+from orderlake.plans.build import Stored, build, refresh
+from orderlake.plans.queries import star_over
+from orderlake.sources.published import PublishedFolder
+
+FOLDER = "/root/testdata/sf0.001"
+DAYS = ("1996-03-10", "1997-02-05")
+
+
+@pytest.fixture(scope="module")
+def marts(spark, tmp_path_factory):
+    star = star_over(spark, FOLDER)
+    names = ["fct_orders", "dim_customers", "time_spine"]
+    place = tmp_path_factory.mktemp("marts")
+    found = {by: Stored(refresh(PublishedFolder(spark, f"{place}/{by}"), lambda save: build(star, save, names), by).read) for by in (True, False)}
+    return found | {"lazy": star}
+
+
+ASKED = [
+    (["revenue"], ["metric_time__month"]),
+    (["revenue", "unique_customers", "avg_order_value"], ["metric_time__quarter", "order__order_status"]),
+    (["order_count"], []),
+    (["cumulative_revenue", "revenue"], ["metric_time__day"]),
+    (["revenue"], ["customer__customer_state"]),
+]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("asked", ASKED, ids=[" ".join([*m, *g]) for m, g in ASKED])
+@pytest.mark.parametrize("days", [(None, None), DAYS, (DAYS[0], None), (None, DAYS[1])], ids=["all", "between", "since", "until"])
+def test_every_storage_gives_the_same(marts, asked, days):
+    since, until = days
+    got = {by: rows(metric_query(star, *asked, since=since, until=until)) for by, star in marts.items()}
+    assert got[True] == got[False] == got["lazy"] and got["lazy"]
+
+
+def test_only_the_months_asked_for_are_read(marts):
+    df = metric_query(marts[True], ["revenue"], ["metric_time__month"], since=DAYS[0], until=DAYS[1])
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*order_month#\d+ >= 1996-03-01\), \(order_month#\d+ < 1997-02-05", text), text
+    read = marts[True].order_facts(["order_id"], *DAYS).inputFiles()
+    assert read
+    months = {f.order_month for f in marts[True]["fct_orders"].select("order_month").distinct().collect()}
+    assert {dt.date(1996, 3, 1), dt.date(1997, 2, 1)} <= months and len(months) > 24
+
+
+def test_days_outside_do_not_count(marts):
+    by_day = metric_query(marts[True], ["order_count"], ["metric_time__day"], since=DAYS[0], until=DAYS[1])
+    days = [r["metric_time__day"] for r in by_day.collect()]
+    assert min(days) >= dt.date(1996, 3, 10) and max(days) < dt.date(1997, 2, 5)
+
+
+def test_a_running_total_holds_what_was_before(marts):
+    asked = (["cumulative_revenue"], ["metric_time__month"])
+    whole = {r[0]: r[1] for r in metric_query(marts[True], *asked).collect()}
+    some = {r[0]: r[1] for r in metric_query(marts[True], *asked, since=DAYS[0]).collect()}
+    assert some == {k: v for k, v in whole.items() if k >= dt.date(1996, 3, 1)}
+    every = metric_query(marts[True], *asked, every_period=True, since=DAYS[0], until=DAYS[1]).collect()
+    assert len(every) == 12
+    with pytest.raises(ValueError, match="time dimension"):
+        metric_query(marts[True], ["cumulative_revenue"], since=DAYS[0])
+
+
+def test_a_month_makes_few_files(spark, marts):
+    """Rows of a month are brought together before they are written."""
+    files = spark.read.parquet(marts[True]["fct_orders"].inputFiles()[0].rsplit("/order_month=", 1)[0]).inputFiles()
+    months = [f.rsplit("order_month=", 1)[1].split("/")[0] for f in files]
+    assert max(map(months.count, months)) == 1
