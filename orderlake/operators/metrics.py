@@ -316,6 +316,31 @@ def with_every_period(
     return filled.withColumns(kept).withColumn(time.name, F.col("period")).select(*summed.columns)
 
 
+def unique_customers_by_grain(star, numbers: DataFrame, grains: Iterable[str] = GRAINS) -> DataFrame:
+    """(grain, period, unique_customers) for several grains from one pass over the orders.
+
+    numbers: (customer_unique_id, number), each person with a whole number of its own, near to others.
+    Persons of a day are bits of a bitmap for each 32,768 numbers; those of longer periods are their
+    union, so that no grain counts from the orders again. A bitmap takes 4 KiB however few bits are
+    set: it pays where numbers are dense and days have many persons.
+    """
+    facts = star.order_facts([TIME_COLUMN, "customer_unique_id"])
+    seen = facts.join(numbers, "customer_unique_id").select(
+        F.col(TIME_COLUMN).alias("day"),
+        F.bitmap_bucket_number("number").alias("part"),
+        F.bitmap_bit_position("number").alias("bit"),
+    )
+    # A day without persons known by name still has its row.
+    days = facts.select(F.col(TIME_COLUMN).alias("day")).distinct()
+    daily = seen.groupBy("day", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    daily = daily.unionByName(days, allowMissingColumns=True)
+    periods = F.array(*(F.struct(F.lit(g).alias("grain"), period_start(F.col("day"), g).alias("period")) for g in grains))
+    each = daily.select(F.explode(periods).alias("of"), "part", "bits")
+    merged = each.groupBy("of.grain", "of.period", "part").agg(F.bitmap_or_agg("bits").alias("bits"))
+    persons = F.when(F.col("part").isNotNull(), F.bitmap_count("bits")).otherwise(0)
+    return merged.groupBy("grain", "period").agg(F.sum(persons).cast("bigint").alias("unique_customers"))
+
+
 def list_metrics(spark: SparkSession) -> DataFrame:
     """The catalogue: name, label, type and description of every metric."""
     rows = [(name, m.label, m.kind, m.description) for name, m in METRICS.items()]

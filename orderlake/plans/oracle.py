@@ -527,6 +527,14 @@ ORACLE: dict[str, str] = {
         from stg_products""",
         "stg_products",
     ),
+    "metric_unique_customers_by_grain": sql(
+        " union all ".join(
+            f"""select '{grain}' grain, date_trunc('{grain}', order_date_key)::date period,
+              count(distinct customer_unique_id) unique_customers from fct_orders group by 1, 2"""
+            for grain in ("day", "week", "month", "quarter", "year")
+        ),
+        "fct_orders",
+    ),
     "list_metrics": catalogue(),
     "metric_cumulative_revenue": CUMULATIVE_BY_DAY,
     "metric_cumulative_revenue_by_month": CUMULATIVE_BY_MONTH,

@@ -140,6 +140,14 @@ def ingested_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, "order_reviews")
 
 
+def unique_customers_by_grain(spark: SparkSession, folder: str) -> DataFrame:
+    """Persons who ordered, by day, week, month, quarter and year, from one pass over the orders."""
+    star, path = star_over(spark, folder), f"{shared_folder(spark)}/numbers-{uuid.uuid4().hex}"
+    number = F.monotonically_increasing_id().alias("number")
+    star["dim_customers"].select("customer_unique_id", number).write.parquet(path)
+    return metrics.unique_customers_by_grain(star, spark.read.parquet(path))
+
+
 RECONCILED = (
     "order_id",
     "primary_payment_type",
@@ -164,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_key": on_star(keys_of_products),
     **{name: metric(*asked) for name, asked in METRIC_QUERIES.items()},
     **{name: metric(*asked, every_period=True) for name, asked in CUMULATIVE_QUERIES.items()},
+    "metric_unique_customers_by_grain": unique_customers_by_grain,
     "list_metrics": on_star(list_metrics_with_totals),
     "check_unique": on_star(lambda star: checks.unique(star.raw.file("lineitem"), "l_orderkey", "l_linenumber")),
     "check_not_null": on_star(lambda star: checks.not_null(star["stg_products"], "weight_g")),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 
+from orderlake.functions.calendar import GRAINS, period_start
 from orderlake.operators.dimensions import date_range
-from orderlake.operators.metrics import METRICS, list_dimensions, list_metrics, metric_query, resolve_group
+from orderlake.operators.metrics import METRICS, list_dimensions, list_metrics, metric_query, resolve_group, unique_customers_by_grain
 from orderlake.plans.star import Star
 from tests.shop import ROWS, at, shop
 
@@ -156,3 +158,28 @@ def test_no_orders_at_all(spark):
     row = metric_query(star, ["revenue", "order_count", "avg_order_value"]).first()
     assert tuple(row) == (None, 0, None)
     assert metric_query(star, ["cumulative_revenue"], ["metric_time"], every_period=True).count() == 0
+
+
+def test_unique_customers_by_grain(spark):
+    """Bitmaps give what distinct counts give, at every grain; with orders of no day, no person, and sparse numbers."""
+    rows = [(d and dt.date(2018, 1, 1) + dt.timedelta(days=d - 1), c) for d, c in [(1, "a"), (1, "a"), (2, "b"), (40, "a"), (40, None), (400, None), (None, "c"), (None, "a"), (33, "z"), (200, "b")]]
+    facts = spark.createDataFrame(rows, "order_date_key date, customer_unique_id string")
+    star = SimpleNamespace(order_facts=lambda columns: facts.select(*columns))
+    numbers = spark.createDataFrame([("a", 0), ("b", 1), ("c", 32_768), ("d", 5), ("z", 1 << 40)], "customer_unique_id string, number bigint")
+    got = sorted((tuple(r) for r in unique_customers_by_grain(star, numbers).collect()), key=str)
+    want = []
+    for grain in GRAINS:
+        by = facts.groupBy(period_start(facts.order_date_key, grain).alias("period")).agg({"customer_unique_id": "count"})
+        for period in {r.period for r in by.collect()}:
+            mine = {c for d, c in rows if c and (period_of(d, grain) == period)}
+            want.append((grain, period, len(mine)))
+    assert got == sorted(want, key=str)
+
+
+def period_of(day, grain):
+    if day is None or grain == "day":
+        return day
+    if grain == "week":
+        return day - dt.timedelta(days=day.weekday())
+    month = {"month": day.month, "quarter": (day.month - 1) // 3 * 3 + 1, "year": 1}[grain]
+    return day.replace(month=month, day=1)
