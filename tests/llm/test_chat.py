@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
-from orderlake.llm.chat import BLOCK_TURNS, perspectives, rendered
+from orderlake.llm.chat import BLOCK_BITS, in_blocks, perspectives, rendered
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -17,7 +17,7 @@ def rows(seed=1):
         for turn in range(rng.randrange(1, 9)):
             out.append((conv, rng.choice([turn, turn, 2, None]), rng.choice(["user", "assistant", "system", "bob", None]), rng.choice([None, "", "hi", f"é {turn} <|end|>\n"])))
     out += [(50, 0, "system", "only rules"), (51, 1, "user", "twice"), (51, 1, "user", "twice")]
-    out += [(60, t, ("user", "assistant")[t % 2], "x" * (t % 11)) for t in range(3 * BLOCK_TURNS)]
+    out += [(60, t, ("user", "assistant")[t % 2], "x" * (t % 11)) for t in range(3 << BLOCK_BITS)]
     return out
 
 
@@ -70,3 +70,17 @@ def test_other_columns_and_no_rows(spark):
     more = turns.selectExpr("*", "1 as speaker", "2 as block", "'x' as segment", "3 as length", "4 as of")
     assert perspectives(more).count() == perspectives(turns).count()
     assert perspectives(turns.limit(0)).count() == 0
+
+
+def test_turns_without_numbers_make_many_blocks(spark):
+    """A conversation whose turns have no number, or all the same, is cut as any other."""
+    data = [(1, None, ("user", "assistant")[i % 2], f"t{i}") for i in range(1500)] + [(2, 7, "user", "same")] * 1500
+    said = spark.createDataFrame(data, SCHEMA).repartition(5)
+    sizes = in_blocks(said).groupBy("conv_id", "block").count().collect()
+    assert max(r["count"] for r in sizes) <= 1 << BLOCK_BITS and len(sizes) >= 10
+    expected = brute(data)
+    got = defaultdict(list)
+    for r in perspectives(said).collect():
+        got[r.conv_id, r.speaker].append(r)
+    for key, (whole, _, _) in expected.items():
+        assert "".join(r.segment for r in sorted(got[key], key=lambda r: r.char_start)) == whole
