@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Writes in flight at once, so that a small table does not wait for the tail of a large one.
@@ -65,17 +64,22 @@ class PublishedFolder:
 
     def _entries(self) -> list:
         """The latest entry's rows; none before the first."""
-        try:
-            rows = self.spark.read.schema(f"{ENTRY}, number string").parquet(f"{self.folder}/published")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        files, path = self._files("published")
+        if not files.exists(path):
             return []
-        # One entry for each refresh, a row for each table: small however large the tables are.
-        found = rows.collect()
+        found = self._all_entries()
         last = max((r.number for r in found), default="")
         return [r for r in found if r.number == last]
 
+    def _all_entries(self) -> list:
+        """One entry for each refresh, a row for each table: small however large the tables are."""
+        return self.spark.read.schema(f"{ENTRY}, number string").parquet(f"{self.folder}/published").collect()
+
+    def _files(self, name: str):
+        """The file system and path of what lies in the folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def publish(self, release: str, facts: Mapping[str, Facts]) -> None:
         """Switch these tables to a release; others stay where they are."""
         entries = self._entries()
@@ -100,12 +104,10 @@ class PublishedFolder:
 
     def drop_old(self, keep: int = 2) -> list[str]:
         """Delete releases that none of the latest `keep` entries names; their names. Not while a refresh or a reader of an older one is at work."""
-        rows = self.spark.read.schema(f"{ENTRY}, number string").parquet(f"{self.folder}/published").collect()
+        rows = self._all_entries()
         latest = sorted({r.number for r in rows})[-keep:]
         used = {r.release for r in rows if r.number in latest}
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/releases")
-        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files, root = self._files("releases")
         gone = [s.getPath() for s in files.listStatus(root) if s.getPath().getName() not in used]
         for path in gone:
             files.delete(path, True)
