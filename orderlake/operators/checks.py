@@ -278,12 +278,6 @@ def counters(table: str, checks: Iterable[Check] = CHECKS) -> list[Column]:
     return [F.count(F.lit(1)).alias(ROWS), *(F.count(F.when(breaks(c), 1)).alias(c.name) for c in of_table)]
 
 
-def trusted(facts: Mapping[str, Mapping[str, int]], counted: DataFrame) -> dict[str, Mapping[str, int]]:
-    """Those facts whose number of rows is that of the stored table; counted: (table_name, row_count)."""
-    stored = {r.table_name: r.row_count for r in counted.collect()}
-    return {name: known for name, known in facts.items() if ROWS in known and known[ROWS] == stored.get(name)}
-
-
 def told_by_facts(check: Check, facts: Mapping[str, Mapping[str, int]]) -> int | None:
     """A check's violations where counters tell them.
 
@@ -346,33 +340,32 @@ def table_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame
 REPORT = "check string, kind string, table_name string, column_name string, severity string"
 
 
-def check_report(
-    spark: SparkSession,
-    tables: Mapping[str, DataFrame],
-    checks: Iterable[Check] = CHECKS,
-    facts: Mapping[str, Mapping[str, int]] | None = None,
-    hashed: bool = False,
-) -> DataFrame:
+def as_they_run(checks: Iterable[Check], facts: Mapping[str, Mapping[str, int]]) -> tuple[dict[Check, int], dict[int, Check], dict[int, int]]:
+    """By check the number that it runs under; by number the check to run, or the violations that facts tell."""
+    numbers: dict[Check, int] = {}
+    numbered = {c: numbers.setdefault(runs_as(c), len(numbers)) for c in checks}
+    told = {n: told_by_facts(c, facts) for c, n in numbers.items()}
+    return numbered, {n: c for c, n in numbers.items() if told[n] is None}, {n: v for n, v in told.items() if v is not None}
+
+
+def all_violations(checks: Mapping[int, Check], tables: Mapping[str, DataFrame], hashed: bool = False) -> list[DataFrame]:
+    """(number, violations) of the checks of each table."""
+    names = dict.fromkeys(c.table for c in checks.values())
+    return [table_violations({n: c for n, c in checks.items() if c.table == name}, tables, hashed) for name in names]
+
+
+def check_report(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS) -> DataFrame:
     """One row per check with its violations and status: pass, warn or error.
 
-    Lazy tables are computed anew for each scan; on large data, check the stored ones with
-    `stored_report`. `facts` holds what `counters` counted of a table. Checks of staging columns that
-    are raw columns are taken from these; checks that come to the same run once.
+    Lazy tables are computed anew for each scan; stored ones are checked faster by `stored_report`.
+    Checks of staging columns that are raw columns are taken from these; checks that come to the same
+    run once.
     """
     checks = list(checks)
-    same = {c: runs_as(c) for c in checks}
-    numbers = {c: n for n, c in enumerate(dict.fromkeys(same.values()))}
-    told = {c: told_by_facts(c, facts or {}) for c in numbers}
-    numbered = {n: c for c, n in numbers.items() if told[c] is None}
-    parts = [
-        table_violations({n: c for n, c in numbered.items() if c.table == table}, tables, hashed)
-        for table in dict.fromkeys(c.table for c in numbered.values())
-    ]
-    known = [(n, told[c]) for c, n in numbers.items() if told[c] is not None]
-    parts.append(spark.createDataFrame(known, "number int, violations bigint"))
+    numbers, numbered, _ = as_they_run(checks, {})
+    parts = all_violations(numbered, tables)
     violations = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
-
-    rows = [(numbers[same[c]], c.name, c.kind, c.table, c.column, c.severity) for c in checks]
+    rows = [(numbers[c], c.name, c.kind, c.table, c.column, c.severity) for c in checks]
     declared = spark.createDataFrame(rows, f"number int, {REPORT}")
     return with_status(declared.join(violations, "number", "left").drop("number"))
 
@@ -383,6 +376,12 @@ def with_status(report: DataFrame) -> DataFrame:
     return report.select(*columns, count.alias("violations"), F.when(count == 0, "pass").otherwise(F.col("severity")).alias("status"))
 
 
+def row_count_checks(facts: Mapping[str, Mapping[str, int]], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """(number, violations): for the nth table of the facts, -1 - n and its number of rows. Footers tell it."""
+    count = F.count(F.lit(1)).alias("violations")
+    return [tables[name].agg(count).select(F.lit(-1 - n).alias("number"), "violations") for n, name in enumerate(facts)]
+
+
 def stored_report(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -391,17 +390,22 @@ def stored_report(
 ) -> DataFrame:
     """The report over stored tables, computed at once: counters as they are, keys by hashes first.
 
+    `facts` holds what `counters` counted of a table; they hold if the table still has as many rows.
     Only a key column in which hashes repeat is compared by values. The result has a row per check.
     """
-    checks = list(checks)
-    rows = check_report(spark, tables, checks, facts, hashed=True).collect()
-    found = {r.check: r.violations for r in rows}
-    suspects = [c for c in checks if c.kind == "unique" and found[c.name]]
-    if suspects:
-        exact = check_report(spark, tables, suspects).collect()
-        found |= {r.check: r.violations for r in exact}
-    report = [(c.name, c.kind, c.table, c.column, c.severity, found[c.name]) for c in checks]
-    return with_status(spark.createDataFrame(report, f"{REPORT}, violations bigint"))
+    checks, facts = list(checks), dict(facts or {})
+    numbers, numbered, told = as_they_run(checks, facts)
+    parts = [*all_violations(numbered, tables, hashed=True), *row_count_checks(facts, tables)]
+    sums = reduce(DataFrame.unionByName, parts).groupBy("number").agg(F.sum("violations").alias("violations"))
+    found = told | {r.number: r.violations for r in sums.collect()}
+    wrong = {name for n, name in enumerate(facts) if found.get(-1 - n, 0) != facts[name].get(ROWS)}
+
+    again = [c for c in checks if runs_as(c).table in wrong or (c.kind == "unique" and found.get(numbers[c]))]
+    exact = {r.check: r.violations for r in check_report(spark, tables, again).collect()} if again else {}
+    rows = [
+        (c.name, c.kind, c.table, c.column, c.severity, exact.get(c.name, found.get(numbers[c], 0))) for c in checks
+    ]
+    return with_status(spark.createDataFrame(rows, f"{REPORT}, violations bigint"))
 
 
 def status_counts(report: DataFrame) -> DataFrame:

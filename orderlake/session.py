@@ -33,6 +33,12 @@ def split_bytes(input_bytes: int) -> int:
     return int(min(max(input_bytes // MAX_PARTITIONS, PARTITION_BYTES), MAX_SPLIT_BYTES))
 
 
+def row_group_bytes(input_bytes: int, cores: int) -> int:
+    """Size of the row groups that sinks write. A row group is read by one task, so that small tables need
+    small ones for all cores to take part; without a known size it is Parquet's own."""
+    return int(min(max(input_bytes // (4 * cores), 4 * MIB), PARTITION_BYTES)) if input_bytes else PARTITION_BYTES
+
+
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a job that reads `input_bytes` with `cores` task slots."""
     return {
@@ -49,6 +55,7 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.sources.fileCompressionFactor": "4",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
         "spark.sql.files.maxPartitionBytes": str(split_bytes(input_bytes)),
+        "spark.hadoop.parquet.block.size": str(row_group_bytes(input_bytes, cores)),
     }
 
 

@@ -16,11 +16,12 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Writes in flight at once, so that a small table does not wait for the tail of a large one.
 WRITES = 4
 
-ENTRY = "table_name string, release string, facts string"
+ENTRY = "table_name string, release string, columns string, facts string"
 
 # Called with a written table's rows; what it gives is kept with the entry.
 Facts = Mapping[str, int]
@@ -38,15 +39,17 @@ class Release:
     def __init__(self, place: PublishedFolder | PublishedDatabase):
         self.place = place
         self.name = uuid.uuid4().hex
+        self.columns: dict[str, str] = {}
         self.facts: dict[str, Facts] = {}
 
     def save(self, df: DataFrame, name: str, facts: Callable[[], Facts] = dict, by: str = "") -> None:
         """Write a table, in parts by a column if one is named. `facts` is asked, after the write, for what is to be known of it."""
         self.place.write(df, name, self.name, by)
+        self.columns[name] = df.schema.json()
         self.facts[name] = dict(facts())
 
     def publish(self) -> None:
-        self.place.publish(self.name, self.facts)
+        self.place.publish(self)
 
 
 class PublishedFolder:
@@ -80,23 +83,26 @@ class PublishedFolder:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def publish(self, release: str, facts: Mapping[str, Facts]) -> None:
-        """Switch these tables to a release; others stay where they are."""
+    def publish(self, release: Release) -> None:
+        """Switch a release's tables to it; others stay where they are."""
         entries = self._entries()
-        rows = {r.table_name: (r.release, r.facts) for r in entries}
-        rows |= {name: (release, json.dumps(dict(known))) for name, known in facts.items()}
+        rows = {r.table_name: (r.release, r.columns, r.facts) for r in entries}
+        rows |= {name: (release.name, release.columns[name], json.dumps(known)) for name, known in release.facts.items()}
         number = 1 + max((int(r.number.split("-")[0]) for r in entries), default=0)
         entry = self.spark.createDataFrame([(name, *row) for name, row in rows.items()], ENTRY)
         # One file, which appears as a whole; the name keeps two entries of one number apart.
-        entry.coalesce(1).write.parquet(f"{self.folder}/published/number={number:012d}-{release}")
+        entry.coalesce(1).write.parquet(f"{self.folder}/published/number={number:012d}-{release.name}")
 
     def snapshot(self) -> Snapshot:
         entries = self._entries()
-        return Snapshot(self, {r.table_name: r.release for r in entries}, {r.table_name: json.loads(r.facts) for r in entries})
+        columns = {r.table_name: StructType.fromJson(json.loads(r.columns)) for r in entries}
+        return Snapshot(self, {r.table_name: r.release for r in entries}, {r.table_name: json.loads(r.facts) for r in entries}, columns)
 
-    def table(self, name: str, release: str | None) -> DataFrame:
-        """A published table, or a folder of that name where none was published."""
-        return self.spark.read.parquet(self.path(name, release) if release else f"{self.folder}/{name}")
+    def table(self, name: str, release: str | None, columns: StructType | None = None) -> DataFrame:
+        """A published table, or a folder of that name where none was published. Known columns spare a look into its files."""
+        if not release:
+            return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(columns).parquet(self.path(name, release))
 
     def relation(self, name: str, release: str | None) -> str:
         """The same for a SQL statement."""
@@ -125,14 +131,14 @@ class PublishedDatabase:
     def write(self, df: DataFrame, name: str, release: str, by: str = "") -> None:
         df.write.format("parquet").partitionBy(*[by] if by else []).saveAsTable(f"`{self.database}`.`{name}__{release}`")
 
-    def publish(self, release: str, facts: Mapping[str, Facts]) -> None:
+    def publish(self, release: Release) -> None:
         """Switch the views, one after the other; the tables behind them stay until `drop_old`."""
-        for name, known in facts.items():
+        for name, known in release.facts.items():
             if not self._is_view(name):
                 self.spark.sql(f"drop table if exists {self.relation(name)}")
-            comment = json.dumps(dict(known)).replace("'", "\\'")
+            comment = json.dumps(known).replace("'", "\\'")
             self.spark.sql(
-                f"create or replace view {self.relation(name)} comment '{comment}' as select * from `{self.database}`.`{name}__{release}`"
+                f"create or replace view {self.relation(name)} comment '{comment}' as select * from `{self.database}`.`{name}__{release.name}`"
             )
 
     def _is_view(self, name: str) -> bool:
@@ -145,7 +151,7 @@ class PublishedDatabase:
         views = [t for t in self.spark.catalog.listTables(self.database) if t.tableType == "VIEW"]
         return Snapshot(self, {}, {t.name: json.loads(t.description or "{}") for t in views})
 
-    def table(self, name: str, release: str | None = None) -> DataFrame:
+    def table(self, name: str, release: str | None = None, columns: StructType | None = None) -> DataFrame:
         return self.spark.table(self.relation(name))
 
     def relation(self, name: str, release: str | None = None) -> str:
@@ -170,11 +176,17 @@ class PublishedDatabase:
 class Snapshot:
     """Published tables as one entry names them, however long they are read: `snapshot.read("fct_orders")`."""
 
-    def __init__(self, place: PublishedFolder | PublishedDatabase, releases: Mapping[str, str], facts: Mapping[str, Facts]):
-        self.place, self.releases, self.facts = place, releases, facts
+    def __init__(
+        self,
+        place: PublishedFolder | PublishedDatabase,
+        releases: Mapping[str, str],
+        facts: Mapping[str, Facts],
+        columns: Mapping[str, StructType] | None = None,
+    ):
+        self.place, self.releases, self.facts, self.columns = place, releases, facts, columns or {}
 
     def read(self, name: str) -> DataFrame:
-        return self.place.table(name, self.releases.get(name))
+        return self.place.table(name, self.releases.get(name), self.columns.get(name))
 
     def relation(self, name: str) -> str:
         return self.place.relation(name, self.releases.get(name))

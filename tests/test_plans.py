@@ -119,6 +119,8 @@ def test_partition_settings():
     assert session.shuffle_partitions(0, 8) == 8
     assert session.shuffle_partitions(2**40, 4000) == 8192
     assert session.shuffle_partitions(100 * 10**12, 4000) == 50_000
+    assert session.row_group_bytes(0, 8) == session.row_group_bytes(100 * 10**12, 4000) == 128 * 2**20
+    assert session.row_group_bytes(10**7, 8) == 4 * 2**20
     assert session.split_bytes(2**40) == 128 * 2**20
     assert session.split_bytes(100 * 10**12) == 2**30
     assert session.settings(0, 8)["spark.sql.adaptive.skewJoin.enabled"] == "true"
