@@ -77,7 +77,8 @@ class TokenRollup:
         written = self._read("ledger", ENTRY).where(F.col("batch") == batch)
         written.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(f"{self.folder}/totals/batch={batch}")
         state = known.join(changed, is_changed, "left_anti").union(added).withColumn("bucket", bucket)
-        state.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/state/batch={batch}")
+        # A bucket's rows are brought together, so that it makes one file and not one for each task.
+        state.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/state/batch={batch}")
         self.spark.createDataFrame([(b,) for b in buckets], "bucket int").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/index/batch={batch}")
 
     def totals(self) -> DataFrame:
