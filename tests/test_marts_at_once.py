@@ -80,3 +80,18 @@ def test_keys_are_stored_in_about_half_their_length(spark, tmp_path):
     (file,) = (tmp_path / "releases" / release.name / "keys").glob("*.parquet")
     assert file.stat().st_size < 100_000 * 22
     assert release.read("keys").count() == 100_000
+
+
+def test_report_leaves_out_what_no_check_asks_for(spark):
+    """Distinct products and sellers of an order are of no check, so that items are not grouped by order for them."""
+    from orderlake.plans.queries import QUERIES
+
+    text = QUERIES["check_report"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "struct<l_orderkey:bigint>" not in text
+    assert "struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in text
+
+
+def test_report_sorts_payments_once_they_are_together(spark):
+    star = star_of(spark, ODD)
+    text = star.order_facts(["total_payment_amount", "primary_payment_type"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
